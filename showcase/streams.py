@@ -1,0 +1,310 @@
+"""Streaming reports, drained over everything available and read back from where they wrote."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
+
+from tallyflow.operators.parsing import timed_words
+from tallyflow.plans import calls, devices, orders, persons, sales, words
+from tallyflow.schemas import PERSON
+from tallyflow.sinks.cells import FIELD_KEYS, hash_fields
+from tallyflow.sinks.keyed import KeyedTable, keyed_table
+from tallyflow.sinks.streams import batch_sink, keyed_sink, topic_sink
+from tallyflow.sources import parquet_stream, separated_stream
+from tallyflow.streaming.lifecycle import drain
+from tallyflow.streaming.stateful import deduplicated_counts, first_per_key, flat_windows, windowed_counts
+from tallyflow.workspace import new_folder
+
+from .inputs import IP_RANGES_SQL, clean_orders, ip_ranges, lines_of, raw_orders, utc
+from .registry import load, query
+
+
+def stream_of(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    """A supplied table read as a stream of its files."""
+    return parquet_stream(spark, folder, load(spark, folder, table).schema, f"{table}.parquet")
+
+
+def collected(
+    spark: SparkSession, label: str, rows: DataFrame, keys: tuple[str, ...], mode: str = "update", **options
+) -> DataFrame:
+    """Drain ``rows`` into a fresh latest-state table and return it."""
+    path = new_folder(spark, label)
+    table = keyed_table(spark, f"{path}/table", *keys)
+    drain(keyed_sink(rows, table, f"{path}/checkpoint", mode, **options))
+    return table.read()
+
+
+TURN_WORDS = """
+    SELECT word, count(*) AS count
+    FROM (SELECT unnest(regexp_split_to_array(trim(text, ' ' || chr(9) || chr(10) || chr(13)), '[ \\t\\n\\x0B\\f\\r]+')) AS word
+          FROM conversations WHERE trim(text, ' ' || chr(9) || chr(10) || chr(13)) <> '')
+    GROUP BY word
+"""
+
+
+def _turn_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return words.stream_word_counts(lines_of(stream_of(spark, folder, "conversations")))
+
+
+@query("stream_word_count_update", TURN_WORDS)
+def stream_word_count_update(spark: SparkSession, folder: str) -> DataFrame:
+    return collected(spark, "word-updates", _turn_counts(spark, folder), ("word",))
+
+
+@query("stream_word_count_complete", TURN_WORDS)
+def stream_word_count_complete(spark: SparkSession, folder: str) -> DataFrame:
+    return collected(spark, "word-totals", _turn_counts(spark, folder), ("word",), "complete")
+
+
+@query("stream_replace_rows", TURN_WORDS)
+def stream_replace_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Word rows replaced by their key from within each micro-batch."""
+    path = new_folder(spark, "word-rows")
+    table = keyed_table(spark, f"{path}/table", "word")
+
+    def replace(batch: DataFrame, batch_id: int) -> None:
+        table.upsert(batch, batch_id, unique=True)
+
+    drain(batch_sink(_turn_counts(spark, folder), f"{path}/checkpoint", replace))
+    return table.read()
+
+
+@query(
+    "stream_word_hash",
+    f"SELECT 'wordcount:spark' AS key, word AS field, CAST(count AS VARCHAR) AS value FROM ({TURN_WORDS})",
+)
+def stream_word_hash(spark: SparkSession, folder: str) -> DataFrame:
+    counts = _turn_counts(spark, folder)
+    return collected(
+        spark, "word-hash", hash_fields(counts, F.lit("wordcount:spark"), F.col("word"), F.col("count")), FIELD_KEYS
+    )
+
+
+@query(
+    "stream_csv_hobby",
+    """SELECT c_mktsegment AS hobby, count(*) AS count FROM customer WHERE c_custkey % 50 < 25
+    GROUP BY 1 ORDER BY 2 DESC, 1""",
+)
+def stream_csv_hobby(spark: SparkSession, folder: str) -> DataFrame:
+    source = new_folder(spark, "persons")
+    people = load(spark, folder, "customer").select("c_name", (F.col("c_custkey") % 50).cast("int"), "c_mktsegment")
+    people.write.option("sep", ";").csv(source)
+    return collected(
+        spark, "hobbies", persons.hobby_ranking(separated_stream(spark, source, PERSON)), ("hobby",), "complete"
+    )
+
+
+@query(
+    "stream_success_etl",
+    """SELECT 'station_' || event_id % 7 || ',' || user_id || ',' || event_id || ',' || event_type || ',1,2' AS value
+    FROM events WHERE event_type = 'purchase' AND event_id % 5 <> 2""",
+)
+def stream_success_etl(spark: SparkSession, folder: str) -> DataFrame:
+    """Call lines from all events, some of them a field short, filtered from topic to topic."""
+    start = [
+        F.concat(F.lit("station_"), F.col("event_id") % 7),
+        F.col("user_id").cast("string"),
+        F.col("event_id").cast("string"),
+        F.col("event_type"),
+        F.lit("1"),
+    ]
+    short = F.col("event_id") % 5 == 2
+    line = F.when(short, F.concat_ws(",", *start)).otherwise(F.concat_ws(",", *start, F.lit("2")))
+    records = stream_of(spark, folder, "events").select(F.col("event_id").cast("string").alias("key"), line.alias("value"))
+    path = new_folder(spark, "calls")
+    passed = calls.calls_with_status(records, "purchase")
+    drain(topic_sink(passed, f"{path}/checkpoint", f"{path}/topic", file_format="parquet"))
+    return spark.read.parquet(f"{path}/topic").select("value")
+
+
+DEVICE_SQL = """
+    SELECT event_type AS device_type, count(*) AS count_device, round(avg(value), 2) AS avg_signal
+    FROM events WHERE value > 30 GROUP BY event_type
+"""
+
+
+def _signals(spark: SparkSession, folder: str) -> DataFrame:
+    payload = F.struct(
+        F.concat(F.lit("device_"), "user_id").alias("device"),
+        F.col("event_type").alias("deviceType"),
+        F.col("value").alias("signal"),
+        F.unix_millis(utc("ts")).alias("time"),
+    )
+    return devices.device_signals(stream_of(spark, folder, "events").select(F.to_json(payload).alias("value")))
+
+
+@query("stream_device_stats", DEVICE_SQL)
+def stream_device_stats(spark: SparkSession, folder: str) -> DataFrame:
+    return collected(spark, "devices", devices.device_stats(_signals(spark, folder)), ("device_type",), "complete")
+
+
+@query("stream_device_stats_sql", DEVICE_SQL)
+def stream_device_stats_sql(spark: SparkSession, folder: str) -> DataFrame:
+    return collected(spark, "devices-sql", devices.device_stats_sql(_signals(spark, folder)), ("device_type",), "complete")
+
+
+WINDOW_SQL = """
+    SELECT strftime(start, '%Y-%m-%d %H:%M:%S') AS window_start, word, count(*) AS count
+    FROM (SELECT time_bucket(INTERVAL 1 HOUR, ts) - to_hours(back) AS start,
+                 unnest([event_type, 'u' || user_id % 10]) AS word
+          FROM events, range(2) AS backs(back))
+    GROUP BY start, word
+"""
+
+
+def _timed_lines(spark: SparkSession, folder: str, time_first: bool) -> DataFrame:
+    stamp = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
+    said = F.concat("event_type", F.lit(" u"), F.col("user_id") % 10)
+    parts = (stamp, said) if time_first else (said, stamp)
+    return stream_of(spark, folder, "events").select(F.concat_ws(",", *parts).alias("value"))
+
+
+def _window_report(spark: SparkSession, label: str, counts: DataFrame, mode: str) -> DataFrame:
+    rows = collected(spark, label, flat_windows(counts), ("window_start", "word"), mode)
+    return rows.select(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "word", "count")
+
+
+@query("stream_sliding_window", WINDOW_SQL)
+def stream_sliding_window(spark: SparkSession, folder: str) -> DataFrame:
+    timed = timed_words(_timed_lines(spark, folder, True))
+    counts = windowed_counts(timed, length="2 hours", slide="1 hour").orderBy("window")
+    return _window_report(spark, "windows", counts, "complete")
+
+
+@query("stream_watermark_update", WINDOW_SQL)
+def stream_watermark_update(spark: SparkSession, folder: str) -> DataFrame:
+    timed = timed_words(_timed_lines(spark, folder, False), time_first=False)
+    counts = windowed_counts(timed, length="2 hours", slide="1 hour", watermark="10 minutes")
+    return _window_report(spark, "watermarked", counts, "update")
+
+
+def _keys(spark: SparkSession, folder: str) -> DataFrame:
+    return stream_of(spark, folder, "events").select(F.col("user_id").cast("string").alias("user_id"), "event_type")
+
+
+@query("stream_dedup", "SELECT DISTINCT CAST(user_id AS VARCHAR) AS user_id, event_type FROM events")
+def stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    first = first_per_key(_keys(spark, folder), ["user_id", "event_type"])
+    path = new_folder(spark, "firsts")
+    drain(first.writeStream.format("parquet").option("path", f"{path}/rows").option("checkpointLocation", f"{path}/checkpoint"))
+    return spark.read.parquet(f"{path}/rows")
+
+
+@query(
+    "stream_dedup_count",
+    "SELECT DISTINCT CAST(user_id AS VARCHAR) AS user_id, event_type, CAST(1 AS BIGINT) AS count FROM events",
+)
+def stream_dedup_count(spark: SparkSession, folder: str) -> DataFrame:
+    counts = deduplicated_counts(_keys(spark, folder), ["user_id", "event_type"])
+    return collected(spark, "first-counts", counts, ("user_id", "event_type"), "complete")
+
+
+ORDER_ADDRESS_SQL = """
+    o_orderkey % 1000 * 4294967 + CASE WHEN o_orderkey % 1000 % 5 = 0 THEN (o_orderkey // 1000) % 150
+                                       ELSE (o_orderkey * 7919) % 4294967 END
+"""
+
+
+@query(
+    "stream_order_etl",
+    f"""
+    SELECT CAST(o_orderkey AS VARCHAR) AS key,
+           '{{"orderId":"' || o_orderkey || '","userId":"' || o_custkey || '","orderTime":"'
+           || strftime(o_orderdate, '%Y-%m-%d %H:%M:%S.%g') || '","ip":"' || (n // 16777216) || '.'
+           || (n // 65536 % 256) || '.' || (n // 256 % 256) || '.' || (n % 256) || '","orderMoney":"' || o_totalprice
+           || '","orderStatus":0' || coalesce(',"province":"' || province || '","city":"' || city || '"', '') || '}}'
+           AS value
+    FROM (SELECT *, {ORDER_ADDRESS_SQL} AS n FROM orders WHERE o_orderstatus = 'O')
+    LEFT JOIN ({IP_RANGES_SQL}) ON n BETWEEN ip_from AND ip_to
+    """,
+)
+def stream_order_etl(spark: SparkSession, folder: str) -> DataFrame:
+    path = new_folder(spark, "order-etl")
+    cleaned = orders.enrich_orders(raw_orders(stream_of(spark, folder, "orders")), ip_ranges(spark, folder))
+    drain(topic_sink(cleaned, f"{path}/checkpoint", f"{path}/topic", file_format="parquet"))
+    return spark.read.parquet(f"{path}/topic")
+
+
+def _order_store(
+    spark: SparkSession, folder: str, key: str, write: Callable[[DataFrame, KeyedTable, str], DataStreamWriter]
+) -> DataFrame:
+    path = new_folder(spark, "order-store")
+    table = keyed_table(spark, f"{path}/table", key)
+    drain(write(clean_orders(stream_of(spark, folder, "orders")), table, f"{path}/checkpoint"))
+    return table.read()
+
+
+STORED_ORDERS = """
+    SELECT CAST(o_orderkey AS VARCHAR) AS orderId, CAST(o_custkey AS VARCHAR) AS userId,
+           CAST(CAST(o_totalprice AS DECIMAL(18, 2)) AS VARCHAR) AS orderMoney, o_orderpriority AS province,
+           o_orderstatus AS city, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S.%g') AS orderTime
+    FROM orders
+"""
+
+
+@query("stream_order_documents", STORED_ORDERS)
+def stream_order_documents(spark: SparkSession, folder: str) -> DataFrame:
+    return _order_store(spark, folder, "orderId", orders.index_orders).drop("ip", "orderStatus")
+
+
+@query(
+    "stream_order_rows",
+    f"""
+    SELECT row_key, o.orderId AS orderId, o.province AS province
+    FROM (SELECT reverse(userId) || '_' || orderTime AS row_key, max_by(o, orderId) AS o
+          FROM ({STORED_ORDERS}) AS o GROUP BY 1)
+    """,
+)
+def stream_order_rows(spark: SparkSession, folder: str) -> DataFrame:
+    return _order_store(spark, folder, "row_key", orders.put_orders).select("row_key", "orderId", "province")
+
+
+CITIES = ("F", "O")
+MONEY_SQL = """
+    SELECT o_orderpriority AS province, o_orderstatus AS city, strftime(o_orderdate, '%Y-%m-%d') AS day,
+           CAST(o_totalprice AS DECIMAL(18, 2)) AS money
+    FROM orders
+"""
+
+
+def totals_sql(kind: str, daily: bool) -> str:
+    key = f"'orders:money:{kind}'" + (" || ':' || day" if daily else "")
+    field = "'global'" if kind == "total" else kind
+    scope = "WHERE city IN ('F', 'O')" if kind == "city" else ""
+    return f"""
+    SELECT {key} AS key, {field} AS field, CAST(sum(money) AS VARCHAR) AS value
+    FROM ({MONEY_SQL}) {scope} GROUP BY 1, 2
+    """
+
+
+def _totals(kind: str, daily: bool) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        path = new_folder(spark, "totals")
+        money = sales.order_money(clean_orders(stream_of(spark, folder, "orders")))
+        table = keyed_table(spark, f"{path}/{kind}", *FIELD_KEYS)
+        drain(*sales.totals_writers(money, {kind: table}, f"{path}/checkpoint", daily, key_cities=CITIES).values())
+        return table.read()
+
+    return run
+
+
+for _kind in sales.KINDS:
+    query(f"stream_amt_{_kind}", totals_sql(_kind, False))(_totals(_kind, False))
+    query(f"stream_daily_amt_{_kind}", totals_sql(_kind, True))(_totals(_kind, True))
+
+
+@query("stream_amt_all", " UNION ALL ".join(totals_sql(kind, False) for kind in sales.KINDS))
+def stream_amt_all(spark: SparkSession, folder: str) -> DataFrame:
+    """The three running totals as three queries on one stream."""
+    path = new_folder(spark, "all-totals")
+    money = sales.order_money(clean_orders(stream_of(spark, folder, "orders")))
+    tables = {kind: keyed_table(spark, f"{path}/{kind}", *FIELD_KEYS) for kind in sales.KINDS}
+    drain(*sales.totals_writers(money, tables, f"{path}/checkpoint", key_cities=CITIES).values())
+    merged = tables["total"].read()
+    for kind in sales.KINDS[1:]:
+        merged = merged.unionByName(tables[kind].read())
+    return merged
