@@ -21,6 +21,8 @@ def windowed_counts(
     """Counts per sliding event-time window and key.
 
     With a ``watermark``, rows of windows that ended before it are dropped and their state freed.
+    A new watermark takes effect with the batch after the one that raised it; when batches follow
+    each other without a pause, rows are compared with the watermark of one batch earlier.
     """
     if watermark:
         timed = timed.withWatermark(time, watermark)
