@@ -20,6 +20,7 @@ _HAN = r"\p{IsHan}"
 _WORD = r"[\p{L}\p{N}&&[^\p{IsHan}]]"
 # Looking ahead from each position captures a Han pair, a lone Han character, or a whole word that
 # starts there; one character is then consumed, so pairs overlap and every text is read once.
+RUN_PATTERN = r"[\p{L}\p{N}\p{IsHan}]+"
 TERM_PATTERN = f"(?=({_HAN}{{2}}|(?<!{_HAN}){_HAN}(?!{_HAN})|(?<!{_WORD}){_WORD}+))(?s:.)"
 
 
@@ -36,17 +37,14 @@ def java_split(value: Column | str, delimiter: str) -> Column:
     """Split on a regex and drop trailing empty fields; text without the delimiter stays whole."""
     text = _column(value)
     if delimiter == SPACES:
-        tail = SPACE_CHARS
+        tail, only_tail = SPACE_CHARS, r"\A\s+\z"
     elif len(delimiter) == 1:
         tail, delimiter = delimiter, re.escape(delimiter)
+        only_tail = rf"\A(?:{delimiter})+\z"
     else:
         return _split_any(text, delimiter)
-    body = F.rtrim(text, F.lit(tail))
-    return (
-        F.when(text == "", F.array(F.lit("")))
-        .when(body == "", F.array().cast("array<string>"))
-        .otherwise(F.split(body, delimiter))
-    )
+    nothing = F.array().cast("array<string>")
+    return F.when(text.rlike(only_tail), nothing).otherwise(F.split(F.rtrim(text, F.lit(tail)), delimiter))
 
 
 def _split_any(text: Column, delimiter: str) -> Column:
@@ -56,9 +54,16 @@ def _split_any(text: Column, delimiter: str) -> Column:
     return F.when(F.size(parts) == 1, parts).otherwise(F.slice(parts, 1, kept.cast("int")))
 
 
+def trimmed_fields(value: Column | str, delimiter: str) -> Column:
+    """Fields of the trimmed text."""
+    text = trim_ws(value)
+    # trimmed text cannot end in white space, so there is no trailing field to drop
+    return F.split(text, delimiter) if delimiter in (SPACES, "\t") else java_split(text, delimiter)
+
+
 def field_count(value: Column | str, delimiter: str) -> Column:
     """Number of fields in the trimmed text."""
-    return F.size(java_split(trim_ws(value), delimiter))
+    return F.size(trimmed_fields(value, delimiter))
 
 
 def line_words(value: Column | str) -> Column:
@@ -71,6 +76,11 @@ def trimmed_words(value: Column | str) -> Column:
     return F.split(trim_ws(value), SPACES)
 
 
+def text_runs(value: Column | str) -> Column:
+    """Unbroken runs of letters, digits and Han characters; each holds whole terms."""
+    return F.regexp_extract_all(_column(value), F.lit(RUN_PATTERN), 0)
+
+
 def query_terms(value: Column | str) -> Column:
     """Search terms of a query text.
 

@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
-from ..functions.text import SPACES, field_count, java_split, trim_ws
+from ..functions.text import SPACES, field_count, trimmed_fields
 
 PLAIN_TYPES = (StringType,)
 
 
 def non_blank(lines: DataFrame, value: str = "value") -> DataFrame:
-    """Drop null lines and lines that trim to nothing."""
-    return lines.where(F.length(trim_ws(value)) > 0)
+    """Drop null lines and lines that trim to nothing; the match ends at the first visible character."""
+    return lines.where(F.col(value).rlike(r"[^\x00-\x20]"))
 
 
 def has_fields(lines: DataFrame, value: str = "value", delimiter: str = ",") -> DataFrame:
@@ -21,7 +23,8 @@ def has_fields(lines: DataFrame, value: str = "value", delimiter: str = ",") ->
 
     Blank text counts as one field and stays.
     """
-    return lines.where(field_count(value, delimiter) > 0)
+    only_delimiters = rf"\A[\x00-\x20]*(?:{re.escape(delimiter)})+[\x00-\x20]*\z"
+    return lines.where(~F.col(value).rlike(only_delimiters))
 
 
 def well_formed(lines: DataFrame, delimiter: str, fields: int, value: str = "value") -> DataFrame:
@@ -31,7 +34,7 @@ def well_formed(lines: DataFrame, delimiter: str, fields: int, value: str = "val
 
 def field(value: str, delimiter: str, position: int) -> Column:
     """One field of the trimmed text, null when the line is shorter."""
-    return F.get(java_split(trim_ws(value), delimiter), F.lit(position))
+    return F.get(trimmed_fields(value, delimiter), F.lit(position))
 
 
 def parse_lines(
@@ -48,7 +51,7 @@ def parse_lines(
     is dropped. ``rejected`` observes how many lines were read and how many were kept.
     """
     names = schema.fieldNames()
-    parts = lines.select(java_split(trim_ws(value), delimiter).alias("parts"))
+    parts = lines.select(trimmed_fields(value, delimiter).alias("parts"))
     right_size = F.coalesce(F.size("parts") == len(names), F.lit(False))
     columns, converts = [], F.lit(True)
     for position, target in enumerate(schema.fields):
@@ -79,6 +82,17 @@ def explode_words(lines: DataFrame, words: Column, keep: tuple[str, ...] = ()) -
     return lines.select(*keep, F.explode(words).alias("word"))
 
 
+def explode_line_words(lines: DataFrame, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row per word of each untrimmed line.
+
+    An empty word counts where it leads: for an empty line, and for an indented line with text.
+    Splitting leaves one at either end, so the leading one is told by its position.
+    """
+    leads = (F.col(value) == "") | F.col(value).rlike(r"\S")
+    split = lines.select(*keep, leads.alias("leads"), F.posexplode(F.split(value, SPACES)).alias("at", "word"))
+    return split.where("word <> '' OR (at = 0 AND leads)").select(*keep, "word")
+
+
 def timed_words(
     lines: DataFrame, time_first: bool = True, value: str = "value", strict: bool = False
 ) -> DataFrame:
@@ -86,7 +100,7 @@ def timed_words(
 
     A line without both parts or with an unreadable time is dropped; ``strict`` fails instead.
     """
-    parts = non_blank(lines, value).select(java_split(trim_ws(value), ",").alias("parts"))
+    parts = non_blank(lines, value).select(trimmed_fields(value, ",").alias("parts"))
     time_at, words_at = (0, 1) if time_first else (1, 0)
     if strict:
         stamp = F.to_timestamp(F.element_at("parts", time_at + 1))
@@ -94,10 +108,10 @@ def timed_words(
     else:
         stamp = F.get("parts", F.lit(time_at)).try_cast("timestamp")
         words = F.get("parts", F.lit(words_at))
-    timed = parts.select(stamp.alias("time"), java_split(words, SPACES).alias("words"))
+    timed = parts.select(stamp.alias("time"), words.alias("words"))
     if not strict:
         timed = timed.where("time IS NOT NULL")
-    return timed.select("time", F.explode("words").alias("word"))
+    return explode_line_words(timed, "words", ("time",))
 
 
 def parse_payload(records: DataFrame, schema: StructType, value: str = "value") -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import query_terms, trim_ws
+from ..functions.text import query_terms, text_runs
 from ..operators.aggregates import count_by, count_summary
 from ..operators.caching import cached
 from ..operators.parsing import explode_words, parse_search_log
@@ -18,7 +18,14 @@ def search_records(lines: DataFrame, **options) -> DataFrame:
 
 
 def term_counts(records: DataFrame, text: str = "query_words") -> DataFrame:
-    return count_by(explode_words(records, query_terms(trim_ws(text))), "word")
+    """How often each term occurs.
+
+    Runs are counted first and only the distinct ones are taken apart into terms, so the costly
+    pattern runs over the vocabulary and not over the texts.
+    """
+    runs = count_by(explode_words(records, text_runs(text)), "word", name="runs")
+    terms = runs.select(F.explode(query_terms("word")).alias("word"), "runs")
+    return terms.groupBy("word").agg(F.sum("runs").alias("count"))
 
 
 def top_terms(records: DataFrame, text: str = "query_words", k: int = 10) -> DataFrame:

@@ -5,15 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import line_words, trimmed_words
+from ..functions.text import trimmed_words
 from ..operators.aggregates import count_by, pivot_sum
-from ..operators.parsing import explode_words, non_blank
+from ..operators.parsing import explode_line_words, explode_words, non_blank
 from ..operators.ranking import top_k
 
 
 def word_counts(lines: DataFrame, value: str = "value") -> DataFrame:
     """Counts over untrimmed lines; indented and empty lines count an empty word."""
-    return count_by(explode_words(lines, line_words(value)), "word")
+    return count_by(explode_line_words(lines, value), "word")
 
 
 def stream_word_counts(lines: DataFrame, value: str = "value") -> DataFrame:

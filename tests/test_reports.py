@@ -195,3 +195,14 @@ def test_text_and_json_sources(spark, tmp_path):
     assert read_lines(spark, path).columns == ["value"]
     assert read_json(spark, path).dtypes == [("n", "bigint"), ("name", "string")]
     assert read_json(spark, path, PERSON).columns == ["name", "age", "hobby"]
+
+
+def test_terms_counted_by_run_equal_terms_of_whole_texts(spark):
+    from tallyflow.functions import query_terms
+
+    texts = ["买spark书籍 spark 中华人民 中", "中华 人民,spark2 ⺀中 été-été 買", "", " 中 ", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "query_words string")
+    direct = rows.select(F.explode(query_terms("query_words")).alias("word")).groupBy("word").count()
+    expected = {r["word"]: r["count"] for r in direct.collect()}
+    assert {r["word"]: r["count"] for r in search.term_counts(rows).collect()} == expected
+    assert expected["中华"] == 2 and expected["spark"] == 2
