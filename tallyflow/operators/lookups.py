@@ -4,18 +4,48 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ..functions.net import ipv4_to_long
+from ..functions.text import trimmed_fields
 
 BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 256 * 1024 * 1024
 SALTS = 32
 
 
-def fits_broadcast(table: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``table`` has at most ``max_rows`` rows; the count stops just past the bound."""
-    return table.limit(max_rows + 1).count() <= max_rows
+def fits_broadcast(table: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether ``table`` stays within both bounds; the check reads little more than ``max_rows`` rows."""
+    texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in table.schema.fields if f.dataType == StringType()]
+    width = sum(texts, F.lit(16 * len(table.columns)).cast("bigint"))
+    size = table.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("rows"), F.sum(width).alias("bytes")).first()
+    return size.rows <= max_rows and (size.bytes or 0) <= max_bytes
+
+
+def partition_salt(salts: int = SALTS) -> Column:
+    """Part of a key a row belongs to, taken from the task that reads it.
+
+    A hot key, even one made of identical copies, is read by many tasks and so falls into many
+    parts; and a task that is run again gives its rows the same part, which a random one may not.
+    """
+    return F.spark_partition_id() % salts
+
+
+def parse_ranges(lines: DataFrame, value: str = "value") -> DataFrame:
+    """Ranges from ``first ip|last ip|country|0|province|city|provider`` lines.
+
+    Lines whose region text has not exactly five parts are left out; their addresses get nulls.
+    """
+    parts = lines.select(trimmed_fields(value, "|").alias("parts")).where(F.size("parts") == 7)
+    ranges = parts.select(
+        ipv4_to_long(F.col("parts")[0]).alias("ip_from"),
+        ipv4_to_long(F.col("parts")[1]).alias("ip_to"),
+        F.col("parts")[4].alias("province"),
+        F.col("parts")[5].alias("city"),
+    )
+    return ranges.where("ip_from <= ip_to")
 
 
 def overlapping_ranges(ranges: DataFrame) -> DataFrame:
@@ -42,7 +72,6 @@ def locate_ips(
     names: tuple[str, ...] = ("province", "city"),
     broadcast_rows: int = BROADCAST_ROWS,
     salts: int = SALTS,
-    seed: int = 7,
 ) -> DataFrame:
     """Left-join each row to the one range that holds its IPv4 address.
 
@@ -73,7 +102,7 @@ def locate_ips(
     )
     numbered = rows.withColumn("_ip", ipv4_to_long(ip))
     if not small:
-        numbered = numbered.withColumn("_salt", (F.rand(seed) * salts).cast("int"))
+        numbered = numbered.withColumn("_salt", partition_salt(salts))
     for part, prefix, bits in ((short, "short", 24), (long, "long", 16)):
         block = F.shiftright("_ip", 32 - bits)
         match = (block == F.col(f"{prefix}_block")) & F.col("_ip").between(

@@ -73,13 +73,13 @@ class KeyedTable:
             raise FileNotFoundError(f"nothing written to {self.path}")
         if not newer:
             return self._load("base", [base])
-        changes = self._load("changes", newer)
+        written = changes = self._load("changes", newer)
         if len(newer) > 1:
-            changes = last_per_key(changes.withColumn(VERSION, _version_of_file()), self.keys, VERSION).drop(VERSION)
+            changes = last_per_key(written.withColumn(VERSION, _version_of_file()), self.keys, VERSION).drop(VERSION)
         if base is None:
             return changes
         # with few changes the join broadcasts their keys and the snapshot is not shuffled
-        kept = self._load("base", [base]).join(changes.select(*self.keys), list(self.keys), "left_anti")
+        kept = self._load("base", [base]).join(written.select(*self.keys), list(self.keys), "left_anti")
         return kept.select(*changes.columns).unionByName(changes)
 
     def _write(self, rows: DataFrame, part: str, version: int) -> None:

@@ -62,11 +62,13 @@ def keyed_sink(
     mode: str = "update",
     order_by: str | Column | None = None,
     compact_every: int = 50,
+    remove_older: bool = False,
 ) -> DataStreamWriter:
     """Upsert every micro-batch under its batch id.
 
     A complete-mode batch replaces the table. With no ``order_by`` the rows must be one per key.
-    Every ``compact_every`` batches the change sets are folded into a snapshot.
+    Every ``compact_every`` batches the change sets are folded into a snapshot and, when nothing
+    else reads the table meanwhile (``remove_older``), the files it supersedes are deleted.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
@@ -74,8 +76,8 @@ def keyed_sink(
             table.replace_all(batch, batch_id)
         else:
             table.upsert(batch, batch_id, order_by=order_by, unique=order_by is None)
-            if (batch_id + 1) % compact_every == 0:
-                table.compact()
+        if (batch_id + 1) % compact_every == 0:
+            table.compact(remove_older)
 
     return writer_of(rows, checkpoint, mode).foreachBatch(run)
 

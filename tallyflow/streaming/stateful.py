@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.lookups import partition_salt
+
 DEDUP_SALTS = 16
 
 
@@ -44,18 +46,18 @@ def first_per_key(
 
     ``within`` is a time column and a delay: keys are then forgotten once the delay has passed,
     which bounds the state. Otherwise every key ever seen is kept. On a stream, rows are first
-    deduplicated within random ``salts`` parts of their key, so that a key holding a large share of
-    a micro-batch is spread over tasks and only one row per part goes on.
+    deduplicated within ``salts`` parts of their key, so that a key holding a large share of a
+    micro-batch is spread over tasks and only one row per part goes on.
     """
     names = list(keys)
     if within is not None:
-        return rows.withWatermark(*within).dropDuplicatesWithinWatermark(names)
+        rows = rows.withWatermark(*within)
+    drop = DataFrame.dropDuplicates if within is None else DataFrame.dropDuplicatesWithinWatermark
     if rows.isStreaming and salts > 1:
-        parts = rows.withColumn("_part", (F.rand(11) * salts).cast("int"))
-        rows = parts.dropDuplicates([*names, "_part"]).drop("_part")
-    return rows.dropDuplicates(names)
+        rows = drop(rows.withColumn("_part", partition_salt(salts)), [*names, "_part"]).drop("_part")
+    return drop(rows, names)
 
 
-def deduplicated_counts(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+def deduplicated_counts(rows: DataFrame, keys: Sequence[str], salts: int = DEDUP_SALTS) -> DataFrame:
     """Count after deduplication on the same keys, which is one for every key."""
-    return rows.dropDuplicates(list(keys)).groupBy(*keys).count()
+    return first_per_key(rows, keys, salts=salts).groupBy(*keys).count()
