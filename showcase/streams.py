@@ -17,15 +17,18 @@ from tallyflow.sinks.streams import batch_sink, keyed_sink, topic_sink
 from tallyflow.sources import parquet_stream, separated_stream
 from tallyflow.streaming.lifecycle import drain
 from tallyflow.streaming.stateful import deduplicated_counts, first_per_key, flat_windows, windowed_counts
-from tallyflow.workspace import new_folder
+from tallyflow.workspace import is_folder, new_folder
 
 from .inputs import IP_RANGES_SQL, clean_orders, ip_ranges, lines_of, raw_orders, utc
 from .registry import load, query
 
 
 def stream_of(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    """A supplied table read as a stream of its files."""
-    return parquet_stream(spark, folder, load(spark, folder, table).schema, f"{table}.parquet")
+    """A supplied table, one file or a folder of files, read as a stream."""
+    schema, path = load(spark, folder, table).schema, f"{folder}/{table}.parquet"
+    if is_folder(spark, path):
+        return parquet_stream(spark, path, schema)
+    return parquet_stream(spark, folder, schema, f"{table}.parquet")
 
 
 def collected(

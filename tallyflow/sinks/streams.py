@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter
 
+from ..session import ROCKSDB_STATE
 from .keyed import KeyedTable
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+
 
 def topic_sink(
     records: DataFrame,
@@ -83,4 +86,15 @@ def keyed_sink(
 
 
 def writer_of(rows: DataFrame, checkpoint: str, mode: str) -> DataStreamWriter:
+    keep_state_on_disk(rows.sparkSession)
     return rows.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
+
+
+def keep_state_on_disk(spark: SparkSession) -> None:
+    """Use the RocksDB state store unless the session names another one.
+
+    The number of keys is then not limited by executor memory. A query restarted from a checkpoint
+    keeps the store it began with.
+    """
+    if not spark.conf.get(STATE_STORE, ""):
+        spark.conf.set(STATE_STORE, ROCKSDB_STATE)

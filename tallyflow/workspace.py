@@ -44,6 +44,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    fs, hadoop_path = file_system(spark, path)
+    return fs.exists(hadoop_path) and fs.getFileStatus(hadoop_path).isDirectory()
+
+
 def list_folders(spark: SparkSession, path: str) -> list[str]:
     """Names of the sub-folders of ``path``; empty when it does not exist."""
     fs, hadoop_path = file_system(spark, path)
