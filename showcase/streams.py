@@ -12,9 +12,10 @@ from tallyflow.operators.parsing import timed_words
 from tallyflow.plans import calls, devices, orders, persons, sales, words
 from tallyflow.schemas import PERSON
 from tallyflow.sinks.cells import FIELD_KEYS, hash_fields
+from tallyflow.sinks.files import write_text
 from tallyflow.sinks.keyed import KeyedTable, keyed_table
 from tallyflow.sinks.streams import batch_sink, keyed_sink, topic_sink
-from tallyflow.sources import parquet_stream, separated_stream
+from tallyflow.sources import line_stream, parquet_stream, separated_stream, topic_stream
 from tallyflow.streaming.lifecycle import drain
 from tallyflow.streaming.stateful import deduplicated_counts, first_per_key, flat_windows, windowed_counts
 from tallyflow.workspace import is_folder, new_folder
@@ -31,6 +32,13 @@ def stream_of(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return parquet_stream(spark, folder, schema, f"{table}.parquet")
 
 
+def topic_of(spark: SparkSession, label: str, records: DataFrame) -> DataFrame:
+    """Records written to a topic folder and read from it as a stream."""
+    path = new_folder(spark, label)
+    records.write.parquet(path)
+    return topic_stream(spark, path, file_format="parquet")
+
+
 def collected(
     spark: SparkSession, label: str, rows: DataFrame, keys: tuple[str, ...], mode: str = "update", **options
 ) -> DataFrame:
@@ -55,7 +63,10 @@ def _turn_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("stream_word_count_update", TURN_WORDS)
 def stream_word_count_update(spark: SparkSession, folder: str) -> DataFrame:
-    return collected(spark, "word-updates", _turn_counts(spark, folder), ("word",))
+    """Counts over text files, one line per line of a turn."""
+    path = write_text(load(spark, folder, "conversations").select("text"), new_folder(spark, "turns"))
+    counts = words.stream_word_counts(line_stream(spark, path))
+    return collected(spark, "word-updates", counts, ("word",))
 
 
 @query("stream_word_count_complete", TURN_WORDS)
@@ -117,9 +128,9 @@ def stream_success_etl(spark: SparkSession, folder: str) -> DataFrame:
     ]
     short = F.col("event_id") % 5 == 2
     line = F.when(short, F.concat_ws(",", *start)).otherwise(F.concat_ws(",", *start, F.lit("2")))
-    records = stream_of(spark, folder, "events").select(F.col("event_id").cast("string").alias("key"), line.alias("value"))
+    records = load(spark, folder, "events").select(F.col("event_id").cast("string").alias("key"), line.alias("value"))
     path = new_folder(spark, "calls")
-    passed = calls.calls_with_status(records, "purchase")
+    passed = calls.calls_with_status(topic_of(spark, "call-topic", records), "purchase")
     drain(topic_sink(passed, f"{path}/checkpoint", f"{path}/topic", file_format="parquet"))
     return spark.read.parquet(f"{path}/topic").select("value")
 
@@ -137,7 +148,10 @@ def _signals(spark: SparkSession, folder: str) -> DataFrame:
         F.col("value").alias("signal"),
         F.unix_millis(utc("ts")).alias("time"),
     )
-    return devices.device_signals(stream_of(spark, folder, "events").select(F.to_json(payload).alias("value")))
+    records = load(spark, folder, "events").select(
+        F.col("event_id").cast("string").alias("key"), F.to_json(payload).alias("value")
+    )
+    return devices.device_signals(topic_of(spark, "device-topic", records))
 
 
 @query("stream_device_stats", DEVICE_SQL)
@@ -227,17 +241,22 @@ ORDER_ADDRESS_SQL = """
 )
 def stream_order_etl(spark: SparkSession, folder: str) -> DataFrame:
     path = new_folder(spark, "order-etl")
-    cleaned = orders.enrich_orders(raw_orders(stream_of(spark, folder, "orders")), ip_ranges(spark, folder))
+    topic = topic_of(spark, "raw-orders", raw_orders(load(spark, folder, "orders")))
+    cleaned = orders.enrich_orders(topic, ip_ranges(spark, folder))
     drain(topic_sink(cleaned, f"{path}/checkpoint", f"{path}/topic", file_format="parquet"))
     return spark.read.parquet(f"{path}/topic")
 
 
+def _order_topic(spark: SparkSession, folder: str) -> DataFrame:
+    return topic_of(spark, "orders", clean_orders(load(spark, folder, "orders")))
+
+
 def _order_store(
     spark: SparkSession, folder: str, key: str, write: Callable[[DataFrame, KeyedTable, str], DataStreamWriter]
 ) -> DataFrame:
     path = new_folder(spark, "order-store")
     table = keyed_table(spark, f"{path}/table", key)
-    drain(write(clean_orders(stream_of(spark, folder, "orders")), table, f"{path}/checkpoint"))
+    drain(write(_order_topic(spark, folder), table, f"{path}/checkpoint"))
     return table.read()
 
 
@@ -287,7 +306,7 @@ def totals_sql(kind: str, daily: bool) -> str:
 def _totals(kind: str, daily: bool) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, folder: str) -> DataFrame:
         path = new_folder(spark, "totals")
-        money = sales.order_money(clean_orders(stream_of(spark, folder, "orders")))
+        money = sales.order_money(_order_topic(spark, folder))
         table = keyed_table(spark, f"{path}/{kind}", *FIELD_KEYS)
         drain(*sales.totals_writers(money, {kind: table}, f"{path}/checkpoint", daily, key_cities=CITIES).values())
         return table.read()
@@ -304,7 +323,7 @@ for _kind in sales.KINDS:
 def stream_amt_all(spark: SparkSession, folder: str) -> DataFrame:
     """The three running totals as three queries on one stream."""
     path = new_folder(spark, "all-totals")
-    money = sales.order_money(clean_orders(stream_of(spark, folder, "orders")))
+    money = sales.order_money(_order_topic(spark, folder))
     tables = {kind: keyed_table(spark, f"{path}/{kind}", *FIELD_KEYS) for kind in sales.KINDS}
     drain(*sales.totals_writers(money, tables, f"{path}/checkpoint", key_cities=CITIES).values())
     merged = tables["total"].read()

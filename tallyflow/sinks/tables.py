@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from ..session import setting
 from .files import balanced
 
 
@@ -77,14 +78,14 @@ def append_partitions(
 
 
 def replace_partitions(rows: DataFrame, table: str, by: str = "date_str", one_value: bool = False) -> None:
-    """Replace the partitions ``rows`` covers, so a repeated run leaves the same table."""
-    target = rows.sparkSession.read.table(table).columns
-    (
-        balanced(rows.select(*target), by, one_value)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .insertInto(table)
-    )
+    """Replace the partitions ``rows`` covers, so a repeated run leaves the same table.
+
+    Inserting into a table obeys the session option only; a static overwrite would wipe all days.
+    """
+    spark = rows.sparkSession
+    target = spark.read.table(table).columns
+    with setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+        balanced(rows.select(*target), by, one_value).write.mode("overwrite").insertInto(table)
 
 
 def partitions(spark: SparkSession, table: str) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from tallyflow.functions import ipv4_to_long
 from tallyflow.operators.lookups import fits_broadcast, keep_in_table, keep_listed, locate_ips, overlapping_ranges
 from tallyflow.schemas import IP_RANGE
+from tallyflow.session import setting
 
 RANGES = [
     (1038614528, 1039007743, "浙江省", "杭州市"),
@@ -56,8 +57,13 @@ def test_against_brute_force_with_dense_blocks_and_a_hot_address(spark, broadcas
         "ip", F.concat_ws(".", *[(F.shiftright("n", s).bitwiseAND(255)).cast("string") for s in (24, 16, 8, 0)])
     )
     ranges = spark.createDataFrame(table, IP_RANGE)
-    got = {r.id: r.city for r in locate_ips(rows, ranges, broadcast_rows=broadcast_rows).collect()}
-    assert len(got) == len(probes)
+    # without automatic broadcasts the large way really shuffles and merges
+    with setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1" if broadcast_rows == 0 else "10MB"):
+        located = locate_ips(rows.repartition(6), ranges, broadcast_rows=broadcast_rows)
+        found = located.collect()
+        assert ("SortMergeJoin" in plan_of(located)) == (broadcast_rows == 0)
+    got = {r.id: r.city for r in found}
+    assert len(found) == len(got) == len(probes)
 
     def brute(n):
         return next((city for a, b, _, city in table if a <= n <= b), None)
