@@ -51,16 +51,21 @@ def parse_ranges(lines: DataFrame, value: str = "value") -> DataFrame:
 def overlapping_ranges(ranges: DataFrame) -> DataFrame:
     """Ranges that start inside another range; the lookup needs this to be empty.
 
-    Compared within /16 blocks, so no task sees more than one block's ranges.
+    Ranges are cut at /16 blocks and reduced to one row per starting address, so a task holds at
+    most 65,536 rows of a block whatever the input repeats.
     """
-    pieces = ranges.select(
-        "ip_from", "ip_to", F.explode(F.sequence(*_blocks(16))).alias("block")
+    first, last = _blocks(16)
+    pieces = ranges.select("ip_from", "ip_to", F.explode(F.sequence(first, last)).alias("block"))
+    starts = pieces.groupBy("block", F.greatest("ip_from", F.shiftleft("block", 16)).alias("start")).agg(
+        F.count(F.lit(1)).alias("ranges"),
+        F.max("ip_to").alias("reach"),
+        F.max(F.struct("ip_from", "ip_to")).alias("latest"),
     )
-    before = Window.partitionBy("block").orderBy("ip_from", "ip_to").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("block").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
     return (
-        pieces.withColumn("reach", F.max("ip_to").over(before))
-        .where(F.col("ip_from") <= F.col("reach"))
-        .select("ip_from", "ip_to")
+        starts.withColumn("reached", F.max("reach").over(before))
+        .where((F.col("ranges") > 1) | (F.col("start") <= F.col("reached")))
+        .select("latest.*")
         .distinct()
     )
 

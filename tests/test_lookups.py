@@ -89,6 +89,10 @@ def test_overlaps_are_found(spark, ranges):
     assert overlapping_ranges(ranges).count() == 0
     extra = spark.createDataFrame([(1038900000, 1039000000, "x", "y"), (5, 9, "a", "b")], IP_RANGE)
     assert [tuple(r) for r in overlapping_ranges(ranges.unionByName(extra)).collect()] == [(1038900000, 1039000000)]
+    twice = ranges.unionByName(ranges)
+    assert overlapping_ranges(twice).count() == len(RANGES)
+    touching = spark.createDataFrame([(0, 9, "x", "y"), (10, 2**32 - 1, "a", "b")], IP_RANGE)
+    assert overlapping_ranges(touching).isEmpty()
 
 
 def test_listed_values(spark):
