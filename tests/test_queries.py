@@ -2,6 +2,7 @@
 
 import pytest
 
+import showcase
 from __spark_entry__ import SMOKE_DATA, entry, oracle_sql, queries
 from tests.compare import difference, duck
 
@@ -11,7 +12,7 @@ def connection():
     return duck(SMOKE_DATA)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(showcase.QUERIES))
 def test_query(spark, connection, name):
     assert difference(queries()[name](spark, SMOKE_DATA), connection, oracle_sql()[name]) is None
 
