@@ -9,7 +9,7 @@ from pyspark import cloudpickle
 # functions that run on executors travel whole, so executors need no copy of this package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-from . import line_rules, mixing, pieces, pii, pivots, sharding, simhash, tag_paths, toxicity  # noqa: E402,F401  (queries register on import)
+from . import language, line_rules, mixing, pieces, pii, pivots, sharding, simhash, tag_paths, toxicity  # noqa: E402,F401
 from .common import ORACLE, QUERIES  # noqa: E402
 
 __all__ = ["ORACLE", "QUERIES"]
