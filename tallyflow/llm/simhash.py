@@ -34,57 +34,84 @@ def shingle_hashes(text: str | None, width: int) -> np.ndarray:
     return np.fromiter((digest(b" ".join(words[i : i + width]), SEED) for i in range(runs)), np.uint64, runs)
 
 
-def fingerprint(hashes: np.ndarray) -> int:
-    """The fingerprint as a signed 64-bit integer; zero without shingles."""
-    ones = np.zeros(64, np.int64)
-    for start in range(0, len(hashes), CHUNK):
-        part = np.ascontiguousarray(hashes[start : start + CHUNK])
-        ones += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<i8")[0])
+def _mixed(hashes: np.ndarray) -> np.ndarray:
+    """A second hash of hashes (the finaliser of SplitMix64), for fingerprints of more than 64 bits."""
+    z = hashes + np.uint64(0x9E3779B97F4A7C15)
+    z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return z ^ (z >> np.uint64(31))
 
 
-def with_fingerprints(documents: DataFrame, width: int, text: str = "text") -> DataFrame:
-    """The columns of ``documents`` without the text, and ``fp``. The text's XXH64 stays as ``text_hash``."""
-    others = [c for c in documents.columns if c != text]
-    schema = documents.select(*others, F.lit(0).cast("bigint").alias("text_hash"), F.lit(0).cast("bigint").alias("fp")).schema
+def fingerprint(hashes: np.ndarray, words: int = 1) -> list[int]:
+    """The fingerprint as signed 64-bit integers; zero without shingles. The first is of the hashes themselves."""
+    out = []
+    for _ in range(words):
+        ones = np.zeros(64, np.int64)
+        for start in range(0, len(hashes), CHUNK):
+            part = np.ascontiguousarray(hashes[start : start + CHUNK])
+            ones += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+        out.append(int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<i8")[0]))
+        hashes = _mixed(hashes)
+    return out
+
+
+def with_fingerprints(documents: DataFrame, width: int, words: int = 1) -> DataFrame:
+    """``doc_id``, ``text_hash`` (XXH64 of the text) and ``fp``, an array of ``words`` integers."""
+    columns = "doc_id bigint, text_hash bigint, fp array<bigint>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            marks = [fingerprint(shingle_hashes(x.as_py(), width)) for x in batch.column(batch.num_columns - 1)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(marks, pa.int64())], schema.names)
+            marks = [fingerprint(shingle_hashes(x.as_py(), width), words) for x in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(marks, pa.list_(pa.int64()))], ["doc_id", "text_hash", "fp"])
+
+    return documents.select("doc_id", F.xxhash64("text"), "text").mapInArrow(run, columns)
+
+
+def _join_labels(label: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Labels after the pairs ``(x, y)`` are joined: hooks to the smaller label until none differ."""
+    while True:
+        p, q = label[x], label[y]
+        apart = p != q
+        if not apart.any():
+            return label
+        x, y, p, q = x[apart], y[apart], p[apart], q[apart]
+        np.minimum.at(label, np.maximum(p, q), np.minimum(p, q))
+        while (label[label] != label).any():
+            label = label[label]
 
-    return documents.select(*others, F.xxhash64(text).alias("text_hash"), text).mapInArrow(run, schema)
+
+def _distance(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Differing bits of every row of ``left`` from every row of ``right``."""
+    found = np.bitwise_count(left[:, None, 0] ^ right[None, :, 0])
+    for k in range(1, left.shape[1]):
+        found += np.bitwise_count(left[:, None, k] ^ right[None, :, k])
+    return found
 
 
 def link_within(left: np.ndarray, right: np.ndarray, radius: int, same: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Spanning forest of the pairs ``(left, right)`` at ``radius`` bits or fewer, as two arrays of values."""
-    values = left if same else np.concatenate([left, right])
+    """Spanning forest of the pairs at ``radius`` bits or fewer, as places in ``left`` followed by ``right``."""
     shift = 0 if same else len(left)
-    label = np.arange(len(values))
-    rows = max(1, (1 << 21) // max(1, min(len(right), 1 << 14)))
+    label = np.arange(len(left) + (0 if same else len(right)))
+    rows, columns = 128, 1 << 13
     for i in range(0, len(left), rows):
-        block = left[i : i + rows, None]
-        for j in range(i if same else 0, len(right), 1 << 14):
-            x, y = np.nonzero(np.bitwise_count(block ^ right[None, j : j + (1 << 14)]) <= radius)
-            x, y = x + i, y + j + shift
-            while True:
-                p, q = label[x], label[y]
-                apart = p != q
-                if not apart.any():
-                    break
-                x, y, p, q = x[apart], y[apart], p[apart], q[apart]
-                np.minimum.at(label, np.maximum(p, q), np.minimum(p, q))
-                while (label[label] != label).any():
-                    label = label[label]
-    joined = np.nonzero(label != np.arange(len(values)))[0]
-    return values[joined], values[label[joined]]
-
-
-def _segment_counts(fp: Column, segments: int) -> Column:
-    """Population counts of the segments as one array."""
+        block = left[i : i + rows]
+        for j in range(i if same else 0, len(right), columns):
+            x, y = np.nonzero(_distance(block, right[j : j + columns]) <= radius)
+            label = _join_labels(label, x + i, y + j + shift)
+    joined = np.nonzero(label != np.arange(len(label)))[0]
+    return joined, label[joined]
+
+
+def _segment_counts(fp: Column, words: int, segments: int) -> Column:
+    """Population counts of the segments of the first word, or of the whole fingerprint, as one array."""
+    if segments == 1:
+        total = F.bit_count(F.get(fp, 0))
+        for k in range(1, words):
+            total += F.bit_count(F.get(fp, k))
+        return F.array(total.cast("int"))
     width = 64 // segments
-    mask = F.lit((1 << width) - 1 if segments > 1 else -1).cast("bigint")
-    return F.array(*[F.bit_count(F.shiftrightunsigned(fp, k * width).bitwiseAND(mask)).cast("int") for k in range(segments)])
+    mask = F.lit((1 << width) - 1).cast("bigint")
+    return F.array(*[F.bit_count(F.shiftrightunsigned(F.get(fp, 0), k * width).bitwiseAND(mask)).cast("int") for k in range(segments)])
 
 
 def _offsets(segments: int, radius: int) -> list[tuple[int, ...]]:
@@ -93,21 +120,21 @@ def _offsets(segments: int, radius: int) -> list[tuple[int, ...]]:
     return [o for o in every if sum(map(abs, o)) <= radius and o >= (0,) * segments]
 
 
-def fingerprint_links(distinct: DataFrame, radius: int) -> DataFrame:
-    """Edges ``(a, b)`` that connect all values of the ``fp`` column which are ``radius`` bits or fewer apart.
+def fingerprint_links(distinct: DataFrame, radius: int, words: int = 1) -> DataFrame:
+    """Edges ``(a, b)`` between keys that connect all fingerprints which are ``radius`` bits or fewer apart.
 
-    ``distinct`` has each value once. Four segments prune best for a small radius; for a large one the neighbouring
-    cells would be too many and the whole count is used. A cell is dealt into tiles by a hash.
+    ``distinct`` has ``key`` (bigint, unique) and ``fp``. Four segments prune best for a small radius; for a large one
+    the neighbouring cells would be too many and the whole count is used. A cell is dealt into tiles by a hash.
     """
     segments = 4 if radius <= 3 else 1
-    rows = distinct.select("fp", _segment_counts(F.col("fp"), segments).alias("cell"))
+    rows = distinct.select("key", "fp", _segment_counts(F.col("fp"), words, segments).alias("cell"))
     sizes = rows.groupBy("cell").agg(F.count("*").alias("n"))
     total = sizes.agg(F.sum("n")).first()[0] or 0
     most = min(LARGEST_TILE, max(SMALLEST_TILE, total // TILES))
     dealt = rows.join(sizes, "cell").select(
-        "fp", "cell", F.pmod(F.xxhash64("fp", F.lit(7)), F.ceil(F.col("n") / most)).cast("int").alias("part")
+        F.concat(F.array("key"), "fp").alias("row"), "cell", F.pmod(F.xxhash64("key", F.lit(7)), F.ceil(F.col("n") / most)).cast("int").alias("part")
     )
-    tiles = stored(dealt.groupBy("cell", "part").agg(F.collect_list("fp").alias("fps")), "tiles")
+    tiles = stored(dealt.groupBy("cell", "part").agg(F.flatten(F.collect_list("row")).alias("rows")), "tiles")
     heads = tiles.select("cell", "part")
     steps = F.array(*[F.array(*map(F.lit, o)) for o in _offsets(segments, radius)])
     near = F.zip_with("cell", F.col("step"), lambda c, s: c + s)
@@ -115,34 +142,149 @@ def fingerprint_links(distinct: DataFrame, radius: int) -> DataFrame:
         F.col("cell").alias("cell_a"), F.col("part").alias("part_a"), near.alias("cell")
     )
     pairs = ahead.join(heads, "cell").where("cell <> cell_a or part >= part_a")
-    left = tiles.select(F.col("cell").alias("cell_a"), F.col("part").alias("part_a"), F.col("fps").alias("a"))
-    right = tiles.select("cell", "part", F.col("fps").alias("b"))
+    left = tiles.select(F.col("cell").alias("cell_a"), F.col("part").alias("part_a"), F.col("rows").alias("a"))
+    right = tiles.select("cell", "part", F.col("rows").alias("b"))
     both = pairs.join(left, ["cell_a", "part_a"]).join(right, ["cell", "part"])
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for a, b, same in frame.itertuples(index=False):
-                u, v = link_within(np.asarray(a, "<i8").view(np.uint64), np.asarray(b, "<i8").view(np.uint64), radius, same)
-                yield pd.DataFrame({"a": u.view(np.int64), "b": v.view(np.int64)})
+                a, b = (np.asarray(x, "<i8").reshape(-1, words + 1) for x in (a, b))
+                u, v = link_within(np.ascontiguousarray(a[:, 1:]).view(np.uint64), np.ascontiguousarray(b[:, 1:]).view(np.uint64), radius, same)
+                keys = a[:, 0] if same else np.concatenate([a[:, 0], b[:, 0]])
+                yield pd.DataFrame({"a": keys[u], "b": keys[v]})
 
     same = (F.col("cell") == F.col("cell_a")) & (F.col("part") == F.col("part_a"))
     return both.select("a", "b", same.alias("same")).mapInPandas(run, "a bigint, b bigint")
 
 
+def _named(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
+    return documents.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
+
+
 def simhash_groups(documents: DataFrame, width: int = 3, radius: int = 2, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Return ``doc_id``, ``text_hash``, ``fp`` and ``component_id``, one row per row of ``documents``.
+    """Return ``doc_id``, ``fp`` and ``component_id``, one row per row of ``documents``.
 
     Components are taken over all fingerprints at ``radius`` bits or fewer; their id is the smallest ``doc_id`` in them.
     Null and blank texts have fingerprint zero and are linked like any other. Equal texts and repeated rows share a
     fingerprint. A null ``doc_id`` stays and never names a component that has another. Other columns are not read;
     an empty table gives an empty one.
     """
-    marked = stored(with_fingerprints(documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), width), "fingerprints")
-    first = marked.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
-    linked = connected_components(fingerprint_links(first, radius))
-    named = first.join(linked, F.col("fp") == F.col("node"), "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
+    marked = stored(with_fingerprints(_named(documents, doc_id, text), width).select("doc_id", F.get("fp", 0).alias("key")), "fingerprints")
+    first = marked.groupBy("key").agg(F.min("doc_id").alias("first_id"))
+    linked = connected_components(fingerprint_links(first.select("key", F.array("key").alias("fp")), radius))
+    named = first.join(linked, F.col("key") == F.col("node"), "left").select("key", "first_id", F.coalesce("root", "key").alias("root"))
     ids = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    return marked.join(named.join(ids, "root").select("fp", "component_id"), "fp").select("doc_id", "text_hash", "fp", "component_id")
+    return marked.join(named.join(ids, "root").select("key", "component_id"), "key").select("doc_id", F.col("key").alias("fp"), "component_id")
+
+
+def _confirmed(rows: list[tuple[int, np.ndarray, np.ndarray, int]], radius: int, similarity: float, cross: bool) -> list[tuple[int, int]]:
+    """Links among texts ``(hash, fp, shingles, side)`` of one candidate group: close fingerprints first, then Jaccard."""
+    words = np.array([r[1] for r in rows])
+    distance = _distance(words, words)
+    x, y = np.nonzero(np.triu(distance <= radius, 1))
+    order = np.argsort(distance[x, y], kind="stable")
+    root, found = list(range(len(rows))), []
+
+    def top(i: int) -> int:
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    for i, j in zip(x[order].tolist(), y[order].tolist(), strict=True):
+        if (cross and rows[i][3] == rows[j][3]) or (p := top(i)) == (q := top(j)):
+            continue
+        a, b = rows[i][2], rows[j][2]
+        small, large = sorted((len(a), len(b)))
+        if small < similarity * large:
+            continue
+        shared = len(np.intersect1d(a, b, assume_unique=True))
+        if shared >= similarity * (small + large - shared):
+            root[max(p, q)] = min(p, q)
+            found.append((rows[i][0], rows[j][0]))
+    return found
+
+
+def near_duplicates(
+    documents: DataFrame, width: int = 5, similarity: float = 0.8, radius: int = 30, words: int = 2, doc_id: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """``(doc_id, text_hash, n_rows, root)`` per distinct id and text; texts of one ``root`` are near duplicates.
+
+    Fingerprints of 128 bits within ``radius`` propose groups: at similarity 0.8 the expected distance is 19, while
+    unrelated texts differ by 64. Within a proposed group, pairs at that distance are confirmed by the exact similarity
+    of their shingle sets. Groups of more than ``GROUP`` texts are confirmed tile by tile. Blank and null texts are
+    duplicates of each other.
+    """
+    texts = _named(documents, doc_id, text)
+    marked = stored(with_fingerprints(texts, width, words), "fingerprints")
+    distinct = marked.groupBy(F.col("text_hash").alias("key")).agg(F.first("fp").alias("fp"))
+    proposed = stored(connected_components(fingerprint_links(distinct, radius, words)), "proposed")
+    edges = confirmed_links(texts, proposed, width, similarity, radius, words)
+    roots = connected_components(edges)
+    rows = marked.groupBy("doc_id", "text_hash").agg(F.count("*").alias("n_rows"))
+    return rows.join(roots, F.col("text_hash") == F.col("node"), "left").select("doc_id", "text_hash", "n_rows", F.coalesce("root", "text_hash").alias("root"))
+
+
+GROUP = 256  # texts confirmed together, or on each side of two tiles
+
+
+def confirmed_links(texts: DataFrame, proposed: DataFrame, width: int, similarity: float, radius: int, words: int) -> DataFrame:
+    """Edges between text hashes of proposed groups whose shingle sets are similar enough."""
+    sizes = proposed.groupBy("root").agg(F.count("*").alias("n"))
+    members = proposed.join(sizes, "root").select(F.col("node").alias("text_hash"), "root", F.ceil(F.col("n") / GROUP).cast("int").alias("tiles"))
+    buckets = max(1, proposed.count() // GROUP)
+    once = texts.select(F.xxhash64("text").alias("text_hash"), "text").join(members, "text_hash")
+    once = once.groupBy("text_hash").agg(F.first("text").alias("text"), F.first("root").alias("root"), F.first("tiles").alias("tiles"))
+    columns = "text_hash bigint, root bigint, tiles int, fp array<bigint>, shingles array<bigint>"
+
+    def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes = [shingle_hashes(x.as_py(), width) for x in batch.column(3)]
+            arrays = [pa.array([fingerprint(h, words) for h in hashes], pa.list_(pa.int64())), pa.array([np.unique(h).view(np.int64) for h in hashes], pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *arrays], ["text_hash", "root", "tiles", "fp", "shingles"])
+
+    full = once.select("text_hash", "root", "tiles", "text").mapInArrow(shingled, columns)
+    tile = F.pmod(F.xxhash64("text_hash", F.lit(3)), F.col("tiles")).cast("int")
+    # small groups share a bucket; a large one has a task for each pair of its tiles
+    meets = F.transform(
+        F.sequence(F.lit(0), F.col("tiles") - 1),
+        lambda o: F.struct(F.least(o, F.col("tile")).alias("low"), F.greatest(o, F.col("tile")).alias("high")),
+    )
+    home = F.when(F.col("tiles") == 1, F.pmod(F.xxhash64("root"), F.lit(buckets))).otherwise(F.col("root"))
+    dealt = full.withColumn("tile", tile).withColumn("m", F.explode(meets)).withColumn("home", home)
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        found: list[tuple[int, int]] = []
+        for _, group in frame.groupby("root"):
+            cross = group["tile"].nunique() > 1
+            rows = [(h, np.asarray(f, "<i8").view(np.uint64), np.asarray(s, "<i8"), t) for h, f, s, t in zip(group["text_hash"], group["fp"], group["shingles"], group["tile"], strict=True)]
+            found += _blank_links(rows) + _confirmed(rows, radius, similarity, cross)
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    keyed = dealt.select("home", "tiles", F.col("m.low").alias("low"), F.col("m.high").alias("high"), "root", "tile", "text_hash", "fp", "shingles")
+    return stored(keyed.groupBy("home", F.col("tiles") > 1, "low", "high").applyInPandas(run, "a bigint, b bigint"), "confirmed")
+
+
+def _blank_links(rows: list[tuple[int, np.ndarray, np.ndarray, int]]) -> list[tuple[int, int]]:
+    blank = [r[0] for r in rows if not len(r[2])]
+    return [(blank[0], other) for other in blank[1:]]
+
+
+def without_near_duplicates(documents: DataFrame, width: int = 5, similarity: float = 0.8, radius: int = 30, words: int = 2) -> DataFrame:
+    """``documents`` with one row of each group of near duplicates: the smallest ``doc_id``, null ids last.
+
+    Of rows that repeat an id and a text one stays. All columns pass through unchanged.
+    """
+    groups = near_duplicates(documents, width, similarity, radius, words)
+    first = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash", "n_rows")
+    winners = groups.groupBy("root").agg(F.min(first).alias("w")).select(
+        F.col("w.doc_id").alias("_id"), F.col("w.text_hash").alias("_hash"), F.col("w.n_rows").alias("_rows")
+    )
+    keyed = documents.withColumn("_text", F.xxhash64("text"))
+    kept = keyed.join(winners, keyed["doc_id"].cast("bigint").eqNullSafe(winners["_id"]) & (keyed["_text"] == winners["_hash"]))
+    single = kept.where("_rows = 1").select(documents.columns)
+    return single.unionByName(kept.where("_rows > 1").dropDuplicates(["_id", "_hash"]).select(documents.columns))
 
 
 @query("op1_simhash")
