@@ -49,3 +49,14 @@ def words_of(text: Column) -> Column:
 def doc_crc(doc_id: Column) -> Column:
     """CRC-32 of the identifier's decimal text."""
     return F.crc32(doc_id.cast("string").cast("binary"))
+
+
+def packed(documents: DataFrame, *needed: str | Column) -> DataFrame:
+    """``row``, a struct of all columns, beside the needed ones: own names can't clash with those of the table."""
+    return documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"), *needed)
+
+
+def unpacked(rows: DataFrame, without: tuple[str, ...] = (), *more: str | Column) -> DataFrame:
+    """The columns of ``row`` again, less those that results replace, and the results."""
+    names = [f.name for f in rows.schema["row"].dataType.fields if f.name not in without]
+    return rows.select(*[F.col("row").getField(n).alias(n) for n in names], *more)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLANK, BLANKS, query, table
+from .common import BLANK, BLANKS, packed, query, table, unpacked
 
 SYMBOLS = "#*$%&|<>"
 FEWEST_WORDS, MOST_REPEATED, WINDOW = 20, 30, 8
@@ -68,12 +68,12 @@ def clean_lines(documents: DataFrame) -> DataFrame:
     except that columns named like a result are replaced. Long texts are treated whole.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = documents.withColumn("words", _words(text)).withColumn("lines", F.filter(F.split(text, "\n"), lambda x: x.rlike(f"[^{BLANK}]")))
+    rows = packed(documents, "text").withColumn("words", _words(text)).withColumn("lines", F.filter(F.split(text, "\n"), lambda x: x.rlike(f"[^{BLANK}]")))
     rows = _repeated_words(rows).withColumn("unique_lines", F.array_distinct("lines"))
     rows = rows.withColumn("clean_text", F.array_join(F.filter("unique_lines", lambda x: ~line_fails(x)), "\n"))
     solid = lambda x: F.length(F.translate(x, BLANKS, ""))
     rows = rows.select(
-        *[c for c in documents.columns if c not in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "clean_text", "clean_chars")],
+        "row",
         F.size("words").cast("bigint").alias("n_words"),
         solid(text).cast("bigint").alias("word_chars"),
         (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("bigint").alias("n_symbols"),
@@ -83,11 +83,11 @@ def clean_lines(documents: DataFrame) -> DataFrame:
         solid(F.col("clean_text")).cast("bigint").alias("clean_chars"),
     )
     failed = (F.col("n_words") < FEWEST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
-    return rows.withColumn("base_failed", failed).withColumn(
-        "kept", ~F.col("base_failed") & (100 * F.col("clean_chars") >= LEAST_LEFT * F.col("word_chars"))
-    )
+    kept = ~F.col("base_failed") & (100 * F.col("clean_chars") >= LEAST_LEFT * F.col("word_chars"))
+    return unpacked(rows.withColumn("base_failed", failed).withColumn("kept", kept), RESULTS, *RESULTS)
 
 
+RESULTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "clean_text", "clean_chars", "base_failed", "kept")
 _COUNT = "(length({0}) - length(regexp_replace({0}, '{1}', '', 'g')))"
 _WORDS = f"regexp_extract_all({{0}}, '[^{BLANK}]+')"
 ORACLE = f"""

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BLANK, query, table, words_of
+from .common import BLANK, packed, query, table, unpacked, words_of
 
 WEIGHTS = (5, 2, 1)
 SHARE, MOST = 1.5, 2
@@ -50,11 +50,18 @@ def with_copies(documents: DataFrame, seed: int = 0, weights: Sequence[int] = WE
 
     Each document is taken ``floor(rate)`` times, rate being its source's target over its size, and once more where the
     hash of seed, ``doc_id`` and size falls below the fraction. Null and blank texts have size 0; a null source is a
-    source of its own; a source without words has target 0 and rate 0; repeated rows get the same copies. Columns of
-    ``documents`` are kept; the four names must not be among them.
+    source of its own; a source without words has target 0 and rate 0; repeated rows get the same copies. Other columns
+    are kept, columns with one of the four names are replaced.
     """
+    return unpacked(_planned(documents, seed, weights, share, most), PLAN, *PLAN)
+
+
+PLAN = ("mix_size", "mix_source_size", "mix_target", "mix_copies")
+
+
+def _planned(documents: DataFrame, seed: int, weights: Sequence[int], share: float, most: int) -> DataFrame:
     key = F.struct(F.col("source").alias("s"))  # never null, so a null source is joined like any other
-    sized = documents.withColumn("mix_size", F.size(words_of(F.col("text"))).cast("bigint"))
+    sized = packed(documents, "doc_id", "source", "text").withColumn("mix_size", F.size(words_of(F.col("text"))).cast("bigint"))
     targets = source_targets(sized.select("source", F.col("mix_size").alias("size")), weights, share, most).select(
         key.alias("mix_key"), F.col("source_size").alias("mix_source_size"), F.col("target").alias("mix_target")
     )
@@ -63,7 +70,7 @@ def with_copies(documents: DataFrame, seed: int = 0, weights: Sequence[int] = WE
     rate = F.when(F.col("mix_source_size") > 0, F.col("mix_target") / F.col("mix_source_size")).otherwise(F.lit(0.0))
     once = _chance(seed, F.col("doc_id"), F.col("mix_size")) < rate - F.floor(rate)
     return (
-        sized.withColumn("mix_key", key)
+        sized.drop("text").withColumn("mix_key", key)
         .join(targets, "mix_key")
         .drop("mix_key")
         .withColumn("mix_copies", F.least(F.floor(rate) + once.cast("int"), F.lit(most)).cast("int"))
@@ -72,8 +79,8 @@ def with_copies(documents: DataFrame, seed: int = 0, weights: Sequence[int] = WE
 
 def mixed(documents: DataFrame, seed: int = 0, weights: Sequence[int] = WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
     """The mix itself: every document as often as it is taken, in the columns of ``documents``."""
-    plan = with_copies(documents, seed, weights, share, most).where("mix_copies > 0")
-    return plan.withColumn("mix_copy", F.explode(F.sequence(F.lit(1), "mix_copies"))).select(documents.columns)
+    plan = _planned(documents, seed, weights, share, most).where("mix_copies > 0")
+    return unpacked(plan.withColumn("mix_copy", F.explode(F.sequence(F.lit(1), "mix_copies"))))
 
 
 def mix_sql(documents: str = "documents") -> str:

@@ -26,6 +26,7 @@ from .components import connected_components
 COSINE = 0.98
 NEAREST, SHARED = 8, 4
 FEWEST_PIVOTS, MOST_PIVOTS = 128, 4096
+DRAWN, APART = 4, 0.9  # vectors drawn for each pivot, and the cosine two pivots stay below
 TILE = 1024  # vectors of a list that meet another tile at a time
 BLOCK = 1 << 16  # pairs verified at a time
 
@@ -68,10 +69,22 @@ def describe(distinct: DataFrame, pivots: np.ndarray, nearest: int = NEAREST) ->
 
 
 def choose_pivots(distinct: DataFrame, count: int) -> np.ndarray:
-    """A bounded sample of distinct vectors, by hash: the only thing fitted, and the only vectors the driver sees."""
-    rows = distinct.select("vector", "node").orderBy(F.xxhash64("node"), "node").limit(count).collect()
+    """A bounded sample of distinct vectors, by hash: the only thing fitted, and the only vectors the driver sees.
+
+    Pivots keep their distance from each other. Many in one dense region would be the nearest of all its vectors in an
+    order that is mere noise, and alike vectors would share few of them.
+    """
+    rows = distinct.select("vector", "node").orderBy(F.xxhash64("node"), "node").limit(DRAWN * count).collect()
     width = max((len(r["vector"]) for r in rows), default=1)
-    return _normal(_fitted([np.asarray(r["vector"], float) for r in rows], width)) if rows else np.zeros((0, 1))
+    if not rows:
+        return np.zeros((0, 1))
+    drawn = _fitted([np.asarray(r["vector"], float) for r in rows], width)
+    drawn = _normal(drawn[(drawn != 0).any(axis=1)])
+    kept = np.zeros((0, width))
+    for vector in drawn:
+        if len(kept) < count and (not len(kept) or (kept @ vector).max() < APART):
+            kept = np.vstack([kept, vector])
+    return kept
 
 
 def _forest(size: int, x: np.ndarray, y: np.ndarray, label: np.ndarray) -> np.ndarray:

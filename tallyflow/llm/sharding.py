@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import query, stored, table
+from .common import packed, query, stored, table, unpacked
 
 SHARDS, ROUNDS = 16, 6
 BUCKET_ROWS = 20_000  # rows that are numbered together
@@ -153,11 +153,11 @@ def sharded(documents: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS, bu
     repeated rows are told apart by a number within their repetition, so each gets its own slot. Columns named like a
     result are replaced, the text is not returned.
     """
-    data = F.col("text").cast("binary")
-    others = [c for c in documents.columns if c not in ("text", "size", "text_crc32", "shard", "slot", "node", "key")]
-    base = documents.select(
-        *others,
-        (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("bigint").alias("size"),
+    data = F.col("row.text").cast("binary")
+    base = packed(documents.select(*[F.col(f"`{c}`") for c in documents.columns if c != "text"], "text"), "doc_id").select(
+        "doc_id",
+        F.col("row").dropFields("text").alias("row"),
+        (F.coalesce(F.octet_length("row.text"), F.lit(0)) + 1).cast("bigint").alias("size"),
         F.coalesce(F.crc32(data), F.lit(0)).cast("bigint").alias("text_crc32"),
         F.md5(data).alias("key"),
     )
@@ -167,7 +167,7 @@ def sharded(documents: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS, bu
     salted = tied.withColumn("nth", F.when(F.col("_id").isNotNull() | F.col("_key").isNotNull(), F.monotonically_increasing_id()).otherwise(F.lit(0)))
     rows = stored(salted.drop("_id", "_key").withColumn("node", F.struct("doc_id", "key", "nth")), "documents")
     placed = balanced_shards(rows.select("node", "key", "size"), shards, rounds, bucket_rows)
-    return rows.join(placed, "node").drop("node", "key", "nth")
+    return unpacked(rows.join(placed, "node"), ("size", "text_crc32", "shard", "slot"), "size", "text_crc32", "shard", "slot")
 
 
 @query("op6_sharding")

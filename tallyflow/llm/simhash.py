@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import query, stored, table
+from .common import packed, query, stored, table, unpacked
 from .components import connected_components
 
 SEED = 42
@@ -281,10 +281,10 @@ def without_near_duplicates(documents: DataFrame, width: int = 5, similarity: fl
     winners = groups.groupBy("root").agg(F.min(first).alias("w")).select(
         F.col("w.doc_id").alias("_id"), F.col("w.text_hash").alias("_hash"), F.col("w.n_rows").alias("_rows")
     )
-    keyed = documents.withColumn("_text", F.xxhash64("text"))
-    kept = keyed.join(winners, keyed["doc_id"].cast("bigint").eqNullSafe(winners["_id"]) & (keyed["_text"] == winners["_hash"]))
-    single = kept.where("_rows = 1").select(documents.columns)
-    return single.unionByName(kept.where("_rows > 1").dropDuplicates(["_id", "_hash"]).select(documents.columns))
+    keyed = packed(documents, F.col("doc_id").cast("bigint").alias("id"), F.xxhash64("text").alias("hash"))
+    kept = keyed.join(winners, keyed["id"].eqNullSafe(winners["_id"]) & (keyed["hash"] == winners["_hash"]))
+    single, repeated = kept.where("_rows = 1"), kept.where("_rows > 1").dropDuplicates(["_id", "_hash"])
+    return unpacked(single.select("row")).unionByName(unpacked(repeated.select("row")))
 
 
 @query("op1_simhash")
