@@ -205,10 +205,10 @@ def json_scan(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     "typed_rows",
     """
-    SELECT label, count(*) AS count
-    FROM events JOIN (VALUES ('click', 'engaged'), ('purchase', 'engaged'), ('view', 'passive'), ('signup', 'new'))
+    SELECT coalesce(label, 'other') AS label, count(*) AS count
+    FROM events LEFT JOIN (VALUES ('click', 'engaged'), ('purchase', 'engaged'), ('view', 'passive'), ('signup', 'new'))
          AS kinds(event_type, label) USING (event_type)
-    GROUP BY label
+    GROUP BY 1
     """,
 )
 def typed_rows(spark: SparkSession, folder: str) -> DataFrame:
@@ -218,7 +218,8 @@ def typed_rows(spark: SparkSession, folder: str) -> DataFrame:
         "event_type string, label string",
     )
     counts = load(spark, folder, "events").groupBy("event_type").count()
-    return counts.join(kinds, "event_type").groupBy("label").agg(F.sum("count").alias("count"))
+    labelled = counts.join(kinds, "event_type", "left").withColumn("label", F.coalesce("label", F.lit("other")))
+    return labelled.groupBy("label").agg(F.sum("count").alias("count"))
 
 
 @query(
@@ -298,13 +299,13 @@ def _addressed(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("ip_region_lookup", LOOKUP_SQL)
 def ip_region_lookup(spark: SparkSession, folder: str) -> DataFrame:
-    return locate_ips(_addressed(spark, folder), ip_ranges(spark, folder)).drop("ip")
+    return locate_ips(_addressed(spark, folder), ip_ranges(spark, folder), disjoint=True).drop("ip")
 
 
 @query("ip_region_lookup_shuffled", LOOKUP_SQL)
 def ip_region_lookup_shuffled(spark: SparkSession, folder: str) -> DataFrame:
     """The same lookup on the way taken when the ranges are too many to broadcast."""
-    return locate_ips(_addressed(spark, folder), ip_ranges(spark, folder), broadcast_rows=0).drop("ip")
+    return locate_ips(_addressed(spark, folder), ip_ranges(spark, folder), broadcast_rows=0, disjoint=True).drop("ip")
 
 
 @query(

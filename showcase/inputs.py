@@ -132,3 +132,13 @@ def clean_orders(orders: DataFrame) -> DataFrame:
 
 def order_time() -> Column:
     return F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss.SSS")
+
+
+ORDER_ADDRESS_SQL = """(
+    o_orderkey % 1000 * 4294967 + CASE WHEN o_orderkey % 1000 % 5 = 0 THEN (o_orderkey // 1000) % 150
+                                       ELSE (o_orderkey * 7919) % 4294967 END
+)"""
+ORDER_IP_SQL = f"""(
+    {ORDER_ADDRESS_SQL} // 16777216 || '.' || {ORDER_ADDRESS_SQL} // 65536 % 256 || '.' || {ORDER_ADDRESS_SQL} // 256 % 256
+    || '.' || {ORDER_ADDRESS_SQL} % 256
+)"""

@@ -14,13 +14,13 @@ from tallyflow.schemas import PERSON
 from tallyflow.sinks.cells import FIELD_KEYS, hash_fields
 from tallyflow.sinks.files import write_text
 from tallyflow.sinks.keyed import KeyedTable, keyed_table
-from tallyflow.sinks.streams import batch_sink, keyed_sink, topic_sink
+from tallyflow.sinks.streams import batch_sink, keep_state_on_disk, keyed_sink, topic_sink
 from tallyflow.sources import line_stream, parquet_stream, separated_stream, topic_stream
 from tallyflow.streaming.lifecycle import drain
 from tallyflow.streaming.stateful import deduplicated_counts, first_per_key, flat_windows, windowed_counts
 from tallyflow.workspace import is_folder, new_folder
 
-from .inputs import IP_RANGES_SQL, clean_orders, ip_ranges, lines_of, raw_orders, utc
+from .inputs import IP_RANGES_SQL, ORDER_ADDRESS_SQL, ORDER_IP_SQL, clean_orders, ip_ranges, lines_of, raw_orders, utc
 from .registry import load, query
 
 
@@ -188,7 +188,7 @@ def _window_report(spark: SparkSession, label: str, counts: DataFrame, mode: str
 @query("stream_sliding_window", WINDOW_SQL)
 def stream_sliding_window(spark: SparkSession, folder: str) -> DataFrame:
     timed = timed_words(_timed_lines(spark, folder, True))
-    counts = windowed_counts(timed, length="2 hours", slide="1 hour").orderBy("window")
+    counts = windowed_counts(timed, length="2 hours", slide="1 hour")
     return _window_report(spark, "windows", counts, "complete")
 
 
@@ -207,6 +207,7 @@ def _keys(spark: SparkSession, folder: str) -> DataFrame:
 def stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
     first = first_per_key(_keys(spark, folder), ["user_id", "event_type"])
     path = new_folder(spark, "firsts")
+    keep_state_on_disk(spark)
     drain(first.writeStream.format("parquet").option("path", f"{path}/rows").option("checkpointLocation", f"{path}/checkpoint"))
     return spark.read.parquet(f"{path}/rows")
 
@@ -220,12 +221,6 @@ def stream_dedup_count(spark: SparkSession, folder: str) -> DataFrame:
     return collected(spark, "first-counts", counts, ("user_id", "event_type"), "complete")
 
 
-ORDER_ADDRESS_SQL = """
-    o_orderkey % 1000 * 4294967 + CASE WHEN o_orderkey % 1000 % 5 = 0 THEN (o_orderkey // 1000) % 150
-                                       ELSE (o_orderkey * 7919) % 4294967 END
-"""
-
-
 @query(
     "stream_order_etl",
     f"""
@@ -252,37 +247,61 @@ def _order_topic(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _order_store(
-    spark: SparkSession, folder: str, key: str, write: Callable[[DataFrame, KeyedTable, str], DataStreamWriter]
+    spark: SparkSession, folder: str, key: str, write: Callable[[DataFrame, KeyedTable, str], DataStreamWriter], merge: str = "row"
 ) -> DataFrame:
     path = new_folder(spark, "order-store")
-    table = keyed_table(spark, f"{path}/table", key)
+    table = keyed_table(spark, f"{path}/table", key, merge=merge)
     drain(write(_order_topic(spark, folder), table, f"{path}/checkpoint"))
     return table.read()
 
 
-STORED_ORDERS = """
+STORED_ORDERS = f"""
     SELECT CAST(o_orderkey AS VARCHAR) AS orderId, CAST(o_custkey AS VARCHAR) AS userId,
            CAST(CAST(o_totalprice AS DECIMAL(18, 2)) AS VARCHAR) AS orderMoney, o_orderpriority AS province,
-           o_orderstatus AS city, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S.%g') AS orderTime
+           o_orderstatus AS city, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S.%g') AS orderTime, {ORDER_IP_SQL} AS ip,
+           '0' AS orderStatus
     FROM orders
 """
+ORDER_ROWS = f"""
+    SELECT row_key, o.orderId AS orderId, o.userId AS userId, o.orderTime AS orderTime, o.ip AS ip, o.orderMoney AS orderMoney,
+           o.orderStatus AS orderStatus, o.province AS province, o.city AS city
+    FROM (SELECT reverse(userId) || '_' || orderTime AS row_key, max_by(o, orderId) AS o FROM ({{orders}}) AS o GROUP BY 1)
+"""
 
 
 @query("stream_order_documents", STORED_ORDERS)
 def stream_order_documents(spark: SparkSession, folder: str) -> DataFrame:
-    return _order_store(spark, folder, "orderId", orders.index_orders).drop("ip", "orderStatus")
+    return _order_store(spark, folder, "orderId", orders.index_orders, "field")
+
+
+@query("stream_order_rows", ORDER_ROWS.format(orders=STORED_ORDERS))
+def stream_order_rows(spark: SparkSession, folder: str) -> DataFrame:
+    return _order_store(spark, folder, "row_key", orders.put_orders)
+
+
+BROKEN = "CAST(orderId AS BIGINT) % 7 = 3"
 
 
 @query(
-    "stream_order_rows",
+    "stream_order_rejects",
     f"""
-    SELECT row_key, o.orderId AS orderId, o.province AS province
-    FROM (SELECT reverse(userId) || '_' || orderTime AS row_key, max_by(o, orderId) AS o
-          FROM ({STORED_ORDERS}) AS o GROUP BY 1)
+    SELECT row_key, orderId, orderMoney, NULL AS payload FROM ({ORDER_ROWS.format(orders=f"SELECT * FROM ({STORED_ORDERS}) WHERE NOT {BROKEN}")})
+    UNION ALL SELECT NULL, NULL, NULL, '{{"orderId":' || orderId || ',broken' FROM ({STORED_ORDERS}) WHERE {BROKEN}
     """,
 )
-def stream_order_rows(spark: SparkSession, folder: str) -> DataFrame:
-    return _order_store(spark, folder, "row_key", orders.put_orders).select("row_key", "orderId", "province")
+def stream_order_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders of which every seventh payload is cut off: good ones are put, the others kept as they came."""
+    path = new_folder(spark, "rejects")
+    broken = F.col("key").cast("bigint") % 7 == 3
+    cut = F.concat(F.lit('{"orderId":'), "key", F.lit(",broken"))
+    records = clean_orders(load(spark, folder, "orders")).withColumn("value", F.when(broken, cut).otherwise(F.col("value")))
+    table = keyed_table(spark, f"{path}/table", "row_key")
+    drain(orders.put_orders(topic_of(spark, "some-broken", records), table, f"{path}/checkpoint", f"{path}/rejects"))
+    good = table.read().select("row_key", "orderId", "orderMoney", F.lit(None).cast("string").alias("payload"))
+    rejects = spark.read.parquet(f"{path}/rejects").select(
+        *[F.lit(None).cast("string").alias(c) for c in ("row_key", "orderId", "orderMoney")], "payload"
+    )
+    return good.unionByName(rejects)
 
 
 CITIES = ("F", "O")
@@ -319,10 +338,25 @@ for _kind in sales.KINDS:
     query(f"stream_daily_amt_{_kind}", totals_sql(_kind, True))(_totals(_kind, True))
 
 
-@query("stream_amt_all", " UNION ALL ".join(totals_sql(kind, False) for kind in sales.KINDS))
-def stream_amt_all(spark: SparkSession, folder: str) -> DataFrame:
+def _all_totals(daily: bool) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        path = new_folder(spark, "all-totals")
+        table = keyed_table(spark, f"{path}/table", *FIELD_KEYS)
+        money = sales.order_money(_order_topic(spark, folder))
+        drain(sales.all_totals_writer(money, table, f"{path}/checkpoint", daily, CITIES))
+        return table.read()
+
+    return run
+
+
+for _name, _daily in (("stream_amt_all", False), ("stream_daily_amt_all", True)):
+    query(_name, " UNION ALL ".join(totals_sql(kind, _daily) for kind in sales.KINDS))(_all_totals(_daily))
+
+
+@query("stream_amt_separate", " UNION ALL ".join(totals_sql(kind, False) for kind in sales.KINDS))
+def stream_amt_separate(spark: SparkSession, folder: str) -> DataFrame:
     """The three running totals as three queries on one stream."""
-    path = new_folder(spark, "all-totals")
+    path = new_folder(spark, "separate-totals")
     money = sales.order_money(_order_topic(spark, folder))
     tables = {kind: keyed_table(spark, f"{path}/{kind}", *FIELD_KEYS) for kind in sales.KINDS}
     drain(*sales.totals_writers(money, tables, f"{path}/checkpoint", key_cities=CITIES).values())

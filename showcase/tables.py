@@ -19,7 +19,7 @@ from tallyflow.sources import cells_of, read_day, read_table
 from tallyflow.workspace import new_folder
 
 from .batch import DOCUMENT_WORDS, kpi_sql
-from .inputs import AD_EVENTS_SQL, IP_RANGES_SQL, ad_events, clean_orders, ip_ranges, lines_of, money
+from .inputs import ORDER_IP_SQL, AD_EVENTS_SQL, IP_RANGES_SQL, ad_events, clean_orders, ip_ranges, lines_of, money
 from .registry import AS_OF, load, query
 
 
@@ -115,21 +115,21 @@ def pruned_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 
 EXTRACT_SQL = f"""
-    SELECT e.* EXCLUDE (province, city), r.province, r.city
+    SELECT e.* EXCLUDE (province, city), coalesce(r.province, 'unknown') AS province, coalesce(r.city, 'unknown') AS city
     FROM ({AD_EVENTS_SQL}) e LEFT JOIN ({IP_RANGES_SQL}) r ON ip_number BETWEEN ip_from AND ip_to
 """
 
 
-@query("ads_extract_and_report", kpi_sql(True, f"{EXTRACT_SQL} WHERE r.province IS NOT NULL"))
+@query("ads_extract_and_report", kpi_sql(True, EXTRACT_SQL))
 def ads_extract_and_report(spark: SparkSession, folder: str) -> DataFrame:
     """Daily extract into a partitioned table, then the KPI report of that day into a keyed table.
 
-    Report keys may not be null, so events with an unknown region stay in the extract only.
+    Events whose address is in no range are reported under an unknown region.
     """
     name = _table_name("ad_events")
     extract = ads.daily_extract(ad_events(spark, folder).drop("province", "city"), ip_ranges(spark, folder), AS_OF)
     tables.append_partitions(extract, name, path=new_folder(spark, name), one_value=True)
-    report = ads.region_kpis(read_day(spark, name, AS_OF).where("province IS NOT NULL"), as_of=AS_OF)
+    report = ads.region_kpis(ads.known_regions(read_day(spark, name, AS_OF)), as_of=AS_OF)
     kpis = keyed_table(spark, new_folder(spark, "kpis"), *tables.REGION_KPIS.keys)
     ads.store_region_kpis(report, kpis)
     return kpis.read()
@@ -176,11 +176,11 @@ def kv_put_cells(spark: SparkSession, folder: str) -> DataFrame:
     return table.read()
 
 
-ORDER_TEXT = """
+ORDER_TEXT = f"""
     SELECT CAST(o_orderkey AS VARCHAR) AS orderId, CAST(o_custkey AS VARCHAR) AS userId,
            strftime(o_orderdate, '%Y-%m-%d %H:%M:%S.%g') AS orderTime,
            CAST(CAST(o_totalprice AS DECIMAL(18, 2)) AS VARCHAR) AS orderMoney, '0' AS orderStatus,
-           o_orderpriority AS province, o_orderstatus AS city
+           {ORDER_IP_SQL} AS ip, o_orderpriority AS province, o_orderstatus AS city
     FROM orders
 """
 WIDE_ORDERS = f"""
@@ -193,23 +193,47 @@ WIDE_ORDERS = f"""
     "kv_scan_cells",
     f"""
     SELECT row_key, 'info' AS family, qualifier, CAST(0 AS BIGINT) AS version, value
-    FROM (SELECT row_key, o.orderId, o.userId, o.orderTime, o.orderMoney, o.orderStatus, o.province, o.city
+    FROM (SELECT row_key, o.orderId, o.userId, o.orderTime, o.orderMoney, o.orderStatus, o.ip, o.province, o.city
           FROM ({WIDE_ORDERS}))
-    UNPIVOT (value FOR qualifier IN (orderId, userId, orderTime, orderMoney, orderStatus, province, city))
+    UNPIVOT (value FOR qualifier IN (orderId, userId, orderTime, orderMoney, orderStatus, ip, province, city))
     """,
 )
 def kv_scan_cells(spark: SparkSession, folder: str) -> DataFrame:
     """Orders put under their row key, the newest order id winning a shared key, and read as cells."""
     table = keyed_table(spark, new_folder(spark, "order-rows"), "row_key")
     table.upsert(order_rows(clean_orders(load(spark, folder, "orders"))), order_by="orderId")
-    return cells_of(table.read(), "row_key", [name for name in ORDER_COLUMNS if name != "ip"])
+    return cells_of(table.read(), "row_key", list(ORDER_COLUMNS))
 
 
 @query("doc_upsert", ORDER_TEXT.replace("o_orderstatus AS city", "coalesce(nullif(o_orderstatus, 'P'), 'seen') AS city"))
 def doc_upsert(spark: SparkSession, folder: str) -> DataFrame:
     """Order documents indexed by id, pending ones indexed again with a changed field."""
-    documents = order_documents(clean_orders(load(spark, folder, "orders"))).drop("ip")
+    documents = order_documents(clean_orders(load(spark, folder, "orders")))
     table = keyed_table(spark, new_folder(spark, "order-documents"), "orderId")
     table.upsert(documents, order_by="orderTime")
     table.upsert(documents.where("city = 'P'").withColumn("city", F.lit("seen")), order_by="orderTime")
     return table.read()
+
+
+@query(
+    "doc_merge_fields",
+    f"""
+    SELECT orderId, userId, CASE WHEN CAST(orderId AS BIGINT) % 3 = 1 THEN NULL ELSE orderTime END AS orderTime, ip,
+           CASE WHEN CAST(orderId AS BIGINT) % 2 = 0 THEN orderMoney || '1' ELSE orderMoney END AS orderMoney, orderStatus,
+           province, CASE WHEN city = 'P' THEN 'seen' ELSE city END AS city
+    FROM ({ORDER_TEXT})
+    """,
+)
+def doc_merge_fields(spark: SparkSession, folder: str) -> DataFrame:
+    """Order documents, some without a time, then partial ones that change single fields of them."""
+    documents = order_documents(clean_orders(load(spark, folder, "orders")))
+    number = F.col("orderId").cast("bigint")
+    full = documents.withColumn("orderTime", F.when(number % 3 != 1, F.col("orderTime")))
+    empty = lambda *kept: [F.col(c) if c in kept else F.lit(None).cast("string").alias(c) for c in documents.columns]
+    prices = full.where(number % 2 == 0).withColumn("orderMoney", F.concat("orderMoney", F.lit("1"))).select(*empty("orderId", "orderMoney"))
+    seen = full.where("city = 'P'").withColumn("city", F.lit("seen")).select(*empty("orderId", "city"))
+    table = keyed_table(spark, new_folder(spark, "merged-documents"), "orderId", merge="field")
+    table.upsert(full, order_by="orderTime")
+    table.compact()
+    table.upsert(prices.unionByName(seen), order_by="orderTime")
+    return table.read()

@@ -10,14 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter
 
 from .operators.caching import cached
-from .operators.lookups import overlapping_ranges, parse_ranges
+from .operators.lookups import parse_ranges
 from .plans import ads, calls, devices, orders, ratings, sales, search, words
 from .session import build_session
 from .settings import Settings
 from .sinks.cells import FIELD_KEYS
 from .sinks.files import write_text
 from .sinks.jdbc import jdbc_options
-from .sinks.keyed import keyed_table
+from .sinks.keyed import BY_FIELD, BY_ROW, keyed_table
 from .sinks.streams import console_sink, keyed_sink, topic_sink
 from .sinks.tables import REGION_COUNTS, REGION_KPIS, append_partitions, create_database, replace_partitions
 from .sources import kafka_options, line_stream, read_day, read_json, read_lines, topic_stream
@@ -54,9 +54,9 @@ def ads_extract(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def ads_report(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Region counts and KPIs of one day from one cached scan."""
-    day = read_day(spark, args.table, args.as_of).where("province IS NOT NULL AND city IS NOT NULL")
-    with cached(day) as events:
+    """Region counts and KPIs of one day from one cached scan; unknown regions are reported as such."""
+    day = ads.known_regions(read_day(spark, args.table, args.as_of))
+    with cached(day.select(*ads.REPORT_COLUMNS)) as events:
         counts = keyed_table(spark, f"{args.output}/{REGION_COUNTS.name}", *REGION_COUNTS.keys)
         ads.store_region_counts(ads.region_counts(events, as_of=args.as_of), counts)
         kpis = keyed_table(spark, f"{args.output}/{REGION_KPIS.name}", *REGION_KPIS.keys)
@@ -76,7 +76,10 @@ def call_etl(spark: SparkSession, args: argparse.Namespace) -> list[DataStreamWr
 
 
 def sales_totals(spark: SparkSession, args: argparse.Namespace) -> list[DataStreamWriter]:
-    """Three queries over one parsed stream, running or daily."""
+    """All totals from one query into one table; ``--bounded`` needs a query for each kind of day total."""
+    if not args.bounded:
+        table = keyed_table(spark, args.target, *FIELD_KEYS)
+        return [sales.all_totals_writer(sales.order_money(_records(spark, args)), table, args.checkpoint, args.daily)]
     tables = {kind: keyed_table(spark, f"{args.target}/{kind}", *FIELD_KEYS) for kind in sales.KINDS}
     money = sales.order_money(_records(spark, args))
     options = {"bounded": args.bounded} if args.daily else {}
@@ -84,11 +87,12 @@ def sales_totals(spark: SparkSession, args: argparse.Namespace) -> list[DataStre
 
 
 def index_orders(spark: SparkSession, args: argparse.Namespace) -> list[DataStreamWriter]:
-    return [orders.index_orders(_records(spark, args), keyed_table(spark, args.target, "orderId"), args.checkpoint)]
+    table = keyed_table(spark, args.target, "orderId", merge=args.merge)
+    return [orders.index_orders(_records(spark, args), table, args.checkpoint, args.rejects)]
 
 
 def put_orders(spark: SparkSession, args: argparse.Namespace) -> list[DataStreamWriter]:
-    return [orders.put_orders(_records(spark, args), keyed_table(spark, args.target, "row_key"), args.checkpoint)]
+    return [orders.put_orders(_records(spark, args), keyed_table(spark, args.target, "row_key"), args.checkpoint, args.rejects)]
 
 
 def device_stats(spark: SparkSession, args: argparse.Namespace) -> list[DataStreamWriter]:
@@ -102,12 +106,8 @@ def stream_words(spark: SparkSession, args: argparse.Namespace) -> list[DataStre
 
 
 def _ranges(spark: SparkSession, path: str) -> DataFrame:
-    """Region dictionary from its text form; ranges may not overlap, or rows would be repeated."""
-    ranges = parse_ranges(read_lines(spark, path))
-    clash = overlapping_ranges(ranges).first()
-    if clash is not None:
-        raise ValueError(f"range {clash.ip_from}-{clash.ip_to} starts inside another one")
-    return ranges
+    """Region dictionary from its text form; the lookup refuses ranges that overlap."""
+    return parse_ranges(read_lines(spark, path))
 
 
 def _records(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
@@ -160,8 +160,10 @@ def _parser() -> argparse.ArgumentParser:
     totals = stream("sales-totals", sales_totals, "target")
     totals.add_argument("--daily", action="store_true")
     totals.add_argument("--bounded", action="store_true", help="close a day once its orders are late")
-    stream("index-orders", index_orders, "target")
-    stream("put-orders", put_orders, "target")
+    index = stream("index-orders", index_orders, "target")
+    index.add_argument("--merge", choices=(BY_FIELD, BY_ROW), default=BY_FIELD, help="what a document replaces")
+    for stored in (index, stream("put-orders", put_orders, "target")):
+        stored.add_argument("--rejects", help="folder for records without a key; without it they end the job")
     stream("device-stats", device_stats)
     stream("word-totals", stream_words, "target")
     return parser

@@ -17,10 +17,10 @@ SALTS = 32
 
 
 def fits_broadcast(table: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Whether ``table`` stays within both bounds; the check reads little more than ``max_rows`` rows."""
+    """Whether ``table`` stays within both bounds. Every task counts its own rows and hands on one."""
     texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in table.schema.fields if f.dataType == StringType()]
     width = sum(texts, F.lit(16 * len(table.columns)).cast("bigint"))
-    size = table.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("rows"), F.sum(width).alias("bytes")).first()
+    size = table.agg(F.count(F.lit(1)).alias("rows"), F.sum(width).alias("bytes")).first()
     return size.rows <= max_rows and (size.bytes or 0) <= max_bytes
 
 
@@ -77,10 +77,12 @@ def locate_ips(
     names: tuple[str, ...] = ("province", "city"),
     broadcast_rows: int = BROADCAST_ROWS,
     salts: int = SALTS,
+    disjoint: bool = False,
 ) -> DataFrame:
     """Left-join each row to the one range that holds its IPv4 address.
 
-    ``ranges`` has ``ip_from``, ``ip_to`` and ``names``, and its ranges must not overlap. It is
+    ``ranges`` has ``ip_from``, ``ip_to`` and ``names``. Overlapping ranges would repeat rows and are
+    refused; ``disjoint`` states that the caller has checked that. The table is
     split into ranges inside one /24 block, joined on that block, and longer ones, repeated for
     each /16 block they touch and joined on that. Disjoint ranges leave at most 256 candidates per
     block in either part, and the split adds at most 65,536 rows, so both joins stay equi-joins
@@ -90,6 +92,8 @@ def locate_ips(
     join shuffles both sides, with each block spread over ``salts`` parts so that one busy block
     does not land in one task.
     """
+    if not disjoint and (clash := overlapping_ranges(ranges).first()) is not None:
+        raise ValueError(f"range {clash.ip_from}-{clash.ip_to} starts inside another one")
     small = fits_broadcast(ranges, broadcast_rows)
     same_block = _blocks(24)[0] == _blocks(24)[1]
     regions = F.struct(*names)
@@ -116,7 +120,8 @@ def locate_ips(
         if small:
             part = F.broadcast(part)
         else:
-            part = part.withColumn(f"{prefix}_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+            # its repeated size is unknown to the optimiser, which must not broadcast it by its own estimate
+            part = part.withColumn(f"{prefix}_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).hint("merge")
             match = match & (F.col("_salt") == F.col(f"{prefix}_salt"))
         numbered = numbered.join(part, match, "left")
     found = F.coalesce("short_region", "long_region")

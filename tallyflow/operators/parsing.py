@@ -114,9 +114,11 @@ def timed_words(
     return explode_line_words(timed, "words", ("time",))
 
 
-def parse_payload(records: DataFrame, schema: StructType, value: str = "value") -> DataFrame:
-    """Flat columns from a JSON payload, parsed once for all fields."""
-    return records.select(F.from_json(F.col(value).cast("string"), schema).alias("payload")).select("payload.*")
+def parse_payload(records: DataFrame, schema: StructType, value: str = "value", payload: bool = False) -> DataFrame:
+    """Flat columns from a JSON payload, parsed once for all fields; ``payload`` keeps its text beside them."""
+    text = F.col(value).cast("string")
+    parsed = records.select(F.from_json(text, schema).alias("parsed"), text.alias("payload"))
+    return parsed.select("parsed.*", *["payload"] * payload)
 
 
 def to_payload(rows: DataFrame, key: str, fields: list[str]) -> DataFrame:

@@ -33,6 +33,19 @@ RATES = {
 NON_ZERO = ("join_rtx_cnt", "success_rtx_cnt", "ad_show_cnt", "ad_click_cnt", "media_show_cnt", "media_click_cnt")
 
 
+UNKNOWN = "unknown"
+#: Columns the region reports read.
+REPORT_COLUMNS = (
+    *REGION, "requestmode", "processnode", "adplatformproviderid", "iseffective", "isbilling", "isbid", "iswin", "adorderid", "adcreativeid",
+    "winprice", "adpayment",
+)
+
+
+def known_regions(events: DataFrame) -> DataFrame:
+    """Events with a named region: what could not be located is reported under ``unknown``, not left out."""
+    return events.withColumns({name: F.coalesce(name, F.lit(UNKNOWN)) for name in REGION})
+
+
 def daily_extract(events: DataFrame, ranges: DataFrame, as_of: date | None = None) -> DataFrame:
     """Events with the region of their address and the day they belong to."""
     return locate_ips(events, ranges).withColumn("date_str", day_before(as_of))

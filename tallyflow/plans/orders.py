@@ -24,14 +24,18 @@ def enrich_orders(records: DataFrame, ranges: DataFrame, broadcast_rows: int = B
     return to_payload(located, "orderId", ORDER.fieldNames())
 
 
-def order_documents(records: DataFrame) -> DataFrame:
-    """Flat text columns of each order, one document per ``orderId``."""
-    return parse_payload(non_blank(records), ORDER)
+def order_documents(records: DataFrame, payload: bool = False) -> DataFrame:
+    """Flat text columns of each order, one document per ``orderId``; with ``payload``, the record as it came too."""
+    return parse_payload(non_blank(records), ORDER, payload=payload)
 
 
-def index_orders(records: DataFrame, table: KeyedTable, checkpoint: str) -> DataStreamWriter:
-    """Keep the newest document of each order; within a batch the latest order time wins."""
-    return keyed_sink(order_documents(records), table, checkpoint, "append", order_by="orderTime")
+def index_orders(records: DataFrame, table: KeyedTable, checkpoint: str, rejects: str | None = None) -> DataStreamWriter:
+    """Keep the newest document of each order; within a batch the latest order time wins.
+
+    A table that merges by field updates what a document carries; one that merges by row replaces it.
+    """
+    documents = order_documents(records, payload=rejects is not None)
+    return keyed_sink(documents, table, checkpoint, "append", order_by="orderTime", rejects=rejects)
 
 
 def document_options(nodes: str, port: int, id_column: str = "orderId", operation: str = "upsert") -> dict[str, str]:
@@ -46,6 +50,10 @@ def document_options(nodes: str, port: int, id_column: str = "orderId", operatio
     }
 
 
-def put_orders(records: DataFrame, table: KeyedTable, checkpoint: str) -> DataStreamWriter:
-    """Put each order under its row key; a later record of the same key replaces the cells."""
-    return keyed_sink(order_rows(records), table, checkpoint, "append", order_by="orderId")
+def put_orders(records: DataFrame, table: KeyedTable, checkpoint: str, rejects: str | None = None) -> DataStreamWriter:
+    """Put each order under its row key; a later record of the same key replaces the cells.
+
+    Records without a row key fail the stream, or go to the folder ``rejects`` if one is given.
+    """
+    rows = order_rows(records, payload=rejects is not None)
+    return keyed_sink(rows, table, checkpoint, "append", order_by="orderId", rejects=rejects)

@@ -25,10 +25,10 @@ def count_cells(counts: DataFrame, word: str = "word", count: str = "count", fam
     )
 
 
-def order_rows(records: DataFrame, value: str = "value") -> DataFrame:
+def order_rows(records: DataFrame, value: str = "value", payload: bool = False) -> DataFrame:
     """Wide rows of the order table from JSON payloads, under the composed row key."""
-    orders = parse_payload(non_blank(records, value), ORDER, value)
-    return orders.select(order_row_key().alias("row_key"), *ORDER_COLUMNS)
+    orders = parse_payload(non_blank(records, value), ORDER, value, payload)
+    return orders.select(order_row_key().alias("row_key"), *ORDER_COLUMNS, *["payload"] * payload)
 
 
 def hash_fields(rows: DataFrame, key: Column, field: Column, value: Column) -> DataFrame:

@@ -4,8 +4,10 @@ A table is a folder with full snapshots under ``base`` and change sets under ``c
 ``version=N`` folder per write. An upsert writes only its own rows, so its cost follows the batch
 and not the table; reading lays the change sets newer than the last snapshot over it. ``compact``
 turns the current state into the next snapshot. Only folders with Spark's ``_SUCCESS`` marker
-count, so a write cut short by a failure is invisible, and a version already written is skipped,
-so a replayed micro-batch changes nothing. One writer per table is assumed.
+count, so a write cut short by a failure is invisible. A stream's write carries the stream's id and
+its batch number: a batch already written is skipped, also after ``compact``, while the batches of
+another stream, or of the same report with a new checkpoint, get versions of their own. One writer
+per table is assumed.
 """
 
 from __future__ import annotations
@@ -16,16 +18,20 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..workspace import list_folders, path_exists, remove_folder
+from ..workspace import list_folders, make_folder, path_exists, remove_folder
 
 VERSION = "_version"
+BY_ROW, BY_FIELD = "row", "field"
 
 
 @dataclass(frozen=True)
 class KeyedTable:
+    """``merge`` says what a write replaces: the whole row of its key, or only the fields it has a value for."""
+
     spark: SparkSession
     path: str
     keys: tuple[str, ...]
+    merge: str = BY_ROW
 
     def upsert(
         self,
@@ -33,23 +39,24 @@ class KeyedTable:
         version: int | None = None,
         order_by: str | Column | None = None,
         unique: bool = False,
+        stream: str = "main",
     ) -> None:
         """Write one change set. ``order_by`` tells which row of a key is the last one in the batch.
 
         ``unique`` states that the batch has one row per key already, as the result of grouping by
-        the keys does. ``version`` is the micro-batch id in a stream; left out, the next number.
+        the keys does. ``version`` is the micro-batch id within ``stream``; left out, the write is
+        one of its own.
         """
         if not unique and order_by is None:
             raise ValueError("give order_by, or unique=True for a batch with one row per key")
-        version = self._next() if version is None else version
-        if not (self._written("changes", version) or self._written("base", version)):
-            self._write(batch if unique else last_per_key(batch, self.keys, order_by), "changes", version)
+        if not self._committed(stream, version):
+            rows = batch if unique else last_per_key(batch, self.keys, order_by, self.merge)
+            self._write(rows, "changes", self._slot(stream, version))
 
-    def replace_all(self, snapshot: DataFrame, version: int | None = None) -> None:
+    def replace_all(self, snapshot: DataFrame, version: int | None = None, stream: str = "main") -> None:
         """Make ``snapshot`` the whole table."""
-        version = self._next() if version is None else version
-        if not self._written("base", version):
-            self._write(snapshot, "base", version)
+        if not self._committed(stream, version):
+            self._write(snapshot, "base", self._slot(stream, version))
 
     def compact(self, remove_older: bool = False) -> None:
         """Store the current state as the next snapshot; the result does not change.
@@ -58,13 +65,18 @@ class KeyedTable:
         """
         base, newer = self._state()
         if newer:
-            self._write(self.read(), "base", newer[-1])
-            base = newer[-1]
+            target = f"version={_number(newer[-1])}"
+            self._write(self.read(), "base", target)
+            base = target
         if remove_older and base is not None:
-            for part, kept_from in (("base", base), ("changes", base + 1)):
-                for version in self._listed(part):
-                    if version < kept_from:
-                        remove_folder(self.spark, self._folder(part, version))
+            kept_from = _number(base)
+            old = [(part, name) for part in ("base", "changes") for name in self._listed(part)]
+            old = [(part, name) for part, name in old if _number(name) < kept_from + (part == "changes")]
+            for part, name in old:  # what was written stays known when its files go
+                if (mark := _mark(name)) is not None and self._written(part, name):
+                    make_folder(self.spark, f"{self.path}/commits/{mark[0]}/{mark[1]}")
+            for part, name in old:
+                remove_folder(self.spark, f"{self.path}/{part}/{name}")
 
     def read(self) -> DataFrame:
         """Current rows."""
@@ -75,16 +87,21 @@ class KeyedTable:
             return self._load("base", [base])
         written = changes = self._load("changes", newer)
         if len(newer) > 1:
-            changes = last_per_key(written.withColumn(VERSION, _version_of_file()), self.keys, VERSION).drop(VERSION)
+            changes = last_per_key(written.withColumn(VERSION, _version_of_file()), self.keys, VERSION, self.merge).drop(VERSION)
         if base is None:
             return changes
         # with few changes the join broadcasts their keys and the snapshot is not shuffled
-        kept = self._load("base", [base]).join(written.select(*self.keys), list(self.keys), "left_anti")
-        return kept.select(*changes.columns).unionByName(changes)
-
-    def _write(self, rows: DataFrame, part: str, version: int) -> None:
+        snapshot = self._load("base", [base])
+        kept = snapshot.join(written.select(*self.keys), list(self.keys), "left_anti")
+        if self.merge == BY_FIELD:
+            touched = snapshot.join(changes.select(*self.keys), list(self.keys), "left_semi")
+            both = touched.withColumn(VERSION, F.lit(0)).unionByName(changes.withColumn(VERSION, F.lit(1)), allowMissingColumns=True)
+            changes = last_per_key(both, self.keys, VERSION, self.merge).drop(VERSION)
+        return kept.unionByName(changes, allowMissingColumns=True)
+
+    def _write(self, rows: DataFrame, part: str, name: str) -> None:
         checked = rows.select(*[self._checked(name) for name in rows.columns])
-        checked.write.mode("overwrite").parquet(self._folder(part, version))
+        checked.write.mode("overwrite").parquet(f"{self.path}/{part}/{name}")
 
     def _checked(self, name: str) -> Column:
         if name not in self.keys:
@@ -92,40 +109,70 @@ class KeyedTable:
         missing = F.raise_error(F.lit(f"null in key column {name}"))
         return F.when(F.col(name).isNull(), missing).otherwise(F.col(name)).alias(name)
 
-    def _load(self, part: str, versions: Sequence[int]) -> DataFrame:
-        return self.spark.read.parquet(*[self._folder(part, v) for v in versions])
-
-    def _folder(self, part: str, version: int) -> str:
-        return f"{self.path}/{part}/version={version}"
+    def _load(self, part: str, names: Sequence[str]) -> DataFrame:
+        paths = [f"{self.path}/{part}/{name}" for name in names]
+        return self.spark.read.option("mergeSchema", str(self.merge == BY_FIELD).lower()).parquet(*paths)
 
-    def _state(self) -> tuple[int | None, list[int]]:
-        """Version of the newest complete snapshot and the complete change sets after it."""
+    def _state(self) -> tuple[str | None, list[str]]:
+        """Name of the newest complete snapshot and of the complete change sets after it."""
         base = next((v for v in reversed(self._listed("base")) if self._written("base", v)), None)
-        newer = [v for v in self._listed("changes") if base is None or v > base]
+        newer = [v for v in self._listed("changes") if base is None or _number(v) > _number(base)]
         return base, [v for v in newer if self._written("changes", v)]
 
-    def _listed(self, part: str) -> list[int]:
+    def _listed(self, part: str) -> list[str]:
         folders = list_folders(self.spark, f"{self.path}/{part}")
-        return sorted(int(name.partition("=")[2]) for name in folders if name.startswith("version="))
+        return sorted((name for name in folders if name.startswith("version=")), key=_number)
+
+    def _written(self, part: str, name: str) -> bool:
+        return path_exists(self.spark, f"{self.path}/{part}/{name}/_SUCCESS")
+
+    def _committed(self, stream: str, batch: int | None) -> bool:
+        """Whether this batch of the stream is in the table already."""
+        if batch is None:
+            return False
+        names = [(part, name) for part in ("base", "changes") for name in self._listed(part) if _mark(name) == (stream, batch)]
+        if any(self._written(part, name) for part, name in names):
+            return True
+        older = list_folders(self.spark, f"{self.path}/commits/{stream}")
+        return max(map(int, older), default=-1) >= batch
 
-    def _written(self, part: str, version: int) -> bool:
-        return path_exists(self.spark, f"{self._folder(part, version)}/_SUCCESS")
+    def _slot(self, stream: str, batch: int | None) -> str:
+        """Folder name of the next write; the version is above every one begun, finished or not."""
+        version = 1 + max((_number(name) for part in ("base", "changes") for name in self._listed(part)), default=-1)
+        return f"version={version}" if batch is None else f"version={version}-{batch}-{stream}"
 
-    def _next(self) -> int:
-        return 1 + max(self._listed("base") + self._listed("changes"), default=-1)
+
+def _number(name: str) -> int:
+    return int(name.removeprefix("version=").partition("-")[0])
+
+
+def _mark(name: str) -> tuple[str, int] | None:
+    """Stream and batch of a folder, if a stream wrote it."""
+    _, _, mark = name.partition("-")
+    batch, _, stream = mark.partition("-")
+    return (stream, int(batch)) if mark else None
 
 
 def _version_of_file() -> Column:
     return F.regexp_extract(F.col("_metadata.file_path"), r"version=(\d+)", 1).cast("bigint")
 
 
-def last_per_key(rows: DataFrame, keys: Sequence[str], order_by: str | Column) -> DataFrame:
-    """The row with the largest ``order_by`` for each key, reduced within tasks before the shuffle."""
+def last_per_key(rows: DataFrame, keys: Sequence[str], order_by: str | Column, merge: str = BY_ROW) -> DataFrame:
+    """The row with the largest ``order_by`` for each key, reduced within tasks before the shuffle.
+
+    A row without it comes before all others, and rows that tie are told apart by their content, so
+    the outcome never depends on their order. With ``merge`` by field, each field keeps the last
+    value that is not null.
+    """
     values = [name for name in rows.columns if name not in keys]
-    newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), order_by).alias("newest"))
+    order = F.struct(F.col(order_by) if isinstance(order_by, str) else order_by, F.xxhash64(*values) if values else F.lit(0))
+    if merge == BY_FIELD:
+        newest = [F.max_by(name, F.when(F.col(name).isNotNull(), order)).alias(name) for name in values]
+        return rows.groupBy(*keys).agg(*newest).select(*rows.columns) if newest else rows.distinct()
+    newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), order).alias("newest"))
     columns = [F.col(name) if name in keys else F.col(f"newest.{name}") for name in rows.columns]
     return newest.select(*columns)
 
 
-def keyed_table(spark: SparkSession, path: str, *keys: str) -> KeyedTable:
-    return KeyedTable(spark, path, tuple(keys))
+def keyed_table(spark: SparkSession, path: str, *keys: str, merge: str = BY_ROW) -> KeyedTable:
+    return KeyedTable(spark, path, tuple(keys), merge)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from ..session import ROCKSDB_STATE
@@ -24,13 +26,14 @@ def topic_sink(
 
     ``kafka`` holds ``kafka.bootstrap.servers`` and ``topic`` and needs the Kafka connector.
     """
-    writer = records.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+    writer = writer_of(records, checkpoint, "append")
     if kafka is not None:
         return writer.format("kafka").options(**kafka)
     return writer.format(file_format).option("path", folder)
 
 
 def console_sink(rows: DataFrame, mode: str = "update", rows_shown: int = 20, truncate: bool = False) -> DataStreamWriter:
+    keep_state_on_disk(rows.sparkSession)
     return (
         rows.writeStream.outputMode(mode)
         .format("console")
@@ -66,25 +69,44 @@ def keyed_sink(
     order_by: str | Column | None = None,
     compact_every: int = 50,
     remove_older: bool = False,
+    rejects: str | None = None,
 ) -> DataStreamWriter:
-    """Upsert every micro-batch under its batch id.
+    """Upsert every micro-batch under the stream's id and its batch id.
 
     A complete-mode batch replaces the table. With no ``order_by`` the rows must be one per key.
     Every ``compact_every`` batches the change sets are folded into a snapshot and, when nothing
     else reads the table meanwhile (``remove_older``), the files it supersedes are deleted.
+
+    A row with a null key fails the batch. With ``rejects`` such rows go to a folder of that path,
+    one per batch, and the batch goes on; a column ``payload`` then holds the record as it came and
+    is left out of the table.
     """
+    spark, known = rows.sparkSession, {}
 
     def run(batch: DataFrame, batch_id: int) -> None:
+        stream = known.setdefault("id", stream_id(spark, checkpoint))
+        if rejects is not None:
+            bad = F.lit(False)
+            for key in table.keys:
+                bad = bad | F.col(key).isNull()
+            batch.where(bad).write.mode("overwrite").parquet(f"{rejects}/stream={stream}/batch={batch_id}")
+            batch = batch.where(~bad).drop("payload")
         if mode == "complete":
-            table.replace_all(batch, batch_id)
+            table.replace_all(batch, batch_id, stream)
         else:
-            table.upsert(batch, batch_id, order_by=order_by, unique=order_by is None)
+            table.upsert(batch, batch_id, order_by=order_by, unique=order_by is None, stream=stream)
         if (batch_id + 1) % compact_every == 0:
             table.compact(remove_older)
 
     return writer_of(rows, checkpoint, mode).foreachBatch(run)
 
 
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """Id of the query a checkpoint belongs to; a new checkpoint has a new one."""
+    text = "".join(r[0] for r in spark.read.text(f"{checkpoint}/metadata").collect())
+    return json.loads(text)["id"]
+
+
 def writer_of(rows: DataFrame, checkpoint: str, mode: str) -> DataStreamWriter:
     keep_state_on_disk(rows.sparkSession)
     return rows.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)

@@ -57,6 +57,11 @@ def list_folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(hadoop_path) if s.isDirectory())
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, hadoop_path = file_system(spark, path)
+    fs.mkdirs(hadoop_path)
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     fs, hadoop_path = file_system(spark, path)
     fs.delete(hadoop_path, True)

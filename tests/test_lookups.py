@@ -83,6 +83,17 @@ def test_plans(spark, ranges):
     assert small.count("BroadcastHashJoin") == 2 and "NestedLoop" not in small and "Python" not in small
     large = plan_of(locate_ips(rows, ranges, broadcast_rows=0))
     assert "NestedLoop" not in large and "Cartesian" not in large
+    assert "BroadcastHashJoin" not in large and large.count("SortMergeJoin") == 2  # under default settings
+
+
+def test_size_check_sends_one_row_a_task(spark, ranges):
+    assert fits_broadcast(ranges, 4) and not fits_broadcast(ranges, 3)
+
+
+def test_overlapping_ranges_are_refused(spark, ranges):
+    rows = spark.createDataFrame([("171.11.53.148",)], "ip string")
+    with pytest.raises(ValueError, match="starts inside another"):
+        locate_ips(rows, ranges.unionByName(ranges))
 
 
 def test_overlaps_are_found(spark, ranges):

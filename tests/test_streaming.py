@@ -15,7 +15,8 @@ from tallyflow.sinks.jdbc import RowReplacer
 from tallyflow.sinks.keyed import keyed_table
 from tallyflow.sinks.streams import batch_sink, console_sink, keyed_sink, topic_sink
 from tallyflow.sources import kafka_options, line_stream, rate_stream, separated_stream, topic_stream
-from tallyflow.streaming.lifecycle import drain, late_rows, offset_audit, start, stop_on_marker
+from tallyflow.streaming import lifecycle
+from tallyflow.streaming.lifecycle import drain, late_rows, offset_audit, ProgressLog, start, stop_on_marker
 from tallyflow.streaming.stateful import deduplicated_counts, first_per_key, flat_windows, windowed_counts
 from tests.test_lookups import RANGES
 
@@ -399,6 +400,45 @@ def test_marker_stops_all_queries(spark, tmp_path):
     assert time.time() - began < 20 and not any(q.isActive for q in queries)
 
 
+def _three(spark, feed, tmp_path):
+    """Writers of three endless queries, of which the second fails."""
+    feed("a")
+
+    def broken(batch, batch_id):
+        raise ValueError("sink is down")
+
+    lines = line_stream(spark, feed.folder)
+    good = lambda n: rate_stream(spark).writeStream.format("noop").option("checkpointLocation", str(tmp_path / f"good-{n}"))
+    return [good(1), batch_sink(lines, str(tmp_path / "bad"), broken, "append"), good(3)]
+
+
+def test_any_failing_query_stops_the_rest(spark, feed, tmp_path):
+    queries = [start(writer) for writer in _three(spark, feed, tmp_path)]
+    with pytest.raises(Exception, match="sink is down"):
+        stop_on_marker(spark, str(tmp_path / "never"), queries, interval=1)
+    assert not any(q.isActive for q in queries)
+
+
+def test_draining_stops_the_rest_on_a_failure(spark, feed, tmp_path, monkeypatch):
+    writers = _three(spark, feed, tmp_path)
+    started = []
+    monkeypatch.setattr(lifecycle, "start", lambda w, available_now: started.append(start(w)) or started[-1])
+    with pytest.raises(Exception, match="sink is down"):
+        drain(*writers)
+    assert len(started) == 3 and not any(q.isActive for q in started)
+
+
+def test_progress_of_more_than_a_hundred_batches(spark, feed, tmp_path):
+    for i in range(105):
+        feed(f"w{i}")
+    log = ProgressLog().watch(spark)
+    lines = line_stream(spark, feed.folder, 1).writeStream.format("noop").option("checkpointLocation", str(tmp_path / "ck"))
+    (query,) = drain(lines)
+    assert sum(r["rows"] for r in offset_audit(query, log)) == 105 and len(offset_audit(query, log)) >= 105
+    assert late_rows(query, log) == 0
+    spark.streams.removeListener(log)
+
+
 def test_stopping_raises_the_failure_of_a_query(spark, feed, tmp_path):
     feed("a")
 
