@@ -9,6 +9,7 @@ from tallyflow.functions.net import ipv4_to_long, long_to_ipv4
 from tallyflow.operators.aggregates import mean_by, mean_by_sql, pivot_sum
 from tallyflow.operators.lookups import keep_listed, locate_ips
 from tallyflow.plans import ads, ratings, search, words
+from tallyflow.sinks.cells import hash_fields, wide_hash
 from tallyflow.sinks.files import write_text
 from tallyflow.sources import literal_rows, read_json, read_lines
 from tallyflow.workspace import new_folder
@@ -72,6 +73,38 @@ def keyword_top10(spark: SparkSession, folder: str) -> DataFrame:
     return search.top_terms(load(spark, folder, "conversations"), "text")
 
 
+HAN_DIGITS = "零一二三四五六七八九"
+
+
+@query(
+    "keyword_han_top10",
+    f"""
+    WITH texts AS (SELECT translate(CAST(o_custkey AS VARCHAR), '0123456789', '{HAN_DIGITS}') AS han, o_orderstatus FROM orders)
+    SELECT word, count(*) AS count
+    FROM (SELECT substr(han, i, 2) AS word FROM (SELECT han, unnest(generate_series(1, length(han) - 1)) AS i FROM texts)
+          UNION ALL SELECT han FROM texts WHERE length(han) = 1
+          UNION ALL SELECT o_orderstatus FROM texts)
+    GROUP BY word ORDER BY 2 DESC, 1 LIMIT 10
+    """,
+)
+def keyword_han_top10(spark: SparkSession, folder: str) -> DataFrame:
+    """Terms of texts of Han digits and a letter: the Han part gives its overlapping pairs."""
+    han = F.translate(F.col("o_custkey").cast("string"), "0123456789", HAN_DIGITS)
+    return search.top_terms(load(spark, folder, "orders").select(F.concat(han, "o_orderstatus").alias("text")), "text")
+
+
+@query(
+    "wide_hash_named",
+    """SELECT 'orders:status' AS key, CAST(count(*) FILTER (o_orderstatus = 'F') AS VARCHAR) AS "F",
+              CAST(count(*) FILTER (o_orderstatus = 'O') AS VARCHAR) AS "O",
+              CAST(count(*) FILTER (o_orderstatus = 'P') AS VARCHAR) AS "P" FROM orders""",
+)
+def wide_hash_named(spark: SparkSession, folder: str) -> DataFrame:
+    """One wide row of a hash, with the fields named beforehand."""
+    counts = load(spark, folder, "orders").groupBy("o_orderstatus").count()
+    return wide_hash(hash_fields(counts, F.lit("orders:status"), F.col("o_orderstatus"), F.col("count")), ["F", "O", "P"])
+
+
 @query(
     "search_click_top10",
     """SELECT user_id, event_type, count(*) AS count FROM events

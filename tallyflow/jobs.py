@@ -3,18 +3,20 @@
 from __future__ import annotations
 
 import argparse
+import sys
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql.streaming import DataStreamWriter
 
 from .operators.caching import cached
 from .operators.lookups import parse_ranges
 from .plans import ads, calls, devices, orders, ratings, sales, search, words
+from .schemas import AD_EVENT_SOURCE
 from .session import build_session
 from .settings import Settings
-from .sinks.cells import FIELD_KEYS
+from .sinks.cells import CELL_KEYS, FIELD_KEYS, count_cells
 from .sinks.files import write_text
 from .sinks.jdbc import jdbc_options
 from .sinks.keyed import BY_FIELD, BY_ROW, keyed_table
@@ -27,7 +29,14 @@ KAFKA = "kafka://"
 
 
 def word_count(spark: SparkSession, args: argparse.Namespace) -> None:
-    write_text(words.word_counts(read_lines(spark, args.input)), args.output, "\t", stamped=True)
+    """Counts as text, as cells of a key-value table or as rows of a keyed table."""
+    counts = words.word_counts(read_lines(spark, args.input))
+    if args.to == "cells":
+        keyed_table(spark, args.output, *CELL_KEYS).upsert(count_cells(counts), unique=True)
+    elif args.to == "table":
+        keyed_table(spark, args.output, "word").upsert(counts, unique=True)
+    else:
+        write_text(counts, args.output, "\t", stamped=True)
 
 
 def search_report(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -43,7 +52,7 @@ def top_rated(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def ads_extract(spark: SparkSession, args: argparse.Namespace) -> None:
     """One day of events into the partitioned table; ``--replace`` makes a repeated run harmless."""
-    extract = ads.daily_extract(read_json(spark, args.input), _ranges(spark, args.ranges), args.as_of)
+    extract = ads.daily_extract(read_json(spark, args.input, AD_EVENT_SOURCE), _ranges(spark, args.ranges), args.as_of)
     database = args.table.rpartition(".")[0]
     if database:
         create_database(spark, database)
@@ -64,15 +73,18 @@ def ads_report(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def order_etl(spark: SparkSession, args: argparse.Namespace) -> list[DataStreamWriter]:
-    clean = orders.enrich_orders(_records(spark, args), _ranges(spark, args.ranges))
+    return [_to_topic(orders.enrich_orders(_records(spark, args), _ranges(spark, args.ranges)), args)]
+
+
+def _to_topic(records: DataFrame, args: argparse.Namespace) -> DataStreamWriter:
     if args.target.startswith(KAFKA):
         servers, topic = _kafka_address(args.target)
-        return [topic_sink(clean, args.checkpoint, kafka={"kafka.bootstrap.servers": servers, "topic": topic})]
-    return [topic_sink(clean, args.checkpoint, args.target)]
+        return topic_sink(records, args.checkpoint, kafka={"kafka.bootstrap.servers": servers, "topic": topic})
+    return topic_sink(records, args.checkpoint, args.target)
 
 
 def call_etl(spark: SparkSession, args: argparse.Namespace) -> list[DataStreamWriter]:
-    return [topic_sink(calls.calls_with_status(_records(spark, args)), args.checkpoint, args.target)]
+    return [_to_topic(calls.calls_with_status(_records(spark, args)), args)]
 
 
 def sales_totals(spark: SparkSession, args: argparse.Namespace) -> list[DataStreamWriter]:
@@ -106,8 +118,13 @@ def stream_words(spark: SparkSession, args: argparse.Namespace) -> list[DataStre
 
 
 def _ranges(spark: SparkSession, path: str) -> DataFrame:
-    """Region dictionary from its text form; the lookup refuses ranges that overlap."""
-    return parse_ranges(read_lines(spark, path))
+    """Region dictionary from its text form; the lookup refuses ranges that overlap. Unreadable lines are counted."""
+    lines = read_lines(spark, path)
+    read = Observation("ranges")
+    kept = parse_ranges(lines, rejected=read).count()
+    if (bad := read.get["lines"] - kept) > 0:
+        print(f"{path}: {bad} of {read.get['lines']} lines are no ranges", file=sys.stderr)
+    return parse_ranges(lines)
 
 
 def _records(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
@@ -140,7 +157,8 @@ def _parser() -> argparse.ArgumentParser:
         added.add_argument("--once", action="store_true", help="process what is there and end")
         return added
 
-    job("word-count", word_count, "input", "output")
+    counted = job("word-count", word_count, "input", "output")
+    counted.add_argument("--to", choices=("text", "cells", "table"), default="text")
     job("search-report", search_report, "input", "output")
     rated = job("top-rated", top_rated, "input", "output")
     rated.add_argument("--delimiter", default="::")
@@ -156,7 +174,8 @@ def _parser() -> argparse.ArgumentParser:
     for dated in (extract, report):
         dated.add_argument("--as-of", type=date.fromisoformat, default=Settings().as_of)
     stream("order-etl", order_etl, "ranges", "target")
-    stream("call-etl", call_etl, "target")
+    call = stream("call-etl", call_etl, "target")
+    call.add_argument("--continuous", help="checkpoint interval of a continuous query, topic to topic only")
     totals = stream("sales-totals", sales_totals, "target")
     totals.add_argument("--daily", action="store_true")
     totals.add_argument("--bounded", action="store_true", help="close a day once its orders are late")
@@ -178,7 +197,7 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
     if args.once:
         drain(*writers)
         return
-    queries = [start(writer, every=args.every) for writer in writers]
+    queries = [start(writer, every=args.every, continuous=getattr(args, "continuous", None)) for writer in writers]
     if args.stop_marker:
         stop_on_marker(session, args.stop_marker, queries)
     else:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -33,19 +33,24 @@ def partition_salt(salts: int = SALTS) -> Column:
     return F.spark_partition_id() % salts
 
 
-def parse_ranges(lines: DataFrame, value: str = "value") -> DataFrame:
+def parse_ranges(lines: DataFrame, value: str = "value", rejected: Observation | None = None) -> DataFrame:
     """Ranges from ``first ip|last ip|country|0|province|city|provider`` lines.
 
-    Lines whose region text has not exactly five parts are left out; their addresses get nulls.
+    Lines whose region text has not exactly five parts, and ranges that end before they begin, are
+    left out; their addresses get nulls. ``rejected`` observes how many lines were read and kept.
     """
-    parts = lines.select(trimmed_fields(value, "|").alias("parts")).where(F.size("parts") == 7)
+    parts = lines.select(trimmed_fields(value, "|").alias("parts"))
     ranges = parts.select(
-        ipv4_to_long(F.col("parts")[0]).alias("ip_from"),
-        ipv4_to_long(F.col("parts")[1]).alias("ip_to"),
-        F.col("parts")[4].alias("province"),
-        F.col("parts")[5].alias("city"),
+        F.size("parts").alias("size"),
+        ipv4_to_long(F.get("parts", F.lit(0))).alias("ip_from"),
+        ipv4_to_long(F.get("parts", F.lit(1))).alias("ip_to"),
+        F.get("parts", F.lit(4)).alias("province"),
+        F.get("parts", F.lit(5)).alias("city"),
     )
-    return ranges.where("ip_from <= ip_to")
+    good = F.coalesce((F.col("size") == 7) & (F.col("ip_from") <= F.col("ip_to")), F.lit(False))
+    if rejected is not None:
+        ranges = ranges.observe(rejected, F.count(F.lit(1)).alias("lines"), F.count_if(good).alias("kept"))
+    return ranges.where(good).drop("size")
 
 
 def overlapping_ranges(ranges: DataFrame) -> DataFrame:

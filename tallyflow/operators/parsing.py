@@ -94,11 +94,13 @@ def explode_line_words(lines: DataFrame, value: str = "value", keep: tuple[str,
 
 
 def timed_words(
-    lines: DataFrame, time_first: bool = True, value: str = "value", strict: bool = False
+    lines: DataFrame, time_first: bool = True, value: str = "value", strict: bool = False, rejected: Observation | None = None
 ) -> DataFrame:
     """Words with their event time from ``time,words`` lines (or ``words,time``).
 
     A line without both parts or with an unreadable time is dropped; ``strict`` fails instead.
+    ``rejected`` observes how many lines were read and how many had a time; a stream names its
+    observation and finds the counts in its progress.
     """
     parts = non_blank(lines, value).select(trimmed_fields(value, ",").alias("parts"))
     time_at, words_at = (0, 1) if time_first else (1, 0)
@@ -109,6 +111,8 @@ def timed_words(
         stamp = F.get("parts", F.lit(time_at)).try_cast("timestamp")
         words = F.get("parts", F.lit(words_at))
     timed = parts.select(stamp.alias("time"), words.alias("words"))
+    if rejected is not None:
+        timed = timed.observe(rejected, F.count(F.lit(1)).alias("lines"), F.count("time").alias("kept"))
     if not strict:
         timed = timed.where("time IS NOT NULL")
     return explode_line_words(timed, "words", ("time",))

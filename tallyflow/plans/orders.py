@@ -38,18 +38,6 @@ def index_orders(records: DataFrame, table: KeyedTable, checkpoint: str, rejects
     return keyed_sink(documents, table, checkpoint, "append", order_by="orderTime", rejects=rejects)
 
 
-def document_options(nodes: str, port: int, id_column: str = "orderId", operation: str = "upsert") -> dict[str, str]:
-    """Options of the Elasticsearch connector for the same documents, where it is deployed."""
-    return {
-        "es.nodes": nodes,
-        "es.port": str(port),
-        "es.index.auto.create": "true",
-        "es.write.operation": operation,
-        "es.mapping.id": id_column,
-        "es.nodes.wan.only": "true",
-    }
-
-
 def put_orders(records: DataFrame, table: KeyedTable, checkpoint: str, rejects: str | None = None) -> DataStreamWriter:
     """Put each order under its row key; a later record of the same key replaces the cells.
 

@@ -18,7 +18,6 @@ SEARCH_LOG = record(
 )
 RATING = record("user_id string, item_id string, rating double, rated_at bigint")
 PERSON = record("name string, age int, hobby string")
-SCORE = record("name string, subject string, score int")
 CALL_LOG = record(
     "station_id string, call_out string, call_in string, call_status string, call_time bigint, duration bigint"
 )

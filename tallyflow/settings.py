@@ -18,10 +18,5 @@ class Settings:
     """
 
     as_of: date = field(default_factory=date.today)
-    key_cities: tuple[str, ...] = KEY_CITIES
     min_ratings: int = 2000
     top_items: int = 10
-    max_files_per_trigger: int | None = None
-    watermark: str = "10 minutes"
-    # a lookup table up to this many rows is broadcast, a larger one is shuffled
-    broadcast_rows: int = 1_000_000

@@ -36,6 +36,12 @@ def test_usage():
 def test_text_jobs(spark, text, tmp_path):
     main(["word-count", text("w", ["a b a"]), str(tmp_path / "out")], spark)
     assert sorted(r.value for r in spark.read.text(str(tmp_path / "out-*")).collect()) == ["a\t2", "b\t1"]
+    for _ in range(2):
+        main(["word-count", text("w", ["a b a"]), str(tmp_path / "cells"), "--to", "cells"], spark)
+        main(["word-count", text("w", ["a b a"]), str(tmp_path / "table"), "--to", "table"], spark)
+    cells = keyed_table(spark, str(tmp_path / "cells"), "row_key", "family", "qualifier").read()
+    assert sorted((r.row_key, r.value) for r in cells.collect()) == [("a", "2"), ("b", "1")]
+    assert keyed_table(spark, str(tmp_path / "table"), "word").read().count() == 2
     main(["search-report", text("s", SEARCH_LINES), str(tmp_path / "search")], spark)
     assert spark.read.parquet(str(tmp_path / "search/click_summary")).first().max_count == 2
     main(["top-rated", text("r", RATING_LINES), str(tmp_path / "top"), "--min-count", "1"], spark)
@@ -71,9 +77,9 @@ def test_order_jobs(spark, text, tmp_path):
     main(["sales-totals", topic, str(tmp_path / "running"), str(tmp_path / "c2"), "--once"], spark)
     main(["sales-totals", topic, str(tmp_path / "daily"), str(tmp_path / "c3"), "--once", "--daily"], spark)
     total = keyed_table(spark, str(tmp_path / "running"), *FIELD_KEYS).read()
-    assert total.where("field = 'global'").first().value == "1355.05"
+    assert total.where("field = 'global'").first().value == "504.30"
     days = keyed_table(spark, str(tmp_path / "daily"), *FIELD_KEYS).read()
-    assert {r.key[-10:]: r.value for r in days.where("field = 'global'").collect()}["2020-05-19"] == "796.25"
+    assert {r.key[-10:]: r.value for r in days.where("field = 'global'").collect()}["2022-06-07"] == "308.70"
     main(["index-orders", topic, str(tmp_path / "index"), str(tmp_path / "c4"), "--once"], spark)
     main(["put-orders", topic, str(tmp_path / "rows"), str(tmp_path / "c5"), "--once"], spark)
     assert keyed_table(spark, str(tmp_path / "index"), "orderId").read().count() == 4

@@ -1,10 +1,12 @@
 import random
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from tallyflow.functions import ipv4_to_long
-from tallyflow.operators.lookups import fits_broadcast, keep_in_table, keep_listed, locate_ips, overlapping_ranges
+from tallyflow.operators.lookups import fits_broadcast, keep_in_table, keep_listed, locate_ips, overlapping_ranges, parse_ranges
+from tallyflow.operators.parsing import timed_words
 from tallyflow.schemas import IP_RANGE
 from tallyflow.session import setting
 
@@ -117,3 +119,13 @@ def test_listed_values(spark):
 
 def test_address_parsing_stays_in_the_engine(spark):
     assert "Python" not in plan_of(spark.range(3).select(ipv4_to_long(F.col("id").cast("string"))))
+
+
+def test_unreadable_lines_are_counted(spark):
+    read = Observation("ranges")
+    lines = ["1.0.0.0|1.0.0.9|c|0|p|q|x", "short|line", "1.0.0.9|1.0.0.0|c|0|p|q|x", "a|b|c|0|p|q|x", ""]
+    assert parse_ranges(spark.createDataFrame([(x,) for x in lines], "value string"), rejected=read).count() == 1
+    assert read.get == {"lines": 5, "kept": 1}
+    times = Observation("times")
+    timed = timed_words(spark.createDataFrame([("2024-01-01 00:00:00,a b",), ("never,a",), ("alone",)], "value string"), rejected=times)
+    assert timed.count() == 2 and times.get == {"lines": 3, "kept": 1}
