@@ -226,13 +226,14 @@ def near_duplicates(
     return rows.join(roots, F.col("text_hash") == F.col("node"), "left").select("doc_id", "text_hash", "n_rows", F.coalesce("root", "text_hash").alias("root"))
 
 
-GROUP = 256  # texts confirmed together, or on each side of two tiles
+GROUP, LARGEST_GROUP = 256, 1024  # texts confirmed together, or on each side of two tiles; more for large groups
 
 
 def confirmed_links(texts: DataFrame, proposed: DataFrame, width: int, similarity: float, radius: int, words: int) -> DataFrame:
     """Edges between text hashes of proposed groups whose shingle sets are similar enough."""
     sizes = proposed.groupBy("root").agg(F.count("*").alias("n"))
-    members = proposed.join(sizes, "root").select(F.col("node").alias("text_hash"), "root", F.ceil(F.col("n") / GROUP).cast("int").alias("tiles"))
+    side = F.greatest(F.lit(GROUP), F.least(F.col("n") / TILES, F.lit(LARGEST_GROUP)))
+    members = proposed.join(sizes, "root").select(F.col("node").alias("text_hash"), "root", F.ceil(F.col("n") / side).cast("int").alias("tiles"))
     buckets = max(1, proposed.count() // GROUP)
     once = texts.select(F.xxhash64("text").alias("text_hash"), "text").join(members, "text_hash")
     once = once.groupBy("text_hash").agg(F.first("text").alias("text"), F.first("root").alias("root"), F.first("tiles").alias("tiles"))
