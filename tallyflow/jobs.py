@@ -26,6 +26,8 @@ from .sources import kafka_options, line_stream, read_day, read_json, read_lines
 from .streaming.lifecycle import drain, start, stop_on_marker
 
 KAFKA = "kafka://"
+# What a micro-batch takes unless told otherwise: a backlog is worked off in bounded steps, nothing is dropped.
+BATCH_FILES, BATCH_OFFSETS = 1_000, 5_000_000
 
 
 def word_count(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -113,7 +115,7 @@ def device_stats(spark: SparkSession, args: argparse.Namespace) -> list[DataStre
 
 
 def stream_words(spark: SparkSession, args: argparse.Namespace) -> list[DataStreamWriter]:
-    counts = words.stream_word_counts(line_stream(spark, args.source, args.max_per_batch))
+    counts = words.stream_word_counts(line_stream(spark, args.source, args.max_per_batch or BATCH_FILES))
     return [keyed_sink(counts, keyed_table(spark, args.target, "word"), args.checkpoint)]
 
 
@@ -129,8 +131,8 @@ def _ranges(spark: SparkSession, path: str) -> DataFrame:
 
 def _records(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     if args.source.startswith(KAFKA):
-        return topic_stream(spark, kafka=kafka_options(*_kafka_address(args.source), args.max_per_batch))
-    return topic_stream(spark, args.source, max_files=args.max_per_batch)
+        return topic_stream(spark, kafka=kafka_options(*_kafka_address(args.source), args.max_per_batch or BATCH_OFFSETS))
+    return topic_stream(spark, args.source, max_files=args.max_per_batch or BATCH_FILES)
 
 
 def _kafka_address(text: str) -> tuple[str, str]:
@@ -151,7 +153,7 @@ def _parser() -> argparse.ArgumentParser:
 
     def stream(name, run, *positional):
         added = job(name, run, "source", *positional, "checkpoint")
-        added.add_argument("--max-per-batch", type=int, help="offsets or files read per micro-batch")
+        added.add_argument("--max-per-batch", type=int, help=f"files ({BATCH_FILES}) or offsets ({BATCH_OFFSETS}) read per micro-batch")
         added.add_argument("--stop-marker", help="stop once this path exists")
         added.add_argument("--every", help="interval between micro-batches, such as '5 seconds'")
         added.add_argument("--once", action="store_true", help="process what is there and end")

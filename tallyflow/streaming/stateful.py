@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..operators.lookups import partition_salt
 
 DEDUP_SALTS = 16
+THINNED = "1 minute"
 
 
 def windowed_counts(
@@ -45,17 +46,20 @@ def first_per_key(
     """Pass one row per key.
 
     ``within`` is a time column and a delay: keys are then forgotten once the delay has passed,
-    which bounds the state. Otherwise every key ever seen is kept. On a stream, rows are first
+    which bounds the state. Otherwise every key ever seen is kept, once. On a stream, rows are first
     deduplicated within ``salts`` parts of their key, so that a key holding a large share of a
-    micro-batch is spread over tasks and only one row per part goes on.
+    micro-batch is spread over tasks and only one row per part goes on. That step only has to thin
+    out what arrives together: without ``within`` it remembers a key for ``THINNED`` of clock time.
     """
     names = list(keys)
     if within is not None:
         rows = rows.withWatermark(*within)
-    drop = DataFrame.dropDuplicates if within is None else DataFrame.dropDuplicatesWithinWatermark
     if rows.isStreaming and salts > 1:
-        rows = drop(rows.withColumn("_part", partition_salt(salts)), [*names, "_part"]).drop("_part")
-    return drop(rows, names)
+        parts = rows.withColumn("_part", partition_salt(salts))
+        if within is None:
+            parts = parts.withColumn("_seen", F.current_timestamp()).withWatermark("_seen", THINNED)
+        rows = parts.dropDuplicatesWithinWatermark([*names, "_part"]).select(*rows.columns)
+    return rows.dropDuplicates(names) if within is None else rows.dropDuplicatesWithinWatermark(names)
 
 
 def deduplicated_counts(rows: DataFrame, keys: Sequence[str], salts: int = DEDUP_SALTS) -> DataFrame:

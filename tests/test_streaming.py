@@ -204,7 +204,8 @@ def test_deduplicated_counts(spark, feed, tmp_path):
         feed(*batch)
     counts = deduplicated_counts(user_events(spark, feed), ["user_id", "event_type"])
     rows, _ = run(counts, tmp_path, "complete")
-    assert rows == [[("u1", "click", 1)], [("u1", "click", 1), ("u2", "click", 1)]]
+    changes = [r for i, r in enumerate(rows) if i == 0 or r != rows[i - 1]]  # a batch without data says the same again
+    assert changes == [[("u1", "click", 1)], [("u1", "click", 1), ("u2", "click", 1)]]
     rows, _ = run(counts, tmp_path, "update", "ck2")
     assert rows == [[("u1", "click", 1)], [("u2", "click", 1)]]
     with pytest.raises(Exception, match="append"):
