@@ -256,9 +256,10 @@ def train(documents: DataFrame, labels: DataFrame, train_labels: int = TRAIN_LAB
     toxic if one says so. At most ``train_labels`` are used, chosen by a hash; that bound is what lets them be broadcast
     to the texts. Without labels of both kinds nothing is weighted and every document gets the share of toxic labels.
     """
-    picked = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+    named = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), "toxic")
+    picked = named.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
     picked = picked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_labels)
-    texts = documents.select("doc_id", "text").where("doc_id is not null")
+    texts = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").where("doc_id is not null")
     labelled = texts.join(F.broadcast(picked), "doc_id")
     # copies and near copies of a text are learned from once, or each of its words would look sure
     single = _copy_keys(labelled).groupBy("copy_key").agg(F.min("doc_id").alias("doc_id"), F.max("toxic").alias("toxic"))
