@@ -10,7 +10,7 @@ before a word mark, which no piece has inside; their pieces are remembered, as w
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import groupby
 from typing import NamedTuple
 
@@ -178,23 +178,52 @@ class Encoder:
         return ids
 
 
-def decode_ids(ids: list[int] | None, pieces: Pieces) -> str:
-    """Text of ids: runs of byte pieces as UTF-8, bad bytes as replacement characters, the added first space dropped."""
-    parts, raw = [], bytearray()
-    for i in ids or ():
-        piece = pieces.texts[i] if i is not None and 0 <= i < len(pieces.texts) else None
-        if isinstance(piece, int):
-            raw.append(piece)
-            continue
-        if raw:
-            parts.append(raw.decode("utf-8", "replace"))
-            raw = bytearray()
-        if piece is not None:
-            parts.append(piece.replace(MARK, " "))
-    if raw:
-        parts.append(raw.decode("utf-8", "replace"))
-    text = "".join(parts)
-    return text[1:] if pieces.prefix and text.startswith(" ") else text
+class Decoder:
+    """Text of ids: byte pieces as UTF-8, bad bytes as replacement characters, the added first space dropped.
+
+    A byte piece above the ASCII range stands as the lone surrogate that escapes it until the pieces are joined; one
+    pass over the bytes then settles all of them. Unknown ids and ids of control pieces have no text and end a run of bytes.
+    """
+
+    def __init__(self, pieces: Pieces) -> None:
+        self.prefix = pieces.prefix
+        self.byte_ids = frozenset(pieces.byte_ids)
+        self.text: dict[int | None, str] = {}
+        for i, piece in enumerate(pieces.texts):
+            if isinstance(piece, int):
+                self.text[i] = chr(piece if piece < 128 else 0xDC00 + piece)
+            elif piece is not None:
+                self.text[i] = piece.replace(MARK, " ")
+
+    def _joined(self, ids: Iterable[int | None]) -> str:
+        text = "".join(map(self.text.get, ids))
+        try:
+            text.encode()
+        except UnicodeEncodeError:
+            text = text.encode("utf-8", "surrogateescape").decode("utf-8", "surrogateescape")
+            text = re.sub("[\udc80-\udcff]", "\ufffd", text)  # one for each byte that is part of no character
+        return text
+
+    def decode(self, ids: list[int | None] | None) -> str:
+        try:
+            text = self._joined(ids or ())
+        except TypeError:  # an id without a piece
+            text = "".join(self._joined(run) for known, run in groupby(ids, self.text.__contains__) if known)
+        if self.prefix and text.startswith(" ") and next(i for i in ids if i in self.text) not in self.byte_ids:
+            return text[1:]
+        return text
+
+
+def decode_ids(ids: list[int | None] | None, pieces: Pieces) -> str:
+    return Decoder(pieces).decode(ids)
+
+
+def _values(column: pa.Array) -> list:
+    """Python values of a column; lists of numbers are cut from one array of all of them."""
+    if not pa.types.is_list(column.type) or column.values.null_count:
+        return column.to_pylist()
+    ends, numbers = column.offsets.to_numpy(), column.values.to_numpy()
+    return [numbers[a:b].tolist() for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
 
 
 def _mapped(rows: DataFrame, source: str, target: str, kind: str, make: Callable[[Pieces], Callable], pieces: Pieces) -> DataFrame:
@@ -206,7 +235,7 @@ def _mapped(rows: DataFrame, source: str, target: str, kind: str, make: Callable
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         apply = make(shared.value)
         for batch in batches:
-            found = pa.array([apply(x.as_py()) for x in batch.column(batch.num_columns - 1)], arrow)
+            found = pa.array([apply(x) for x in _values(batch.column(batch.num_columns - 1))], arrow)
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], found], schema.names)
 
     return rows.select(*others, source).mapInArrow(run, schema)
@@ -225,7 +254,7 @@ def decode(encoded: DataFrame, ids: str = "ids", text: str = "text", pieces: Pie
 
     Decoding an encoded text gives it back, but for U+2581, the mark itself, which comes back as a space.
     """
-    return _mapped(encoded, ids, text, "string", lambda p: lambda x: decode_ids(x, p), pieces or read_model())
+    return _mapped(encoded, ids, text, "string", lambda p: Decoder(p).decode, pieces or read_model())
 
 
 @query("op10_sentencepiece")

@@ -187,10 +187,14 @@ def test_pieces_equal_the_library(model):
     letters = "ab theing\n\t  日本語é́ﬁ🙂0123.,'\"()<>ＡЖд"
     texts = ["".join(pick.choice(letters) for _ in range(pick.randrange(60))) for _ in range(2000)]
     texts += ["".join(pick.choice(list(model.scores)) for _ in range(8)).replace("▁", " ") for _ in range(1000)]
+    decoder = pieces.Decoder(model)
     for text in texts:
         ids = encoder.encode(text)
         assert ids == library.encode(text)
-        assert pieces.decode_ids(ids, model) == text
+        assert decoder.decode(ids) == text
+    for _ in range(500):  # ids that no text gives: bytes out of order, control pieces
+        ids = [pick.choice([pick.randrange(3, 259), pick.randrange(259, 32000), 1]) for _ in range(12)]
+        assert decoder.decode(ids) == library.decode(ids)
 
 
 def test_best_scores_against_all_segmentations():
