@@ -25,7 +25,7 @@ from .common import query, table
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 UNIGRAM, BPE = "unigram", "bpe"
-REMEMBERED = 800_000  # stretches a worker remembers before it starts anew
+REMEMBERED = 500_000  # stretches a worker remembers before it starts anew
 LONGEST_REMEMBERED = 48
 UNKNOWN_PENALTY = 10.0
 
