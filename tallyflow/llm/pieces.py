@@ -27,6 +27,7 @@ MARK = "▁"
 UNIGRAM, BPE = "unigram", "bpe"
 REMEMBERED = 500_000  # stretches a worker remembers before it starts anew
 LONGEST_REMEMBERED = 48
+ROWS = 256  # rows of a batch that are turned into Python values at a time
 UNKNOWN_PENALTY = 10.0
 
 
@@ -218,12 +219,14 @@ def decode_ids(ids: list[int | None] | None, pieces: Pieces) -> str:
     return Decoder(pieces).decode(ids)
 
 
-def _values(column: pa.Array) -> list:
-    """Python values of a column; lists of numbers are cut from one array of all of them."""
+def _values(column: pa.Array) -> Iterator:
+    """Python values of a column, one at a time; lists of numbers are cut from one array of all of them."""
     if not pa.types.is_list(column.type) or column.values.null_count:
-        return column.to_pylist()
+        yield from (x.as_py() for x in column)
+        return
     ends, numbers = column.offsets.to_numpy(), column.values.to_numpy()
-    return [numbers[a:b].tolist() for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+    for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True):
+        yield numbers[a:b].tolist()
 
 
 def _mapped(rows: DataFrame, source: str, target: str, kind: str, make: Callable[[Pieces], Callable], pieces: Pieces) -> DataFrame:
@@ -235,8 +238,10 @@ def _mapped(rows: DataFrame, source: str, target: str, kind: str, make: Callable
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         apply = make(shared.value)
         for batch in batches:
-            found = pa.array([apply(x) for x in _values(batch.column(batch.num_columns - 1))], arrow)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], found], schema.names)
+            for start in range(0, batch.num_rows, ROWS):  # ids are lists of Python numbers for as few rows as possible
+                part = batch.slice(start, ROWS)
+                found = pa.array([apply(x) for x in _values(part.column(part.num_columns - 1))], arrow)
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], found], schema.names)
 
     return rows.select(*others, source).mapInArrow(run, schema)
 
