@@ -24,6 +24,7 @@ from .components import connected_components
 
 SEED = 42
 CHUNK = 1 << 14  # shingles whose bits are unpacked at a time
+HEAD = 3  # words of a fingerprint compared for all pairs
 SMALLEST_TILE, LARGEST_TILE, TILES = 8192, 1 << 20, 64
 
 
@@ -42,26 +43,41 @@ def _mixed(hashes: np.ndarray) -> np.ndarray:
     return z ^ (z >> np.uint64(31))
 
 
-def fingerprint(hashes: np.ndarray, words: int = 1) -> list[int]:
-    """The fingerprint as signed 64-bit integers; zero without shingles. The first is of the hashes themselves."""
+def fingerprint(hashes: np.ndarray, words: int = 1, lead: bool = False) -> list[int]:
+    """The fingerprint as signed 64-bit integers; zero without shingles. The first is of the hashes themselves.
+
+    Ties are zero, or with ``lead`` go with the first hash: fingerprints of few shingles are then as far apart as others.
+    """
     out = []
     for _ in range(words):
         ones = np.zeros(64, np.int64)
         for start in range(0, len(hashes), CHUNK):
             part = np.ascontiguousarray(hashes[start : start + CHUNK])
             ones += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-        out.append(int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<i8")[0]))
+        ones *= 2
+        if lead and len(hashes):
+            ones += np.unpackbits(np.ascontiguousarray(hashes[:1]).view(np.uint8), bitorder="little")
+        out.append(int(np.packbits(ones > len(hashes), bitorder="little").view("<i8")[0]))
         hashes = _mixed(hashes)
     return out
 
 
-def with_fingerprints(documents: DataFrame, width: int, words: int = 1) -> DataFrame:
-    """``doc_id``, ``text_hash`` (XXH64 of the text) and ``fp``, an array of ``words`` integers."""
+def set_fingerprint(distinct: np.ndarray, words: int) -> list[int]:
+    """Fingerprint of a set of shingles, as the similarity counts them: each once, however often the text says it."""
+    return fingerprint(distinct, words, lead=True)
+
+
+def with_fingerprints(documents: DataFrame, width: int, words: int = 1, once: bool = False) -> DataFrame:
+    """``doc_id``, ``text_hash`` (XXH64 of the text) and ``fp``, an array of ``words`` integers; ``once`` for those of sets."""
     columns = "doc_id bigint, text_hash bigint, fp array<bigint>"
 
+    def mark(text: str | None) -> list[int]:
+        hashes = shingle_hashes(text, width)
+        return set_fingerprint(np.unique(hashes), words) if once else fingerprint(hashes, words)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            marks = [fingerprint(shingle_hashes(x.as_py(), width), words) for x in batch.column(2)]
+            marks = [mark(x.as_py()) for x in batch.column(2)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(marks, pa.list_(pa.int64()))], ["doc_id", "text_hash", "fp"])
 
     return documents.select("doc_id", F.xxhash64("text"), "text").mapInArrow(run, columns)
@@ -83,6 +99,8 @@ def _join_labels(label: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
 def _distance(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """Differing bits of every row of ``left`` from every row of ``right``."""
     found = np.bitwise_count(left[:, None, 0] ^ right[None, :, 0])
+    if left.shape[1] > HEAD:
+        found = found.astype(np.uint16)  # 256 bits can differ in more than a byte holds
     for k in range(1, left.shape[1]):
         found += np.bitwise_count(left[:, None, k] ^ right[None, :, k])
     return found
@@ -96,7 +114,10 @@ def link_within(left: np.ndarray, right: np.ndarray, radius: int, same: bool) ->
     for i in range(0, len(left), rows):
         block = left[i : i + rows]
         for j in range(i if same else 0, len(right), columns):
-            x, y = np.nonzero(_distance(block, right[j : j + columns]) <= radius)
+            x, y = np.nonzero(_distance(block[:, :HEAD], right[j : j + columns, :HEAD]) <= radius)
+            if left.shape[1] > HEAD:  # the first words rule out most pairs
+                near = np.bitwise_count(block[x] ^ right[y + j]).sum(1, dtype=np.int64) <= radius
+                x, y = x[near], y[near]
             label = _join_labels(label, x + i, y + j + shift)
     joined = np.nonzero(label != np.arange(len(label)))[0]
     return joined, label[joined]
@@ -124,10 +145,12 @@ def fingerprint_links(distinct: DataFrame, radius: int, words: int = 1) -> DataF
     """Edges ``(a, b)`` between keys that connect all fingerprints which are ``radius`` bits or fewer apart.
 
     ``distinct`` has ``key`` (bigint, unique) and ``fp``. Four segments prune best for a small radius; for a large one
-    the neighbouring cells would be too many and the whole count is used. A cell is dealt into tiles by a hash.
+    the neighbouring cells would be too many and the whole count is used, in steps of the radius, so that only the next
+    cell is within it. A cell is dealt into tiles by a hash.
     """
-    segments = 4 if radius <= 3 else 1
-    rows = distinct.select("key", "fp", _segment_counts(F.col("fp"), words, segments).alias("cell"))
+    segments, step = (4, 1) if radius <= 3 else (1, radius)
+    counts = F.transform(_segment_counts(F.col("fp"), words, segments), lambda n: F.floor(n / step).cast("int"))
+    rows = distinct.select("key", "fp", counts.alias("cell"))
     sizes = rows.groupBy("cell").agg(F.count("*").alias("n"))
     total = sizes.agg(F.sum("n")).first()[0] or 0
     most = min(LARGEST_TILE, max(SMALLEST_TILE, total // TILES))
@@ -136,7 +159,7 @@ def fingerprint_links(distinct: DataFrame, radius: int, words: int = 1) -> DataF
     )
     tiles = stored(dealt.groupBy("cell", "part").agg(F.flatten(F.collect_list("row")).alias("rows")), "tiles")
     heads = tiles.select("cell", "part")
-    steps = F.array(*[F.array(*map(F.lit, o)) for o in _offsets(segments, radius)])
+    steps = F.array(*[F.array(*map(F.lit, o)) for o in _offsets(segments, radius // step)])
     near = F.zip_with("cell", F.col("step"), lambda c, s: c + s)
     ahead = heads.select("cell", "part", F.explode(steps).alias("step")).select(
         F.col("cell").alias("cell_a"), F.col("part").alias("part_a"), near.alias("cell")
@@ -207,17 +230,17 @@ def _confirmed(rows: list[tuple[int, np.ndarray, np.ndarray, int]], radius: int,
 
 
 def near_duplicates(
-    documents: DataFrame, width: int = 5, similarity: float = 0.8, radius: int = 30, words: int = 2, doc_id: str = "doc_id", text: str = "text"
+    documents: DataFrame, width: int = 5, similarity: float = 0.8, radius: int = 80, words: int = 4, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """``(doc_id, text_hash, n_rows, root)`` per distinct id and text; texts of one ``root`` are near duplicates.
 
-    Fingerprints of 128 bits within ``radius`` propose groups: at similarity 0.8 the expected distance is 19, while
-    unrelated texts differ by 64. Within a proposed group, pairs at that distance are confirmed by the exact similarity
+    Fingerprints of 256 bits, of the distinct shingles, within ``radius`` propose groups: at similarity 0.8 the expected
+    distance is 39, at most 48 (four of five shingles), while unrelated texts differ by 128. Within a proposed group, pairs at that distance are confirmed by the exact similarity
     of their shingle sets. Groups of more than ``GROUP`` texts are confirmed tile by tile. Blank and null texts are
     duplicates of each other.
     """
     texts = _named(documents, doc_id, text)
-    marked = stored(with_fingerprints(texts, width, words), "fingerprints")
+    marked = stored(with_fingerprints(texts, width, words, once=True), "fingerprints")
     distinct = marked.groupBy(F.col("text_hash").alias("key")).agg(F.first("fp").alias("fp"))
     proposed = stored(connected_components(fingerprint_links(distinct, radius, words)), "proposed")
     edges = confirmed_links(texts, proposed, width, similarity, radius, words)
@@ -241,8 +264,8 @@ def confirmed_links(texts: DataFrame, proposed: DataFrame, width: int, similarit
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hashes = [shingle_hashes(x.as_py(), width) for x in batch.column(3)]
-            arrays = [pa.array([fingerprint(h, words) for h in hashes], pa.list_(pa.int64())), pa.array([np.unique(h).view(np.int64) for h in hashes], pa.list_(pa.int64()))]
+            hashes = [np.unique(shingle_hashes(x.as_py(), width)) for x in batch.column(3)]
+            arrays = [pa.array([set_fingerprint(h, words) for h in hashes], pa.list_(pa.int64())), pa.array([h.view(np.int64) for h in hashes], pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], *arrays], ["text_hash", "root", "tiles", "fp", "shingles"])
 
     full = once.select("text_hash", "root", "tiles", "text").mapInArrow(shingled, columns)
@@ -272,7 +295,7 @@ def _blank_links(rows: list[tuple[int, np.ndarray, np.ndarray, int]]) -> list[tu
     return [(blank[0], other) for other in blank[1:]]
 
 
-def without_near_duplicates(documents: DataFrame, width: int = 5, similarity: float = 0.8, radius: int = 30, words: int = 2) -> DataFrame:
+def without_near_duplicates(documents: DataFrame, width: int = 5, similarity: float = 0.8, radius: int = 80, words: int = 4) -> DataFrame:
     """``documents`` with one row of each group of near duplicates: the smallest ``doc_id``, null ids last.
 
     Of rows that repeat an id and a text one stays. All columns pass through unchanged.

@@ -86,6 +86,37 @@ def test_near_duplicates(spark):
     assert kept == set(union(close, text).values())
 
 
+def test_near_duplicates_at_exactly_the_similarity(spark):
+    rows, pairs = [], []
+
+    def pair(a, b):
+        assert shingle_similarity(a, b) >= 0.8
+        pairs.append((len(rows), len(rows) + 1))
+        rows.extend([(len(rows), a), (len(rows) + 1, b)])
+
+    for i in range(300):  # four of five shingles
+        words = prose(9000 + i, 9).split()
+        pair(" ".join(words[:8]), " ".join(words))
+    for i in range(60):  # 16 of 20 and 80 of 100
+        words = prose(9500 + i, 24 if i % 2 else 104).split()
+        pair(" ".join(words[: 20 if i % 2 else 84]), " ".join(words))
+    for i in range(40):  # a passage said again and again adds no shingle but those between its copies
+        text, passage = prose(9700 + i, 120), prose(9800 + i, 14)
+        pair(text, " ".join([text, *[passage] * (2 + i % 5)]))
+    assert shingle_similarity(rows[0][1], rows[1][1]) == 0.8
+    found = {r["doc_id"]: r["root"] for r in simhash.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert [p for p in pairs if found[p[0]] != found[p[1]]] == []
+
+
+def test_wide_fingerprints():
+    marks = np.array([[0, 0, 0, 0], [(1 << 64) - 1] * 4, [(1 << 64) - 1, 0, 0, 0], [0, 0, 0, 255]], np.uint64)
+    assert simhash._distance(marks, marks)[0].tolist() == [0, 256, 64, 8]
+    u, v = simhash.link_within(marks, marks, 80, same=True)
+    assert sorted(zip(u.tolist(), v.tolist())) == [(2, 0), (3, 0)]
+    pair = [simhash.set_fingerprint(np.array(h, np.uint64), 4) for h in ([3 << 40, 5 << 50], [7 << 45, 9 << 55])]
+    assert pair[0][0] == 3 << 40 and pair[1][0] == 7 << 45  # two shingles: ties go with the first
+
+
 def test_near_duplicates_in_tiles(spark, monkeypatch):
     monkeypatch.setattr(simhash, "GROUP", 4)
     base = prose(5, 300)
