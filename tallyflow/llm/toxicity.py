@@ -17,17 +17,18 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import doc_crc, query, stored, table
+from .simhash import near_duplicates
 
 TRAIN_LABELS = 200_000  # labelled documents learned from, at most
 VOCABULARY = 50_000  # weighted tokens kept, the surest first
 PRIOR, FLOOR = 1_000.0, 0.5  # prior counts: in all, dealt by overall frequency, and at least for each token
 SURE, LEAST = 2.75, 1.5  # standard deviations and log-odds a weight must reach
 DRIFT = -0.1
+COPY_WIDTH, SAME = 3, 0.8  # runs of words that copies of a labelled text share, and the share from which they are copies
 STEMS = (4, 5)  # lengths of word beginnings that stand in for rare words
 EVIDENCE_BINS = 400
 SIGNIFICANT = 0.05  # E-value below which a passage is reported
@@ -167,20 +168,21 @@ _ARROW = {
 }
 
 
-def _copy_key(text: str | None) -> int:
-    """Smallest hash over the runs of three tokens: equal for copies, and for most near copies, of a text."""
-    words = tokens_of(text)
-    runs = {" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))}
-    return min(xxhash.xxh64_intdigest(r) for r in runs) - (1 << 63)
+def _learned_once(labelled: DataFrame) -> DataFrame:
+    """``labelled`` with one row of each group of copies and near copies: a toxic one if there is one, with its own text.
 
-
-def _copy_keys(labelled: DataFrame) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys = pa.array([_copy_key(x.as_py()) for x in batch.column(2)], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), keys], ["doc_id", "toxic", "copy_key"])
-
-    return labelled.select("doc_id", "toxic", "text").mapInArrow(run, "doc_id bigint, toxic int, copy_key bigint")
+    Copies share ``SAME`` of their runs of three words, confirmed exactly; a single shared run makes none.
+    """
+    copies = near_duplicates(labelled, COPY_WIDTH, SAME)
+    toxic = labelled.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    first = F.min(F.struct((-F.col("toxic")).alias("rank"), "doc_id", "text_hash", "n_rows")).alias("w")
+    winners = copies.join(toxic, "doc_id").groupBy("root").agg(first).select(
+        F.col("w.doc_id").alias("_id"), F.col("w.text_hash").alias("_hash"), F.col("w.n_rows").alias("_rows")
+    )
+    winners = stored(winners, "learned")
+    kept = labelled.join(F.broadcast(winners), (F.col("doc_id") == F.col("_id")) & (F.xxhash64("text") == F.col("_hash")))
+    single, repeated = kept.where("_rows = 1"), kept.where("_rows > 1").dropDuplicates(["_id", "_hash"])
+    return single.unionByName(repeated).select("doc_id", "text", "toxic")
 
 
 def _token_counts(labelled: DataFrame) -> DataFrame:
@@ -260,10 +262,9 @@ def train(documents: DataFrame, labels: DataFrame, train_labels: int = TRAIN_LAB
     picked = named.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
     picked = picked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_labels)
     texts = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").where("doc_id is not null")
-    labelled = texts.join(F.broadcast(picked), "doc_id")
+    labelled = stored(texts.join(F.broadcast(picked), "doc_id"), "labelled")
     # copies and near copies of a text are learned from once, or each of its words would look sure
-    single = _copy_keys(labelled).groupBy("copy_key").agg(F.min("doc_id").alias("doc_id"), F.max("toxic").alias("toxic"))
-    labelled = texts.join(F.broadcast(stored(single.select("doc_id", "toxic").distinct(), "learned")), "doc_id")
+    labelled = _learned_once(labelled)
     counts = stored(_token_counts(labelled), "token_counts")
     words = counts.where(~F.col("token").endswith("~"))
     sums = words.agg(F.sum("toxic_n").alias("t"), F.sum("other_n").alias("o")).first()

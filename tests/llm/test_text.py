@@ -137,6 +137,16 @@ def test_toxicity_held_out(spark):
     assert words[first["first"]] in bad and words[first["last"]] in bad
 
 
+def test_toxicity_learns_from_each_text_with_its_own_label(spark):
+    shared = "all of our terms apply here"
+    rows = [(i, f"{prose(i, 60)} {shared} {prose(900 + i, 60)}", i % 2) for i in range(60)]  # a passage in common, no copies
+    rows += [(100, prose(1, 90), 0), (101, prose(1, 90), 1), (101, prose(1, 90), 1), (102, prose(1, 90) + " more", 0)]  # copies
+    rows += [(200 + i, text, i % 2) for i, text in enumerate(["one run only", "one run only of five", "", " "])]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int")
+    found = [(r["doc_id"], r["text"], r["toxic"]) for r in toxicity._learned_once(frame).collect()]
+    assert sorted(found) == sorted(r for r in set(rows) if r[0] not in (100, 102, 202))
+
+
 def test_toxicity_hard_cases(spark):
     labels = spark.createDataFrame([(13, 1), (1, 0), (1, 0), (None, 1), (9, None)], "doc_id bigint, toxic int")
     found = toxicity.score_toxicity(hard(spark, clashing=True), toxicity.train(hard(spark), labels)).collect()
