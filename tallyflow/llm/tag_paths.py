@@ -33,13 +33,26 @@ _INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong "
     "sub sup time tt u var wbr".split()
 )
-_FURNITURE = frozenset("nav footer aside form button menu dialog select option head fieldset".split())
-_NOISE = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adverti[sz]ement|sponsor\w*|promo\w*|banner|nav\w*|menu\w*|breadcrumbs?|side-?bar|footer|site-?header|"
+_FURNITURE = frozenset("nav footer aside button menu dialog select option head".split())
+#: Tags that are furniture unless they hold most of the page, as one form around everything does.
+_WRAPPERS = frozenset("form fieldset".split())
+#: Elements that hold the page or its article; no name makes them furniture.
+_BODIES = frozenset("html body main article".split())
+#: A class, id or role is furniture if it is one of these words, alone or joined to words that only say which or where.
+#: A name with any other part says something else: "no-sidebar", "with-sidebar" and "has-comments" describe the page.
+_WORD = (
+    r"(?:ads?|advert\w*|adverti[sz]ement|sponsor\w*|promo\w*|banner|nav\w*|menu\w*|breadcrumbs?|side-?bar|footer|site-?header|"
     r"page-?header|masthead|cookies?|consent|gdpr|notices?|notification|alert|pop-?up|modal|overlay|comments?|disqus|repl(?:y|ies)|"
-    r"share|sharing|social|related|recommended|newsletter|subscribe|signup|login|search|pagination|pager|toolbar|widget)(?:$|[\s_-])",
-    re.I,
+    r"share|sharing|social|related|recommended|newsletter|subscribe|signup|login|search|pagination|pager|toolbar|widget)"
 )
+_BESIDE = (
+    r"(?:site|page|post|entry|article|blog|main|global|primary|secondary|top|bottom|left|right|upper|lower|inner|outer|sticky|fixed|"
+    r"box|bar|block|lists?|links?|items?|buttons?|icons?|containers?|content|wrap|wrapper|section|area|panel|form|policy|text|body|"
+    r"title|header|inline|mobile|desktop|js|[0-9]+)"
+)
+_NOISE = re.compile(rf"(?:^|\s)(?:{_BESIDE}[_-]+)*{_WORD}(?:[_-]+(?:{_WORD}|{_BESIDE}))*(?:$|\s)", re.I)
+#: Furniture that can hold more text than the article.
+_TALK = re.compile(r"(?:^|[\s_-])(?:comments?|disqus|repl(?:y|ies))(?:$|[\s_-])", re.I)
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _ENDS_P = frozenset(
     "address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split()
@@ -52,18 +65,24 @@ THRESHOLD = 0.5  # of the scores' standard deviation
 MOST = 0.8  # share of the selected text that the article's element must hold
 
 
+_NAMED, _TAGGED = 1, 2
+
+
 class Block(NamedTuple):
     text: str
     path: tuple[str, ...]  # block-level tags from the root
     chain: tuple[int, ...]  # numbers of the open elements
     noise: bool
+    named: bool  # noise by name only, or by a form around it
     linked: int  # characters inside links
 
 
 def _blocks(page: str) -> list[Block]:
     """Text blocks in page order, with white space settled and references decoded."""
     blocks: list[Block] = []
-    stack: list[tuple[str, int, bool]] = []  # tag, number, furniture
+    stack: list[tuple[str, int, int]] = []  # tag, number, furniture
+    doubtful: set[int] = set()  # elements that are furniture unless they hold most of the text
+    talk: set[int] = set()  # elements that are furniture even then
     inline: list[str] = []
     parts: list[str] = []
     linked, number, at = 0, 0, 0
@@ -73,7 +92,8 @@ def _blocks(page: str) -> list[Block]:
         text = " ".join("".join(parts).split())
         if text:
             path = tuple(t for t, _, _ in stack)
-            blocks.append(Block(text, path, tuple(n for _, n, _ in stack), any(x for _, _, x in stack), linked))
+            kind = max((x for _, _, x in stack), default=0)
+            blocks.append(Block(text, path, tuple(n for _, n, _ in stack), kind > 0, kind == _NAMED, linked))
         parts.clear()
         linked = 0
 
@@ -131,9 +151,29 @@ def _blocks(page: str) -> list[Block]:
             names = " ".join(a or b or c for a, b, c in _NAME.findall(match[3]))
             banner = tag == "header" and not any(t in ("article", "main") for t in open_)
             number += 1
-            stack.append((tag, number, tag in _FURNITURE or banner or bool(names and _NOISE.search(names))))
+            named = tag not in _BODIES and bool(names and _NOISE.search(names))
+            if tag in _FURNITURE or banner:
+                kind = _TAGGED
+            else:
+                kind = _NAMED if named or tag in _WRAPPERS else 0
+                if kind and not (named and _TALK.search(names)):
+                    doubtful.add(number)
+                elif kind:
+                    talk.add(number)
+            stack.append((tag, number, kind))
     flush()
-    return blocks
+    return _settled(blocks, doubtful, talk) if doubtful else blocks
+
+
+def _settled(blocks: list[Block], doubtful: set[int], talk: set[int]) -> list[Block]:
+    """``blocks`` with those cleared whose only furniture are elements that hold most of the text outside links."""
+    holds: Counter[int] = Counter()
+    for b in blocks:
+        for element in doubtful.intersection(b.chain):
+            holds[element] += max(0, len(b.text) - b.linked)
+    total = sum(max(0, len(b.text) - b.linked) for b in blocks)
+    small = talk | {e for e in doubtful if holds[e] < MOST * total or not total}
+    return [b._replace(noise=False, named=False) if b.named and small.isdisjoint(b.chain) else b for b in blocks]
 
 
 def _scores(blocks: list[Block]) -> dict[tuple[str, ...], float]:
@@ -154,8 +194,14 @@ def _scores(blocks: list[Block]) -> dict[tuple[str, ...], float]:
 
 
 def main_text(page: str | None) -> str:
-    """Main text of one page, its blocks in page order joined by line feeds; empty if there is none."""
+    """Main text of one page, its blocks in page order joined by line feeds; empty if there is none.
+
+    Where all blocks are furniture, those that are by name only count as text, and where there are none of these, all.
+    """
     blocks = _blocks(page or "")
+    if all(b.noise for b in blocks):
+        named = any(b.named for b in blocks)
+        blocks = [b._replace(noise=False) if b.named or not named else b for b in blocks]
     clean = [b for b in blocks if not b.noise]
     if not clean:
         return ""

@@ -177,6 +177,30 @@ def test_main_text():
     assert tag_paths.main_text("<p" * 3000 + "<div>" * 3000 + "deep, text.").endswith("deep, text.")
 
 
+ARTICLE = "A & B\nFirst paragraph, with words; café.\nSecond one, longer than the first. It ends."
+
+
+def test_main_text_of_pages_with_telling_names():
+    for shape in ("<body class='page no-sidebar'>", "<body class='with-sidebar'>", "<body id=search>", "<body class='nav-open modal'>"):
+        assert tag_paths.main_text(PAGE.replace("<body>", shape)) == ARTICLE
+    assert tag_paths.main_text(PAGE.replace("<article>", "<main class='has-comments'><article class='post has-share comments'>")) == ARTICLE
+    assert tag_paths.main_text(PAGE.replace("<html>", "<html class='no-js cookies'>")) == ARTICLE
+    text = "<h1>A</h1>" + "".join(f"<p>{prose(i, 30)}</p>" for i in range(6))
+    plain = "A\n" + "\n".join(prose(i, 30) for i in range(6))
+    rest = "<nav><a href='/'>Home</a></nav><footer>Someone, somewhere.</footer>"
+    for wrap in ("<form action='/x'>{}{}</form>", "<div class='widget'>{}{}</div>", "<form><div class='content-with-sidebar'>{}</div></form>{}"):
+        assert tag_paths.main_text("<body>" + wrap.format(text, rest) + "</body>") == plain
+    talk = "<div class='post-comments'>" + "".join(f"<p>{prose(50 + i, 40)}</p>" for i in range(30)) + "</div>"
+    assert tag_paths.main_text(f"<body><div>{text}</div>{talk}{rest}") == plain
+    for name in ("cookie-notice", "site-footer", "sidebar sidebar-left", "x related-posts-list ad"):
+        assert tag_paths.main_text(f"<body><div>{text}</div><div class='{name}'><p>Some words, here.</p></div>") == plain
+
+
+def test_main_text_where_all_is_furniture():
+    assert tag_paths.main_text("<div class='comments'><p>Words, only here.</p></div><nav><p>Home, there.</p></nav>") == "Words, only here."
+    assert tag_paths.main_text("<aside><p>Words, only here.</p></aside>") == "Words, only here."
+
+
 def test_main_text_frame(spark):
     rows = [(1, "u", PAGE), (1, "u", PAGE), (2, None, None), (None, "v", "")]
     frame = spark.createDataFrame(rows, "page_id bigint, url string, html string").selectExpr("*", "'own' AS text", "'own' AS path")
