@@ -20,7 +20,7 @@ from tallyflow.operators.lookups import locate_ips  # noqa: E402
 from tallyflow.operators.parsing import timed_words  # noqa: E402
 from tallyflow.plans.orders import enrich_orders  # noqa: E402
 from tallyflow.session import build_session  # noqa: E402
-from tallyflow.sinks.keyed import keyed_table  # noqa: E402
+from tallyflow.sinks.keyed import STREAM, keyed_table  # noqa: E402
 from tallyflow.sinks.streams import keyed_sink, topic_sink  # noqa: E402
 from tallyflow.streaming.lifecycle import drain  # noqa: E402
 from tallyflow.streaming.stateful import first_per_key, flat_windows, windowed_counts  # noqa: E402
@@ -59,13 +59,12 @@ def main() -> None:
     orders = load(spark, folder, "orders")
     for percent in (1, 50):
         table = keyed_table(spark, new_folder(spark, "measured"), "o_orderkey")
-        table.replace_all(orders)
+        table.upsert(orders, 0, unique=True)
         changed = orders.where(F.col("o_orderkey") % 100 < percent).withColumn("o_totalprice", F.col("o_totalprice") + 1)
         write = best(lambda: table.upsert(changed, unique=True), 1)
         read = best(lambda: noop(table.read()))
-        base, changes = size_of(spark, f"{table.path}/base"), size_of(spark, f"{table.path}/changes")
-        compact = best(table.compact, 1)
-        print(f"upsert {percent}%: {write:.2f} s, {changes:,} B of {base:,} B written, read {read:.2f} s, compact {compact:.2f} s")
+        base, whole = size_of(spark, f"{table.path}/{STREAM}=main"), size_of(spark, table.path)
+        print(f"upsert {percent}%: {write:.2f} s, {whole - base:,} B beside {base:,} B written, read {read:.2f} s")
 
     def stream(label, count, rows, keys=None):
         path = new_folder(spark, label)

@@ -146,11 +146,10 @@ def ads_extract_and_report(spark: SparkSession, folder: str) -> DataFrame:
     """,
 )
 def upsert_table(spark: SparkSession, folder: str) -> DataFrame:
-    """All orders, then updates of the urgent ones and new keys, with a snapshot in between."""
+    """All orders, then updates of the urgent ones and new keys, these put twice."""
     orders = load(spark, folder, "orders")
     table = keyed_table(spark, new_folder(spark, "orders"), "o_orderkey")
     table.upsert(orders.select("o_orderkey", F.col("o_orderstatus").alias("status"), F.col("o_totalprice").alias("price")), 0, unique=True)
-    table.compact()
     urgent = F.col("o_orderpriority") == "1-URGENT"
     changed = orders.where(urgent).select(
         "o_orderkey", F.lit("changed").alias("status"), (F.col("o_totalprice") * 2).alias("price")
@@ -234,6 +233,5 @@ def doc_merge_fields(spark: SparkSession, folder: str) -> DataFrame:
     seen = full.where("city = 'P'").withColumn("city", F.lit("seen")).select(*empty("orderId", "city"))
     table = keyed_table(spark, new_folder(spark, "merged-documents"), "orderId", merge="field")
     table.upsert(full, order_by="orderTime")
-    table.compact()
     table.upsert(prices.unionByName(seen), order_by="orderTime")
     return table.read()

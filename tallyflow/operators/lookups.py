@@ -14,6 +14,9 @@ from ..functions.text import trimmed_fields
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 256 * 1024 * 1024
 SALTS = 32
+REGION_NAMES = ("province", "city")
+TOP_BITS, DEEP_BITS, DEEP = 16, 24, 256  # a /16 block with more than 256 pieces is cut into /24 blocks
+HOT_ROWS, HOT_BLOCKS = 2_000_000, 200
 
 
 def fits_broadcast(table: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
@@ -75,62 +78,106 @@ def overlapping_ranges(ranges: DataFrame) -> DataFrame:
     )
 
 
+def region_blocks(ranges: DataFrame, names: tuple[str, ...] = REGION_NAMES) -> DataFrame:
+    """The dictionary cut for an equi-join: ``(level, block, piece_from, piece_to)`` and ``names``.
+
+    Ranges are cut at /16 blocks. A block with more than 256 pieces is deep: its pieces are cut again at /24 blocks, of
+    which disjoint ranges leave at most 256 pieces each. So every address belongs to one block, with a bounded number of
+    candidates, and cutting adds at most 65,536 rows and one row per piece of a deep block.
+    """
+    wide = _cut(ranges, 16, names)
+    crowd = F.count(F.lit(1)).over(Window.partitionBy("block"))
+    levels = wide.withColumn("level", F.when(crowd > DEEP, DEEP_BITS).otherwise(TOP_BITS))
+    top = levels.where(F.col("level") == TOP_BITS)
+    deep = levels.where(F.col("level") == DEEP_BITS).select(F.col("piece_from").alias("ip_from"), F.col("piece_to").alias("ip_to"), *names)
+    columns = ("level", "block", "piece_from", "piece_to", *names)
+    return top.select(*columns).unionByName(_cut(deep, 24, names).withColumn("level", F.lit(DEEP_BITS)).select(*columns))
+
+
+def _cut(ranges: DataFrame, bits: int, names: tuple[str, ...]) -> DataFrame:
+    size = 32 - bits
+    pieces = ranges.select("*", F.explode(F.sequence(*_blocks(bits))).alias("block"))
+    first = F.shiftleft("block", size)
+    return pieces.select(
+        "block", F.greatest("ip_from", first).alias("piece_from"), F.least("ip_to", first + ((1 << size) - 1)).alias("piece_to"), *names
+    )
+
+
+def locate_in_blocks(
+    rows: DataFrame,
+    blocks: DataFrame,
+    ip: str = "ip",
+    names: tuple[str, ...] = REGION_NAMES,
+    broadcast_rows: int = BROADCAST_ROWS,
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """Left-join each row to the piece of a cut dictionary that holds its IPv4 address, by one join on the block.
+
+    The deep /16 blocks, 65,536 at most, are broadcast, so a row knows the one block it belongs to. Up to
+    ``broadcast_rows`` pieces are broadcast too and ``rows`` is not shuffled. Beyond that both sides are shuffled once by
+    block. Rows of each block are counted first; blocks above ``hot_rows`` and above one ``HOT_BLOCKS``-th of all rows,
+    so fewer than ``HOT_BLOCKS``, are dealt over several parts and only their pieces are repeated. Rows without a readable
+    address take no part in counting or join and are put back with nulls. An address in no range gets nulls.
+    """
+    small = fits_broadcast(blocks, broadcast_rows)
+    deep = blocks.where(F.col("level") == DEEP_BITS).select(F.shiftright("block", 8).alias("_deep")).distinct()
+    numbered = rows.withColumn("_ip", ipv4_to_long(ip))
+    apart = not small and not rows.isStreaming
+    known = numbered.where("_ip IS NOT NULL") if apart else numbered
+    known = known.join(F.broadcast(deep), F.shiftright("_ip", 16) == F.col("_deep"), "left")
+    level = F.when(F.col("_deep").isNull(), TOP_BITS).otherwise(DEEP_BITS)
+    placed = known.withColumns({"_level": level, "_block": F.when(F.col("_deep").isNull(), F.shiftright("_ip", 16)).otherwise(F.shiftright("_ip", 8))})
+    pieces = blocks.select("level", "block", "piece_from", "piece_to", F.struct(*names).alias("_region"))
+    match = (F.col("_level") == F.col("level")) & (F.col("_block") == F.col("block")) & F.col("_ip").between(F.col("piece_from"), F.col("piece_to"))
+    if small:
+        pieces = F.broadcast(pieces)
+    else:
+        if apart and (hot := hot_blocks(placed, hot_rows)):
+            parts = rows.sparkSession.createDataFrame(hot, "hot_level int, hot_block bigint, parts int")
+            mine = (F.col("_level") == F.col("hot_level")) & (F.col("_block") == F.col("hot_block"))
+            placed = placed.join(F.broadcast(parts), mine, "left").withColumn("_part", F.spark_partition_id() % F.coalesce("parts", F.lit(1)))
+            theirs = (F.col("level") == F.col("hot_level")) & (F.col("block") == F.col("hot_block"))
+            repeats = F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))
+            pieces = pieces.join(F.broadcast(parts), theirs, "left").withColumn("part", repeats).drop("hot_level", "hot_block", "parts")
+            match = match & (F.col("_part") == F.col("part"))
+        # its size is past the bound, whatever the optimiser estimates
+        pieces = pieces.hint("merge")
+    found = placed.join(pieces, match, "left").select(*rows.columns, *[F.col("_region")[name].alias(name) for name in names])
+    if not apart:
+        return found
+    none = numbered.where("_ip IS NULL").select(*rows.columns, *[F.lit(None).cast(blocks.schema[name].dataType).alias(name) for name in names])
+    return found.unionByName(none)
+
+
+def hot_blocks(placed: DataFrame, hot_rows: int = HOT_ROWS) -> list[tuple[int, int, int]]:
+    """``(level, block, parts)`` of the blocks that hold too many rows for one task.
+
+    The rows are counted within their tasks first. Fewer than ``HOT_BLOCKS`` blocks can qualify, so the answer is small.
+    """
+    seen = Observation()
+    counted = placed.select("_level", "_block").observe(seen, F.count(F.lit(1)).alias("rows"))
+    most = counted.groupBy("_level", "_block").count().orderBy(F.desc("count")).limit(HOT_BLOCKS).collect()
+    bound = max(hot_rows, seen.get["rows"] // HOT_BLOCKS) if most else 0
+    return [(r["_level"], r["_block"], -(-r["count"] // bound)) for r in most if r["count"] > bound]
+
+
 def locate_ips(
     rows: DataFrame,
     ranges: DataFrame,
     ip: str = "ip",
-    names: tuple[str, ...] = ("province", "city"),
+    names: tuple[str, ...] = REGION_NAMES,
     broadcast_rows: int = BROADCAST_ROWS,
-    salts: int = SALTS,
     disjoint: bool = False,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Left-join each row to the one range that holds its IPv4 address.
 
-    ``ranges`` has ``ip_from``, ``ip_to`` and ``names``. Overlapping ranges would repeat rows and are
-    refused; ``disjoint`` states that the caller has checked that. The table is
-    split into ranges inside one /24 block, joined on that block, and longer ones, repeated for
-    each /16 block they touch and joined on that. Disjoint ranges leave at most 256 candidates per
-    block in either part, and the split adds at most 65,536 rows, so both joins stay equi-joins
-    with a bounded probe. An address in no range gets nulls.
-
-    Up to ``broadcast_rows`` ranges are broadcast and ``rows`` is not shuffled. Beyond that the
-    join shuffles both sides, with each block spread over ``salts`` parts so that one busy block
-    does not land in one task.
+    ``ranges`` has ``ip_from``, ``ip_to`` and ``names``. Overlapping ranges would repeat rows and are refused;
+    ``disjoint`` states that the caller has checked that. See ``region_blocks`` and ``locate_in_blocks`` for the way.
     """
     if not disjoint and (clash := overlapping_ranges(ranges).first()) is not None:
         raise ValueError(f"range {clash.ip_from}-{clash.ip_to} starts inside another one")
-    small = fits_broadcast(ranges, broadcast_rows)
-    same_block = _blocks(24)[0] == _blocks(24)[1]
-    regions = F.struct(*names)
-    short = ranges.where(same_block).select(
-        _blocks(24)[0].alias("short_block"),
-        F.col("ip_from").alias("short_from"),
-        F.col("ip_to").alias("short_to"),
-        regions.alias("short_region"),
-    )
-    long = ranges.where(~same_block).select(
-        F.explode(F.sequence(*_blocks(16))).alias("long_block"),
-        F.col("ip_from").alias("long_from"),
-        F.col("ip_to").alias("long_to"),
-        regions.alias("long_region"),
-    )
-    numbered = rows.withColumn("_ip", ipv4_to_long(ip))
-    if not small:
-        numbered = numbered.withColumn("_salt", partition_salt(salts))
-    for part, prefix, bits in ((short, "short", 24), (long, "long", 16)):
-        block = F.shiftright("_ip", 32 - bits)
-        match = (block == F.col(f"{prefix}_block")) & F.col("_ip").between(
-            F.col(f"{prefix}_from"), F.col(f"{prefix}_to")
-        )
-        if small:
-            part = F.broadcast(part)
-        else:
-            # its repeated size is unknown to the optimiser, which must not broadcast it by its own estimate
-            part = part.withColumn(f"{prefix}_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).hint("merge")
-            match = match & (F.col("_salt") == F.col(f"{prefix}_salt"))
-        numbered = numbered.join(part, match, "left")
-    found = F.coalesce("short_region", "long_region")
-    return numbered.select(*rows.columns, *[found[name].alias(name) for name in names])
+    return locate_in_blocks(rows, region_blocks(ranges, names), ip, names, broadcast_rows, hot_rows)
 
 
 def _blocks(bits: int):

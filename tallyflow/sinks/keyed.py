@@ -1,32 +1,28 @@
-"""Latest-state tables: insert new keys, update the value columns of known ones.
-
-A table is a folder with full snapshots under ``base`` and change sets under ``changes``, one
-``version=N`` folder per write. An upsert writes only its own rows, so its cost follows the batch
-and not the table; reading lays the change sets newer than the last snapshot over it. ``compact``
-turns the current state into the next snapshot. Only folders with Spark's ``_SUCCESS`` marker
-count, so a write cut short by a failure is invisible. A stream's write carries the stream's id and
-its batch number: a batch already written is skipped, also after ``compact``, while the batches of
-another stream, or of the same report with a new checkpoint, get versions of their own. One writer
-per table is assumed.
+"""Latest-state tables: a Parquet folder of everything put under a key, read as the newest row or fields of each key.
+
+A put is one partition, named after the stream and its micro-batch, and the only commit is Spark's dynamic partition
+overwrite: a batch that runs again replaces its own partition and nothing else, and a new checkpoint, being another
+stream, adds partitions of its own. What is newest is decided on reading, by one grouping with a map-side step.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..workspace import list_folders, make_folder, path_exists, remove_folder
+from ..workspace import list_folders
 
-VERSION = "_version"
+STREAM, BATCH, TIME = "state_stream", "state_batch", "state_time"
 BY_ROW, BY_FIELD = "row", "field"
 
 
 @dataclass(frozen=True)
 class KeyedTable:
-    """``merge`` says what a write replaces: the whole row of its key, or only the fields it has a value for."""
+    """``merge`` says what a put replaces: the whole row of its key, or only the fields it has a value for."""
 
     spark: SparkSession
     path: str
@@ -35,73 +31,44 @@ class KeyedTable:
 
     def upsert(
         self,
-        batch: DataFrame,
-        version: int | None = None,
+        rows: DataFrame,
+        batch_id: int | None = None,
         order_by: str | Column | None = None,
         unique: bool = False,
         stream: str = "main",
     ) -> None:
-        """Write one change set. ``order_by`` tells which row of a key is the last one in the batch.
+        """Put rows under their keys. ``order_by`` tells which row of a key is the last one among them.
 
-        ``unique`` states that the batch has one row per key already, as the result of grouping by
-        the keys does. ``version`` is the micro-batch id within ``stream``; left out, the write is
-        one of its own.
+        ``unique`` states that there is one row per key already, as the result of grouping by the keys has. The same
+        ``batch_id`` of a ``stream`` again replaces what it put before; without one the put is one of its own.
         """
         if not unique and order_by is None:
-            raise ValueError("give order_by, or unique=True for a batch with one row per key")
-        if not self._committed(stream, version):
-            rows = batch if unique else last_per_key(batch, self.keys, order_by, self.merge)
-            self._write(rows, "changes", self._slot(stream, version))
-
-    def replace_all(self, snapshot: DataFrame, version: int | None = None, stream: str = "main") -> None:
-        """Make ``snapshot`` the whole table."""
-        if not self._committed(stream, version):
-            self._write(snapshot, "base", self._slot(stream, version))
+            raise ValueError("give order_by, or unique=True for rows with one row per key")
+        stamped = timed(rows)
+        if not unique:
+            stamped = last_per_key(stamped, self.keys, order_by, self.merge)
+        self._put(stamped, *((uuid4().hex, 0) if batch_id is None else (stream, batch_id)))
 
-    def compact(self, remove_older: bool = False) -> None:
-        """Store the current state as the next snapshot; the result does not change.
-
-        ``remove_older`` then deletes what the snapshot supersedes, so no reader may still use it.
-        """
-        base, newer = self._state()
-        if newer:
-            target = f"version={_number(newer[-1])}"
-            self._write(self.read(), "base", target)
-            base = target
-        if remove_older and base is not None:
-            kept_from = _number(base)
-            old = [(part, name) for part in ("base", "changes") for name in self._listed(part)]
-            old = [(part, name) for part, name in old if _number(name) < kept_from + (part == "changes")]
-            for part, name in old:  # what was written stays known when its files go
-                if (mark := _mark(name)) is not None and self._written(part, name):
-                    make_folder(self.spark, f"{self.path}/commits/{mark[0]}/{mark[1]}")
-            for part, name in old:
-                remove_folder(self.spark, f"{self.path}/{part}/{name}")
+    def replace(self, rows: DataFrame) -> None:
+        """Put rows that stand for the whole table, as a complete-mode batch does; they replace the ones put so before."""
+        self._put(timed(rows), "complete", 0)
 
     def read(self) -> DataFrame:
         """Current rows."""
-        base, newer = self._state()
-        if base is None and not newer:
+        if not list_folders(self.spark, self.path):
             raise FileNotFoundError(f"nothing written to {self.path}")
-        if not newer:
-            return self._load("base", [base])
-        written = changes = self._load("changes", newer)
-        if len(newer) > 1:
-            changes = last_per_key(written.withColumn(VERSION, _version_of_file()), self.keys, VERSION, self.merge).drop(VERSION)
-        if base is None:
-            return changes
-        # with few changes the join broadcasts their keys and the snapshot is not shuffled
-        snapshot = self._load("base", [base])
-        kept = snapshot.join(written.select(*self.keys), list(self.keys), "left_anti")
-        if self.merge == BY_FIELD:
-            touched = snapshot.join(changes.select(*self.keys), list(self.keys), "left_semi")
-            both = touched.withColumn(VERSION, F.lit(0)).unionByName(changes.withColumn(VERSION, F.lit(1)), allowMissingColumns=True)
-            changes = last_per_key(both, self.keys, VERSION, self.merge).drop(VERSION)
-        return kept.unionByName(changes, allowMissingColumns=True)
-
-    def _write(self, rows: DataFrame, part: str, name: str) -> None:
+        return latest(self.history(), self.keys, self.merge)
+
+    def history(self) -> DataFrame:
+        """All rows put, with their stream, batch and time."""
+        return self.spark.read.option("mergeSchema", str(self.merge == BY_FIELD).lower()).parquet(self.path)
+
+    def _put(self, rows: DataFrame, stream: str, batch_id: int) -> None:
         checked = rows.select(*[self._checked(name) for name in rows.columns])
-        checked.write.mode("overwrite").parquet(f"{self.path}/{part}/{name}")
+        placed = checked.withColumns({STREAM: F.lit(stream), BATCH: F.lit(batch_id)})
+        placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(STREAM, BATCH).parquet(self.path)
+        if not list_folders(self.spark, self.path):  # no row in the first put: it leaves the columns only
+            checked.limit(0).write.mode("append").parquet(f"{self.path}/{STREAM}={stream}/{BATCH}={batch_id}")
 
     def _checked(self, name: str) -> Column:
         if name not in self.keys:
@@ -109,52 +76,20 @@ class KeyedTable:
         missing = F.raise_error(F.lit(f"null in key column {name}"))
         return F.when(F.col(name).isNull(), missing).otherwise(F.col(name)).alias(name)
 
-    def _load(self, part: str, names: Sequence[str]) -> DataFrame:
-        paths = [f"{self.path}/{part}/{name}" for name in names]
-        return self.spark.read.option("mergeSchema", str(self.merge == BY_FIELD).lower()).parquet(*paths)
-
-    def _state(self) -> tuple[str | None, list[str]]:
-        """Name of the newest complete snapshot and of the complete change sets after it."""
-        base = next((v for v in reversed(self._listed("base")) if self._written("base", v)), None)
-        newer = [v for v in self._listed("changes") if base is None or _number(v) > _number(base)]
-        return base, [v for v in newer if self._written("changes", v)]
 
-    def _listed(self, part: str) -> list[str]:
-        folders = list_folders(self.spark, f"{self.path}/{part}")
-        return sorted((name for name in folders if name.startswith("version=")), key=_number)
+def timed(rows: DataFrame) -> DataFrame:
+    """``rows`` with the time of the put, if they have none.
 
-    def _written(self, part: str, name: str) -> bool:
-        return path_exists(self.spark, f"{self.path}/{part}/{name}/_SUCCESS")
-
-    def _committed(self, stream: str, batch: int | None) -> bool:
-        """Whether this batch of the stream is in the table already."""
-        if batch is None:
-            return False
-        names = [(part, name) for part in ("base", "changes") for name in self._listed(part) if _mark(name) == (stream, batch)]
-        if any(self._written(part, name) for part, name in names):
-            return True
-        older = list_folders(self.spark, f"{self.path}/commits/{stream}")
-        return max(map(int, older), default=-1) >= batch
-
-    def _slot(self, stream: str, batch: int | None) -> str:
-        """Folder name of the next write; the version is above every one begun, finished or not."""
-        version = 1 + max((_number(name) for part in ("base", "changes") for name in self._listed(part)), default=-1)
-        return f"version={version}" if batch is None else f"version={version}-{batch}-{stream}"
-
-
-def _number(name: str) -> int:
-    return int(name.removeprefix("version=").partition("-")[0])
-
-
-def _mark(name: str) -> tuple[str, int] | None:
-    """Stream and batch of a folder, if a stream wrote it."""
-    _, _, mark = name.partition("-")
-    batch, _, stream = mark.partition("-")
-    return (stream, int(batch)) if mark else None
+    Taken within a stream it is the time Spark recorded for the micro-batch in the checkpoint, so a batch that runs again
+    keeps its place among the batches of other streams.
+    """
+    return rows if TIME in rows.columns else rows.withColumn(TIME, F.current_timestamp())
 
 
-def _version_of_file() -> Column:
-    return F.regexp_extract(F.col("_metadata.file_path"), r"version=(\d+)", 1).cast("bigint")
+def latest(history: DataFrame, keys: Sequence[str], merge: str = BY_ROW) -> DataFrame:
+    """The newest row of each key, or the newest value of each field that is not null."""
+    values = history.drop(STREAM, BATCH, TIME).columns
+    return last_per_key(history, keys, F.struct(TIME, BATCH), merge).select(*values)
 
 
 def last_per_key(rows: DataFrame, keys: Sequence[str], order_by: str | Column, merge: str = BY_ROW) -> DataFrame:

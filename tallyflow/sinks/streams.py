@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from ..session import ROCKSDB_STATE
-from .keyed import KeyedTable
+from .keyed import KeyedTable, timed
 
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 
@@ -67,15 +67,11 @@ def keyed_sink(
     checkpoint: str,
     mode: str = "update",
     order_by: str | Column | None = None,
-    compact_every: int = 50,
-    remove_older: bool = False,
     rejects: str | None = None,
 ) -> DataStreamWriter:
     """Upsert every micro-batch under the stream's id and its batch id.
 
-    A complete-mode batch replaces the table. With no ``order_by`` the rows must be one per key.
-    Every ``compact_every`` batches the change sets are folded into a snapshot and, when nothing
-    else reads the table meanwhile (``remove_older``), the files it supersedes are deleted.
+    A complete-mode batch replaces the one before. With no ``order_by`` the rows must be one per key.
 
     A row with a null key fails the batch. With ``rejects`` such rows go to a folder of that path,
     one per batch, and the batch goes on; a column ``payload`` then holds the record as it came and
@@ -92,13 +88,11 @@ def keyed_sink(
             batch.where(bad).write.mode("overwrite").parquet(f"{rejects}/stream={stream}/batch={batch_id}")
             batch = batch.where(~bad).drop("payload")
         if mode == "complete":
-            table.replace_all(batch, batch_id, stream)
+            table.replace(batch)
         else:
             table.upsert(batch, batch_id, order_by=order_by, unique=order_by is None, stream=stream)
-        if (batch_id + 1) % compact_every == 0:
-            table.compact(remove_older)
 
-    return writer_of(rows, checkpoint, mode).foreachBatch(run)
+    return writer_of(timed(rows), checkpoint, mode).foreachBatch(run)
 
 
 def stream_id(spark: SparkSession, checkpoint: str) -> str:

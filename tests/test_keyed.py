@@ -3,10 +3,12 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallyflow.plans import orders, sales
 from tallyflow.sinks.cells import FIELD_KEYS
-from tallyflow.sinks.keyed import keyed_table
+from tallyflow.sinks.keyed import keyed_table, timed
+from tallyflow.sinks.streams import batch_sink
 from tallyflow.sources import topic_stream
 from tallyflow.streaming.lifecycle import drain
 from tallyflow.workspace import new_folder
@@ -44,12 +46,10 @@ def test_ties_are_settled_the_same_way(spark):
 def test_partial_documents_keep_the_other_fields(spark):
     table = keyed_table(spark, new_folder(spark, "partial"), "id", merge="field")
     table.upsert(docs(spark, ("1", "2020", "5.00", "X"), ("2", "2020", "1.00", "Q")), order_by="at")
-    for compacted in (False, True):
+    for _ in range(2):
         table.upsert(docs(spark, ("1", "2021", None, None)), order_by="at")
         table.upsert(docs(spark, ("1", None, "9.00", None), ("3", None, None, "N")), order_by="at")
         assert rows_of(table) == [("1", "2021", "9.00", "X"), ("2", "2020", "1.00", "Q"), ("3", None, None, "N")]
-        table.compact(remove_older=compacted)
-    assert rows_of(table) == [("1", "2021", "9.00", "X"), ("2", "2020", "1.00", "Q"), ("3", None, None, "N")]
     within = keyed_table(spark, new_folder(spark, "within"), "id", merge="field")
     within.upsert(docs(spark, ("1", "1", "5.00", "X"), ("1", "2", None, "Y"), ("1", None, "0.00", "0")), order_by="at")
     assert rows_of(within) == [("1", "2", "5.00", "Y")]
@@ -57,17 +57,51 @@ def test_partial_documents_keep_the_other_fields(spark):
 
 def test_batches_are_known_by_their_stream(spark):
     table = keyed_table(spark, new_folder(spark, "streams"), "id")
-    one = lambda n, stream, batch: table.upsert(docs(spark, (str(n), "t", f"{batch}", stream)), batch, order_by="at", stream=stream)
+    one = lambda n, stream, batch, money="1": table.upsert(docs(spark, (str(n), "t", money, stream)), batch, order_by="at", stream=stream)
     one(1, "a", 0)
     one(2, "b", 0)  # another checkpoint starts at 0 again
-    one(9, "a", 0)  # a replay
-    assert [r[0] for r in rows_of(table)] == ["1", "2"]
-    table.compact(remove_older=True)
-    one(9, "a", 0)
-    one(9, "b", 0)
+    one(1, "a", 0)  # a replay replaces what it put
+    assert [r[0] for r in rows_of(table)] == ["1", "2"] and table.history().count() == 2
     one(3, "b", 1)
     one(4, "c", 0)
-    assert [r[0] for r in rows_of(table)] == ["1", "2", "3", "4"]
+    one(1, "c", 1, "2")
+    assert [r[0] for r in rows_of(table)] == ["1", "2", "3", "4"] and table.history().count() == 5
+    assert rows_of(table)[0] == ("1", "t", "2", "c")
+
+
+def test_a_replayed_batch_keeps_its_place(spark, tmp_path):
+    """Another stream puts a key after a batch; the batch running again after a failure does not win it back."""
+    table = keyed_table(spark, str(tmp_path / "table"), "id")
+    source = topic(tmp_path / "in", record(id="1", city="first"))
+    fail = [True]
+
+    def write(batch, batch_id):
+        table.upsert(batch, batch_id, unique=True, stream="a")
+        if fail.pop():
+            raise RuntimeError("driver lost after the write")
+
+    rows = timed(topic_stream(spark, source).select(F.get_json_object("value", "$.id").alias("id"), F.get_json_object("value", "$.city").alias("city")))
+    with pytest.raises(Exception, match="driver lost"):
+        drain(batch_sink(rows, str(tmp_path / "ck"), write, "append"))
+    table.upsert(spark.createDataFrame([("1", "second")], "id string, city string"), 0, unique=True, stream="b")
+    fail.append(False)
+    drain(batch_sink(rows, str(tmp_path / "ck"), write, "append"))
+    assert [tuple(r) for r in table.read().collect()] == [("1", "second")] and table.history().count() == 2
+
+
+def test_an_empty_first_put_leaves_the_columns(spark):
+    table = keyed_table(spark, new_folder(spark, "none"), "id", merge="field")
+    table.upsert(docs(spark), 0, unique=True)
+    assert table.read().columns == DOCUMENTS.replace(" string", "").split(", ") and table.read().count() == 0
+    table.upsert(docs(spark, ("1", "t", "5.00", "X")), 0, unique=True)
+    assert rows_of(table) == [("1", "t", "5.00", "X")]
+
+
+def test_a_complete_batch_replaces_the_one_before(spark):
+    table = keyed_table(spark, new_folder(spark, "whole"), "id")
+    table.replace(docs(spark, ("1", "t", "5.00", "X"), ("2", "t", "5.00", "X")))
+    table.replace(docs(spark, ("2", "u", "6.00", "Y")))
+    assert rows_of(table) == [("2", "u", "6.00", "Y")]
 
 
 def record(**fields):

@@ -43,8 +43,8 @@ def test_known_addresses(spark, ranges, broadcast_rows):
     }
 
 
-@pytest.mark.parametrize("broadcast_rows", [10_000, 0])
-def test_against_brute_force_with_dense_blocks_and_a_hot_address(spark, broadcast_rows):
+@pytest.mark.parametrize("broadcast_rows, hot_rows", [(10_000, 10**6), (0, 10**6), (0, 400)])
+def test_against_brute_force_with_dense_blocks_and_a_hot_address(spark, broadcast_rows, hot_rows):
     rng = random.Random(5)
     edges = sorted(rng.sample(range(10 << 24, (10 << 24) + 400_000), 1500))
     table = [(a, b - 1 - (i % 2), f"p{i}", f"c{i}") for i, (a, b) in enumerate(zip(edges, edges[1:])) if b - 1 - (i % 2) >= a]
@@ -61,7 +61,7 @@ def test_against_brute_force_with_dense_blocks_and_a_hot_address(spark, broadcas
     ranges = spark.createDataFrame(table, IP_RANGE)
     # without automatic broadcasts the large way really shuffles and merges
     with setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1" if broadcast_rows == 0 else "10MB"):
-        located = locate_ips(rows.repartition(6), ranges, broadcast_rows=broadcast_rows)
+        located = locate_ips(rows.repartition(6), ranges, broadcast_rows=broadcast_rows, hot_rows=hot_rows)
         found = located.collect()
         assert ("SortMergeJoin" in plan_of(located)) == (broadcast_rows == 0)
     got = {r.id: r.city for r in found}
@@ -85,7 +85,32 @@ def test_plans(spark, ranges):
     assert small.count("BroadcastHashJoin") == 2 and "NestedLoop" not in small and "Python" not in small
     large = plan_of(locate_ips(rows, ranges, broadcast_rows=0))
     assert "NestedLoop" not in large and "Cartesian" not in large
-    assert "BroadcastHashJoin" not in large and large.count("SortMergeJoin") == 2  # under default settings
+    assert large.count("SortMergeJoin") == 1  # under default settings
+
+
+def test_rows_are_shuffled_once_and_nulls_not_at_all(spark, ranges):
+    """Executed plan of the large way: one exchange of the rows, filtered to those with an address, and no repeats."""
+    ip = F.when(F.col("id") % 3 > 0, F.concat(F.lit("171.11.53."), F.col("id") % 256))
+    rows = spark.range(0, 3000, 1, 4).select("id", ip.alias("ip"))
+    located = locate_ips(rows, ranges, broadcast_rows=0)
+    assert located.count() == 3000 and located.where("city IS NOT NULL").count() == 2000
+    located.collect()
+    final = plan_of(located).split("== Initial Plan ==")[0]
+    whole, none = final.split("SortMergeJoin")[1].split("Generate")[0], final.split("Union")[1]
+    assert final.count("Range (0, 3000") == 2 and "isnotnull" in whole
+    assert whole.split("Range (0, 3000")[0].count("Exchange hashpartitioning") == 1
+    assert "Exchange" not in none.split("Range (0, 3000")[-2].rsplit("isnull", 1)[-1]
+
+
+def test_only_hot_blocks_are_dealt_out(spark, ranges):
+    from tallyflow.operators.lookups import hot_blocks, region_blocks
+
+    placed = spark.range(1000).select(F.lit(16).alias("_level"), F.when(F.col("id") < 600, 7).otherwise(F.col("id")).cast("bigint").alias("_block"))
+    assert hot_blocks(placed, 100) == [(16, 7, 6)] and hot_blocks(placed, 1000) == [] and hot_blocks(placed.limit(0), 1) == []
+    dense = spark.createDataFrame([(i * 4, i * 4 + 3, "p", "c") for i in range(300)] + [(1 << 20, 1 << 24, "q", "d")], IP_RANGE)
+    blocks = region_blocks(dense)
+    assert {r.level: r["count"] for r in blocks.groupBy("level").count().collect()} == {24: 300, 16: 241}
+    assert blocks.groupBy("level", "block").count().agg(F.max("count")).first()[0] == 64
 
 
 def test_size_check_sends_one_row_a_task(spark, ranges):
