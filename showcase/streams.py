@@ -15,13 +15,13 @@ from tallyflow.sinks.cells import FIELD_KEYS, hash_fields
 from tallyflow.sinks.files import write_text
 from tallyflow.sinks.keyed import KeyedTable, keyed_table
 from tallyflow.sinks.streams import batch_sink, keep_state_on_disk, keyed_sink, topic_sink
-from tallyflow.sources import line_stream, parquet_stream, separated_stream, topic_stream
+from tallyflow.sources import line_stream, parquet_stream, publish_regions, read_regions, separated_stream, topic_stream
 from tallyflow.streaming.lifecycle import drain
 from tallyflow.streaming.stateful import deduplicated_counts, first_per_key, flat_windows, windowed_counts
 from tallyflow.workspace import is_folder, new_folder
 
 from .inputs import IP_RANGES_SQL, ORDER_ADDRESS_SQL, ORDER_IP_SQL, clean_orders, ip_ranges, lines_of, raw_orders, utc
-from .registry import load, query
+from .registry import ORACLE, load, query
 
 
 def stream_of(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -237,11 +237,22 @@ def stream_dedup_count(spark: SparkSession, folder: str) -> DataFrame:
 def stream_order_etl(spark: SparkSession, folder: str) -> DataFrame:
     path = new_folder(spark, "order-etl")
     topic = topic_of(spark, "raw-orders", raw_orders(load(spark, folder, "orders")))
-    cleaned = orders.enrich_orders(topic, ip_ranges(spark, folder))
+    publish_regions(ip_ranges(spark, folder), f"{path}/regions", 1)
+    cleaned = orders.enrich_orders(topic, read_regions(spark, f"{path}/regions", 1))
     drain(topic_sink(cleaned, f"{path}/checkpoint", f"{path}/topic", file_format="parquet"))
     return spark.read.parquet(f"{path}/topic")
 
 
+@query("stream_order_etl_editions", ORACLE["stream_order_etl"])
+def stream_order_etl_editions(spark: SparkSession, folder: str) -> DataFrame:
+    """The same in micro-batches that read a published dictionary pruned to their addresses."""
+    path = new_folder(spark, "order-editions")
+    publish_regions(ip_ranges(spark, folder), f"{path}/regions", 1)
+    topic = topic_of(spark, "raw-orders", raw_orders(load(spark, folder, "orders")))
+    drain(orders.enrich_in_batches(topic, f"{path}/regions", f"{path}/topic", f"{path}/checkpoint"))
+    return spark.read.parquet(f"{path}/topic").select("key", "value")
+
+
 def _order_topic(spark: SparkSession, folder: str) -> DataFrame:
     return topic_of(spark, "orders", clean_orders(load(spark, folder, "orders")))
 

@@ -22,8 +22,9 @@ from .sinks.jdbc import jdbc_options
 from .sinks.keyed import BY_FIELD, BY_ROW, keyed_table
 from .sinks.streams import console_sink, keyed_sink, topic_sink
 from .sinks.tables import REGION_COUNTS, REGION_KPIS, append_partitions, create_database, replace_partitions
-from .sources import kafka_options, line_stream, read_day, read_json, read_lines, topic_stream
+from .sources import kafka_options, line_stream, publish_regions, read_day, read_json, read_lines, read_regions, topic_stream
 from .streaming.lifecycle import drain, start, stop_on_marker
+from .workspace import new_folder
 
 KAFKA = "kafka://"
 # What a micro-batch takes unless told otherwise: a backlog is worked off in bounded steps, nothing is dropped.
@@ -120,13 +121,15 @@ def stream_words(spark: SparkSession, args: argparse.Namespace) -> list[DataStre
 
 
 def _ranges(spark: SparkSession, path: str) -> DataFrame:
-    """Region dictionary from its text form; the lookup refuses ranges that overlap. Unreadable lines are counted."""
-    lines = read_lines(spark, path)
-    read = Observation("ranges")
-    kept = parse_ranges(lines, rejected=read).count()
-    if (bad := read.get["lines"] - kept) > 0:
+    """Region dictionary from its text form, parsed, checked and cut once into a table of blocks.
+
+    Ranges that overlap are refused, unreadable lines are counted.
+    """
+    read, folder = Observation("ranges"), new_folder(spark, "regions")
+    publish_regions(parse_ranges(read_lines(spark, path), rejected=read), folder, 0)
+    if (bad := read.get["lines"] - read.get["kept"]) > 0:
         print(f"{path}: {bad} of {read.get['lines']} lines are no ranges", file=sys.stderr)
-    return parse_ranges(lines)
+    return read_regions(spark, folder, 0)
 
 
 def _records(spark: SparkSession, args: argparse.Namespace) -> DataFrame:

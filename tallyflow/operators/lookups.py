@@ -173,8 +173,11 @@ def locate_ips(
     """Left-join each row to the one range that holds its IPv4 address.
 
     ``ranges`` has ``ip_from``, ``ip_to`` and ``names``. Overlapping ranges would repeat rows and are refused;
-    ``disjoint`` states that the caller has checked that. See ``region_blocks`` and ``locate_in_blocks`` for the way.
+    ``disjoint`` states that the caller has checked that. A dictionary that is cut into blocks already is taken as it is.
+    See ``region_blocks`` and ``locate_in_blocks`` for the way.
     """
+    if "piece_from" in ranges.columns:
+        return locate_in_blocks(rows, ranges, ip, names, broadcast_rows, hot_rows)
     if not disjoint and (clash := overlapping_ranges(ranges).first()) is not None:
         raise ValueError(f"range {clash.ip_from}-{clash.ip_to} starts inside another one")
     return locate_in_blocks(rows, region_blocks(ranges, names), ip, names, broadcast_rows, hot_rows)

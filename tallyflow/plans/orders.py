@@ -2,26 +2,71 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from ..operators.lookups import BROADCAST_ROWS, locate_ips
+from ..operators.lookups import BROADCAST_ROWS, locate_in_blocks, locate_ips
 from ..operators.parsing import has_fields, non_blank, parse_payload, to_payload
 from ..schemas import ORDER, RAW_ORDER
 from ..sinks.cells import order_rows
-from ..sinks.keyed import KeyedTable
-from ..sinks.streams import keyed_sink
+from ..sinks.keyed import BATCH, STREAM, KeyedTable
+from ..sinks.streams import keyed_sink, stream_id, writer_of
+from ..sources.regions import EDITION, newest_edition, octets_of, read_regions
+from ..workspace import path_exists
 
 OPEN = 0
 
 
-def enrich_orders(records: DataFrame, ranges: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Open orders with the region of their address, as ``key`` and JSON ``value``."""
+def open_orders(records: DataFrame) -> DataFrame:
     orders = parse_payload(has_fields(records), RAW_ORDER)
-    orders = orders.withColumn("orderStatus", F.col("orderStatus").try_cast("int"))
-    located = locate_ips(orders.where(F.col("orderStatus") == OPEN), ranges, broadcast_rows=broadcast_rows)
-    return to_payload(located, "orderId", ORDER.fieldNames())
+    return orders.withColumn("orderStatus", F.col("orderStatus").try_cast("int")).where(F.col("orderStatus") == OPEN)
+
+
+def enrich_orders(records: DataFrame, ranges: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Open orders with the region of their address, as ``key`` and JSON ``value``.
+
+    On a stream every micro-batch plans the dictionary anew: give it the blocks of a published one, not ranges yet to be
+    parsed and cut.
+    """
+    return to_payload(locate_ips(open_orders(records), ranges, broadcast_rows=broadcast_rows), "orderId", ORDER.fieldNames())
+
+
+def enrich_in_batches(records: DataFrame, regions: str, target: str, checkpoint: str, broadcast_rows: int = BROADCAST_ROWS) -> DataStreamWriter:
+    """The same for a long-running stream against a published dictionary in the folder ``regions``.
+
+    Each micro-batch takes the newest edition and notes it before it writes, so a batch that runs again uses the edition
+    it began with, while later batches follow new editions without a restart. Only the partitions of the batch's first
+    octets are read. A batch is one partition of ``target``, replaced as a whole when it runs again.
+    """
+    spark = records.sparkSession
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        stream = stream_id(spark, checkpoint)
+        edition = noted_edition(spark, target, stream, batch_id, newest_edition(spark, regions))
+        batch.persist()
+        try:
+            blocks = read_regions(spark, regions, edition, octets_of(batch))
+            located = to_payload(locate_in_blocks(batch, blocks, broadcast_rows=broadcast_rows), "orderId", ORDER.fieldNames())
+            placed = located.withColumns({STREAM: F.lit(stream), BATCH: F.lit(batch_id)})
+            placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(STREAM, BATCH).parquet(target)
+        finally:
+            batch.unpersist()
+
+    return writer_of(open_orders(records), checkpoint, "append").foreachBatch(run)
+
+
+def noted_edition(spark: SparkSession, target: str, stream: str, batch_id: int, newest: int) -> int:
+    """Edition a batch has noted, or the newest one, noted now; notes lie in a folder that readers of ``target`` skip."""
+    note = f"{target}/_editions/{STREAM}={stream}/{BATCH}={batch_id}"
+    if not path_exists(spark, f"{note}/_SUCCESS"):
+        spark.range(1).select(F.lit(newest).alias(EDITION)).write.mode("overwrite").parquet(note)
+    return spark.read.parquet(note).first()[0]
+
+
+def editions_used(spark: SparkSession, target: str) -> DataFrame:
+    """``(state_stream, state_batch, edition)`` of every batch that ``enrich_in_batches`` wrote."""
+    return spark.read.parquet(f"{target}/_editions").select(STREAM, BATCH, EDITION)
 
 
 def order_documents(records: DataFrame, payload: bool = False) -> DataFrame:

@@ -22,6 +22,9 @@ CALL_LOG = record(
     "station_id string, call_out string, call_in string, call_status string, call_time bigint, duration bigint"
 )
 IP_RANGE = record("ip_from bigint, ip_to bigint, province string, city string")
+REGION_BLOCK = record(
+    "level int, block bigint, piece_from bigint, piece_to bigint, province string, city string, edition int, octet int"
+)
 TOPIC_RECORD = record("key string, value string")
 
 # Payload fields are read as text and cast afterwards, so one badly typed field nulls itself only.
