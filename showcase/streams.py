@@ -8,19 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from tallyflow.operators.parsing import timed_words
+from tallyflow.operators.parsing import checked_times, explode_line_words, timed_words
 from tallyflow.plans import calls, devices, orders, persons, sales, words
 from tallyflow.schemas import PERSON
 from tallyflow.sinks.cells import FIELD_KEYS, hash_fields
 from tallyflow.sinks.files import write_text
 from tallyflow.sinks.keyed import KeyedTable, keyed_table
-from tallyflow.sinks.streams import batch_sink, keep_state_on_disk, keyed_sink, topic_sink
+from tallyflow.sinks.streams import batch_sink, keep_state_on_disk, keyed_sink, put_batch, read_rejects, split_sink, topic_sink
 from tallyflow.sources import line_stream, parquet_stream, publish_regions, read_regions, separated_stream, topic_stream
 from tallyflow.streaming.lifecycle import drain
 from tallyflow.streaming.stateful import deduplicated_counts, first_per_key, flat_windows, windowed_counts
 from tallyflow.workspace import is_folder, new_folder
 
-from .inputs import IP_RANGES_SQL, ORDER_ADDRESS_SQL, ORDER_IP_SQL, clean_orders, ip_ranges, lines_of, raw_orders, utc
+from .inputs import IP_RANGES_SQL, ORDER_ADDRESS_SQL, ORDER_IP_SQL, clean_orders, ip_ranges, lines_of, money, order_time, raw_orders, utc
 from .registry import ORACLE, load, query
 
 
@@ -32,11 +32,11 @@ def stream_of(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return parquet_stream(spark, folder, schema, f"{table}.parquet")
 
 
-def topic_of(spark: SparkSession, label: str, records: DataFrame) -> DataFrame:
+def topic_of(spark: SparkSession, label: str, records: DataFrame, max_files: int | None = None) -> DataFrame:
     """Records written to a topic folder and read from it as a stream."""
     path = new_folder(spark, label)
     records.write.parquet(path)
-    return topic_stream(spark, path, file_format="parquet")
+    return topic_stream(spark, path, file_format="parquet", max_files=max_files)
 
 
 def collected(
@@ -364,6 +364,75 @@ for _name, _daily in (("stream_amt_all", False), ("stream_daily_amt_all", True))
     query(_name, " UNION ALL ".join(totals_sql(kind, _daily) for kind in sales.KINDS))(_all_totals(_daily))
 
 
+_WRONG = {"payload": 13, "amount": 7, "time": 11}  # one order in so many is broken that way
+_FAULT = "CASE " + " ".join(f"WHEN o_orderkey % {n} = 3 THEN '{name}'" for name, n in _WRONG.items()) + " END"
+
+
+@query(
+    "stream_amt_rejects",
+    f"""
+    WITH o AS (SELECT *, {_FAULT} AS fault FROM orders),
+    sums AS (SELECT * FROM (
+        {" UNION ALL ".join(totals_sql(kind, True) for kind in sales.KINDS).replace("FROM orders", "FROM o WHERE fault IS NULL")}))
+    SELECT key, field, value, NULL AS reject_reason, NULL AS payload FROM sums
+    UNION ALL
+    SELECT NULL, NULL, NULL, fault, CASE WHEN fault = 'payload' THEN '{{"orderId' || o_orderkey ELSE
+        '{{"orderId":"' || o_orderkey || '","orderTime":"'
+        || CASE WHEN fault = 'time' THEN 'noon' ELSE strftime(o_orderdate, '%Y-%m-%d %H:%M:%S.%g') END || '","orderMoney":"'
+        || CASE WHEN fault = 'amount' THEN '1,000.00' ELSE CAST(CAST(o_totalprice AS DECIMAL(18, 2)) AS VARCHAR) END
+        || '","province":"' || o_orderpriority || '","city":"' || o_orderstatus || '"}}' END
+    FROM o WHERE fault IS NOT NULL
+    """,
+)
+def stream_amt_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """Day totals of orders of which some are broken in their payload, amount or time, and those orders with the reason."""
+    path = new_folder(spark, "checked-totals")
+    wrong = lambda name: F.coalesce(F.expr(_FAULT) == name, F.lit(False))
+    payload = F.to_json(
+        F.struct(
+            F.col("o_orderkey").cast("string").alias("orderId"),
+            F.when(wrong("time"), "noon").otherwise(order_time()).alias("orderTime"),
+            F.when(wrong("amount"), "1,000.00").otherwise(money("o_totalprice").cast("string")).alias("orderMoney"),
+            F.col("o_orderpriority").alias("province"),
+            F.col("o_orderstatus").alias("city"),
+        )
+    )
+    cut = F.concat(F.lit('{"orderId'), F.col("o_orderkey").cast("string"))
+    records = load(spark, folder, "orders").select(
+        F.col("o_orderkey").cast("string").alias("key"), F.when(wrong("payload"), cut).otherwise(payload).alias("value")
+    )
+    topic = topic_of(spark, "checked-orders", records.repartition(4, "key"), max_files=1)
+    drain(sales.batch_totals_writer(topic, f"{path}/sums", f"{path}/checkpoint", f"{path}/rejects", True, CITIES))
+    totals = sales.batch_totals(spark, f"{path}/sums")
+    return totals.unionByName(read_rejects(spark, f"{path}/rejects"), allowMissingColumns=True)
+
+
+@query(
+    "stream_time_rejects",
+    """
+    WITH l AS (SELECT event_type || ' u' || user_id % 10 AS said, ts, event_id % 9 = 4 AS late, event_id % 10 = 7 AS bare FROM events)
+    SELECT strftime(ts, '%Y-%m-%d') AS day, word, count(*) AS count, NULL AS reject_reason
+    FROM (SELECT ts, unnest(string_split(said, ' ')) AS word FROM l WHERE NOT late AND NOT bare) GROUP BY 1, 2
+    UNION ALL SELECT NULL, NULL, count(*), CASE WHEN late THEN 'time' ELSE 'words' END FROM l WHERE late OR bare GROUP BY 4
+    """,
+)
+def stream_time_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """Words per day of timed lines, and the number of lines with an unreadable time or no words."""
+    path = new_folder(spark, "checked-times")
+    stamp = F.when(F.col("event_id") % 9 == 4, "soon").otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+    said = F.when(F.col("event_id") % 10 != 7, F.concat("event_type", F.lit(" u"), F.col("user_id") % 10))
+    lines = stream_of(spark, folder, "events").select(F.concat_ws(",", stamp, said).alias("value"))
+
+    def write(good: DataFrame, stream: str, batch_id: int) -> None:
+        timed = explode_line_words(good, "words", ("time",))
+        put_batch(timed.groupBy(F.date_format("time", "yyyy-MM-dd").alias("day"), "word").count(), f"{path}/words", stream, batch_id)
+
+    drain(split_sink(checked_times(lines), f"{path}/checkpoint", f"{path}/rejects", write))
+    counts = spark.read.parquet(f"{path}/words").groupBy("day", "word").agg(F.sum("count").alias("count"))
+    rejects = read_rejects(spark, f"{path}/rejects").groupBy("reject_reason").count()
+    return counts.unionByName(rejects, allowMissingColumns=True)
+
+
 @query("stream_amt_separate", " UNION ALL ".join(totals_sql(kind, False) for kind in sales.KINDS))
 def stream_amt_separate(spark: SparkSession, folder: str) -> DataFrame:
     """The three running totals as three queries on one stream."""

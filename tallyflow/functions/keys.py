@@ -12,5 +12,6 @@ def order_row_key(user_id: Column | str = "userId", order_time: Column | str = "
 
 
 def dated_key(prefix: str, day: Column | str) -> Column:
-    """``prefix:yyyy-MM-dd``."""
-    return F.concat_ws(":", F.lit(prefix), day)
+    """``prefix:yyyy-MM-dd``; a row without a day has the key ``prefix:unknown``, which no undated total uses."""
+    day = F.col(day) if isinstance(day, str) else day
+    return F.concat_ws(":", F.lit(prefix), F.coalesce(day.cast("string"), F.lit("unknown")))

@@ -91,7 +91,12 @@ def call_etl(spark: SparkSession, args: argparse.Namespace) -> list[DataStreamWr
 
 
 def sales_totals(spark: SparkSession, args: argparse.Namespace) -> list[DataStreamWriter]:
-    """All totals from one query into one table; ``--bounded`` needs a query for each kind of day total."""
+    """All totals from one query into one table; ``--bounded`` needs a query for each kind of day total.
+
+    ``--rejects`` sums batch by batch without state and keeps the records that can't be summed.
+    """
+    if args.rejects:
+        return [sales.batch_totals_writer(_records(spark, args), args.target, args.checkpoint, args.rejects, args.daily)]
     if not args.bounded:
         table = keyed_table(spark, args.target, *FIELD_KEYS)
         return [sales.all_totals_writer(sales.order_money(_records(spark, args)), table, args.checkpoint, args.daily)]
@@ -183,6 +188,7 @@ def _parser() -> argparse.ArgumentParser:
     call.add_argument("--continuous", help="checkpoint interval of a continuous query, topic to topic only")
     totals = stream("sales-totals", sales_totals, "target")
     totals.add_argument("--daily", action="store_true")
+    totals.add_argument("--rejects", help="folder for records that can't be summed")
     totals.add_argument("--bounded", action="store_true", help="close a day once its orders are late")
     index = stream("index-orders", index_orders, "target")
     index.add_argument("--merge", choices=(BY_FIELD, BY_ROW), default=BY_FIELD, help="what a document replaces")

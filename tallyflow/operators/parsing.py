@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
 from ..functions.text import SPACES, field_count, trimmed_fields
+from .rejects import PAYLOAD, REASON, good_rows, with_reason
 
 PLAIN_TYPES = (StringType,)
 
@@ -70,6 +71,22 @@ def parse_lines(
     return parts.where(kept).select(*columns)
 
 
+def checked_lines(lines: DataFrame, delimiter: str, schema: StructType, value: str = "value") -> DataFrame:
+    """The columns of ``schema`` beside each line and the reason it is rejected for: its ``fields`` or a column's type.
+
+    Fields that do not convert are null; a good line has the right number of fields and converts in all of them.
+    """
+    names = schema.fieldNames()
+    parts = lines.select(F.col(value).alias(PAYLOAD), trimmed_fields(value, delimiter).alias("parts"))
+    texts = {name: F.get("parts", F.lit(position)) for position, name in enumerate(names)}
+    columns = {f.name: texts[f.name].try_cast(f.dataType) for f in schema.fields}
+    faults = {"fields": F.coalesce(F.size("parts") != len(names), F.lit(True))}
+    for f in schema.fields:
+        if not isinstance(f.dataType, PLAIN_TYPES):
+            faults[f.name] = columns[f.name].isNull()
+    return with_reason(parts, faults).select(*[c.alias(n) for n, c in columns.items()], PAYLOAD, REASON)
+
+
 def parse_search_log(lines: DataFrame, schema: StructType, **options) -> DataFrame:
     """Search-log records; the brackets around the query text are removed."""
     return parse_lines(lines, SPACES, schema, **options).withColumn(
@@ -118,6 +135,19 @@ def timed_words(
     return explode_line_words(timed, "words", ("time",))
 
 
+def checked_times(lines: DataFrame, time_first: bool = True, value: str = "value") -> DataFrame:
+    """``time`` and ``words`` of each line with text, beside the line and the reason it is rejected for."""
+    parts = non_blank(lines, value).select(F.col(value).alias(PAYLOAD), trimmed_fields(value, ",").alias("parts"))
+    time_at, words_at = (0, 1) if time_first else (1, 0)
+    timed = parts.select(F.get("parts", F.lit(time_at)).try_cast("timestamp").alias("time"), F.get("parts", F.lit(words_at)).alias("words"), PAYLOAD)
+    return with_reason(timed, {"time": F.col("time").isNull(), "words": F.col("words").isNull()})
+
+
+def words_at_times(checked: DataFrame) -> DataFrame:
+    """One row per word of the good lines of ``checked_times``, with the time of the line."""
+    return explode_line_words(good_rows(checked), "words", ("time",))
+
+
 def parse_payload(records: DataFrame, schema: StructType, value: str = "value", payload: bool = False) -> DataFrame:
     """Flat columns from a JSON payload, parsed once for all fields; ``payload`` keeps its text beside them."""
     text = F.col(value).cast("string")

@@ -11,7 +11,7 @@ from ..operators.parsing import has_fields, non_blank, parse_payload, to_payload
 from ..schemas import ORDER, RAW_ORDER
 from ..sinks.cells import order_rows
 from ..sinks.keyed import BATCH, STREAM, KeyedTable
-from ..sinks.streams import keyed_sink, stream_id, writer_of
+from ..sinks.streams import keyed_sink, put_batch, stream_id, writer_of
 from ..sources.regions import EDITION, newest_edition, octets_of, read_regions
 from ..workspace import path_exists
 
@@ -48,8 +48,7 @@ def enrich_in_batches(records: DataFrame, regions: str, target: str, checkpoint:
         try:
             blocks = read_regions(spark, regions, edition, octets_of(batch))
             located = to_payload(locate_in_blocks(batch, blocks, broadcast_rows=broadcast_rows), "orderId", ORDER.fieldNames())
-            placed = located.withColumns({STREAM: F.lit(stream), BATCH: F.lit(batch_id)})
-            placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(STREAM, BATCH).parquet(target)
+            put_batch(located, target, stream, batch_id)
         finally:
             batch.unpersist()
 

@@ -9,8 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
+from ..operators.rejects import PAYLOAD, REASON, good_rows, rejected_rows
 from ..session import ROCKSDB_STATE
-from .keyed import KeyedTable, timed
+from ..workspace import list_folders
+from .keyed import BATCH, STREAM, KeyedTable, timed
 
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 
@@ -95,6 +97,40 @@ def keyed_sink(
     return writer_of(timed(rows), checkpoint, mode).foreachBatch(run)
 
 
+def put_batch(rows: DataFrame, path: str, stream: str, batch_id: int) -> None:
+    """Write a micro-batch as one partition of ``path``; the batch again replaces it."""
+    placed = rows.withColumns({STREAM: F.lit(stream), BATCH: F.lit(batch_id)})
+    placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(STREAM, BATCH).parquet(path)
+
+
+def split_sink(
+    checked: DataFrame, checkpoint: str, rejects: str, write: Callable[[DataFrame, str, int], None]
+) -> DataStreamWriter:
+    """Good rows of every micro-batch to ``write`` with the stream's id and the batch's, rejects to the folder ``rejects``.
+
+    ``checked`` carries ``payload`` and ``reject_reason``. The batch is parsed once and persisted for both. Rejects are
+    written first, so a batch that counts has left all its records in one of the two places.
+    """
+    spark, known = checked.sparkSession, {}
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        stream = known.setdefault("id", stream_id(spark, checkpoint))
+        batch.persist()
+        try:
+            put_batch(rejected_rows(batch), rejects, stream, batch_id)
+            write(good_rows(batch), stream, batch_id)
+        finally:
+            batch.unpersist()
+
+    return writer_of(checked, checkpoint, "append").foreachBatch(run)
+
+
+def read_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """All rejects kept in a folder; none when no batch had any."""
+    schema = f"{PAYLOAD} string, {REASON} string"
+    return spark.read.schema(schema).parquet(path).select(PAYLOAD, REASON) if list_folders(spark, path) else spark.createDataFrame([], schema)
+
+
 def stream_id(spark: SparkSession, checkpoint: str) -> str:
     """Id of the query a checkpoint belongs to; a new checkpoint has a new one."""
     text = "".join(r[0] for r in spark.read.text(f"{checkpoint}/metadata").collect())
