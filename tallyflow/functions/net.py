@@ -5,20 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-OCTETS = 4
+FOUR_OCTETS = 1 << 32
 
 
 def ipv4_to_long(ip: Column | str) -> Column:
-    """Dotted IPv4 text as a number from 0 to 2**32 - 1; anything else is null."""
+    """Dotted IPv4 text as a number from 0 to 2**32 - 1; anything else is null.
+
+    The text is split once. Folding begins with one, so the number tells how many octets there were.
+    """
     text = F.col(ip) if isinstance(ip, str) else ip
-    parts = F.split(text, r"\.")
-    octets = [F.get(parts, F.lit(i)).try_cast("bigint") for i in range(OCTETS)]
-    valid = F.size(parts) == OCTETS
-    number = F.lit(0).cast("bigint")
-    for octet in octets:
-        valid = valid & octet.between(0, 255)
-        number = number * 256 + octet
-    return F.when(valid, number)
+
+    def add(number: Column, part: Column) -> Column:
+        octet = part.try_cast("bigint")
+        return F.when((number < FOUR_OCTETS) & octet.between(0, 255), number * 256 + octet)
+
+    whole = lambda number: F.when(number.between(FOUR_OCTETS, 2 * FOUR_OCTETS - 1), number - FOUR_OCTETS)
+    return F.aggregate(F.split(text, r"\."), F.lit(1).cast("bigint"), add, whole)
 
 
 def long_to_ipv4(number: Column | str) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql.types import StringType
 
 from ..functions.net import ipv4_to_long
 from ..functions.text import trimmed_fields
+from ..workspace import new_folder
 
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 256 * 1024 * 1024
@@ -180,7 +181,9 @@ def locate_ips(
         return locate_in_blocks(rows, ranges, ip, names, broadcast_rows, hot_rows)
     if not disjoint and (clash := overlapping_ranges(ranges).first()) is not None:
         raise ValueError(f"range {clash.ip_from}-{clash.ip_to} starts inside another one")
-    return locate_in_blocks(rows, region_blocks(ranges, names), ip, names, broadcast_rows, hot_rows)
+    folder = new_folder(rows.sparkSession, "blocks")
+    region_blocks(ranges, names).write.parquet(folder)  # cut once, also for a stream, and read by each use
+    return locate_in_blocks(rows, rows.sparkSession.read.parquet(folder), ip, names, broadcast_rows, hot_rows)
 
 
 def _blocks(bits: int):

@@ -36,7 +36,7 @@ def enrich_in_batches(records: DataFrame, regions: str, target: str, checkpoint:
     """The same for a long-running stream against a published dictionary in the folder ``regions``.
 
     Each micro-batch takes the newest edition and notes it before it writes, so a batch that runs again uses the edition
-    it began with, while later batches follow new editions without a restart. Only the partitions of the batch's first
+    it began with, while later batches follow new editions without a restart. Only blocks of the batch's first
     octets are read. A batch is one partition of ``target``, replaced as a whole when it runs again.
     """
     spark = records.sparkSession

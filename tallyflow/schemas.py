@@ -23,7 +23,7 @@ CALL_LOG = record(
 )
 IP_RANGE = record("ip_from bigint, ip_to bigint, province string, city string")
 REGION_BLOCK = record(
-    "level int, block bigint, piece_from bigint, piece_to bigint, province string, city string, edition int, octet int"
+    "level int, block bigint, piece_from bigint, piece_to bigint, province string, city string, octet int, edition int"
 )
 TOPIC_RECORD = record("key string, value string")
 
