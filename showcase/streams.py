@@ -11,11 +11,13 @@ from pyspark.sql.streaming import DataStreamWriter
 from tallyflow.operators.parsing import checked_times, explode_line_words, timed_words
 from tallyflow.plans import calls, devices, orders, persons, sales, words
 from tallyflow.schemas import PERSON
+from tallyflow.session import setting
 from tallyflow.sinks.cells import FIELD_KEYS, hash_fields
 from tallyflow.sinks.files import write_text
 from tallyflow.sinks.keyed import KeyedTable, keyed_table
 from tallyflow.sinks.streams import batch_sink, keep_state_on_disk, keyed_sink, put_batch, read_rejects, split_sink, topic_sink
 from tallyflow.sources import line_stream, parquet_stream, publish_regions, read_regions, separated_stream, topic_stream
+from tallyflow.streaming.checkpoints import RETAIN, batch_files, batch_log
 from tallyflow.streaming.lifecycle import drain
 from tallyflow.streaming.stateful import deduplicated_counts, first_per_key, flat_windows, windowed_counts
 from tallyflow.workspace import is_folder, new_folder
@@ -433,6 +435,54 @@ def stream_time_rejects(spark: SparkSession, folder: str) -> DataFrame:
     return counts.unionByName(rejects, allowMissingColumns=True)
 
 
+@query(
+    "stream_daily_amt_bounded",
+    totals_sql("province", True),
+)
+def stream_daily_amt_bounded(spark: SparkSession, folder: str) -> DataFrame:
+    """Day totals whose days leave the state once the watermark has passed them."""
+    path = new_folder(spark, "bounded-totals")
+    table = keyed_table(spark, f"{path}/table", *FIELD_KEYS)
+    money = sales.order_money(_order_topic(spark, folder))
+    drain(*sales.totals_writers(money, {"province": table}, f"{path}/checkpoint", True, bounded=True).values())
+    return table.read()
+
+
+@query("stream_dedup_within", "SELECT DISTINCT CAST(user_id AS VARCHAR) AS user_id, event_type FROM events")
+def stream_dedup_within(spark: SparkSession, folder: str) -> DataFrame:
+    """First events per key, the keys forgotten when the watermark has passed their time; all files are one batch here."""
+    path, timed_keys = new_folder(spark, "firsts-within"), ["user_id", "event_type"]
+    keys = stream_of(spark, folder, "events").select(F.col("user_id").cast("string").alias("user_id"), "event_type", utc("ts").alias("ts"))
+    first = first_per_key(keys, timed_keys, within=("ts", "1 hour"))
+    keep_state_on_disk(spark)
+    drain(first.writeStream.format("parquet").option("path", f"{path}/rows").option("checkpointLocation", f"{path}/checkpoint"))
+    return spark.read.parquet(f"{path}/rows").select(*timed_keys)
+
+
+AUDITED = 104  # files of the audited stream, one a batch
+
+
+@query(
+    "stream_batch_audit",
+    f"""
+    SELECT CAST(user_id % {AUDITED} AS INTEGER) AS part, CAST(1 AS BIGINT) AS batches, CAST(1 AS BIGINT) AS committed, count(*) AS rows
+    FROM events GROUP BY 1
+    """,
+)
+def stream_batch_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """For every file of a drained stream the batches that read it and how many of them are committed, from the checkpoint."""
+    path = new_folder(spark, "audited")
+    events = load(spark, folder, "events").select("event_id", (F.col("user_id") % AUDITED).cast("int").alias("part"))
+    events.repartition("part").write.partitionBy("part").parquet(f"{path}/in")
+    source = parquet_stream(spark, f"{path}/in", load(spark, folder, "events").select("event_id").schema, max_files=1)
+    with setting(spark, RETAIN, "10000"):
+        drain(source.writeStream.format("noop").option("checkpointLocation", f"{path}/checkpoint"))
+    part = F.regexp_extract("path", r"/part=(\d+)/", 1).cast("int").alias("part")
+    log = batch_files(spark, f"{path}/checkpoint").join(batch_log(spark, f"{path}/checkpoint"), "batch", "left")
+    seen = log.groupBy(part).agg(F.countDistinct("batch").alias("batches"), F.count_if("committed").alias("committed"))
+    return seen.join(events.groupBy("part").agg(F.count(F.lit(1)).alias("rows")), "part")
+
+
 @query("stream_amt_separate", " UNION ALL ".join(totals_sql(kind, False) for kind in sales.KINDS))
 def stream_amt_separate(spark: SparkSession, folder: str) -> DataFrame:
     """The three running totals as three queries on one stream."""
