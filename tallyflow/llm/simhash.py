@@ -201,13 +201,17 @@ def simhash_groups(documents: DataFrame, width: int = 3, radius: int = 2, doc_id
     return marked.join(named.join(ids, "root").select("key", "component_id"), "key").select("doc_id", F.col("key").alias("fp"), "component_id")
 
 
-def _confirmed(rows: list[tuple[int, np.ndarray, np.ndarray, int]], radius: int, similarity: float, cross: bool) -> list[tuple[int, int]]:
-    """Links among texts ``(hash, fp, shingles, side)`` of one candidate group: close fingerprints first, then Jaccard."""
+def _confirmed(rows: list[tuple], radius: int, similarity: float, cross: bool) -> list[tuple[int, int]]:
+    """Links among texts ``(hash, fp, shingles, side, sub)`` of one candidate group: close fingerprints first, then Jaccard.
+
+    Texts of one ``sub`` are linked already.
+    """
     words = np.array([r[1] for r in rows])
     distance = _distance(words, words)
     x, y = np.nonzero(np.triu(distance <= radius, 1))
     order = np.argsort(distance[x, y], kind="stable")
-    root, found = list(range(len(rows))), []
+    first: dict[int, int] = {}
+    root, found = [first.setdefault(r[4], i) for i, r in enumerate(rows)], []
 
     def top(i: int) -> int:
         while root[i] != i:
@@ -253,44 +257,83 @@ GROUP, LARGEST_GROUP = 256, 1024  # texts confirmed together, or on each side of
 
 
 def confirmed_links(texts: DataFrame, proposed: DataFrame, width: int, similarity: float, radius: int, words: int) -> DataFrame:
-    """Edges between text hashes of proposed groups whose shingle sets are similar enough."""
+    """Edges between text hashes of proposed groups whose shingle sets are similar enough.
+
+    A group of at most ``GROUP`` texts is confirmed in one piece. Of a larger one every text is compared within its tile
+    first, carried once; then one representative of each sub-group found so, all with all. Only where that leaves a group
+    in several parts, all pairs of its tiles meet, for the links between members of different parts: so no link is lost,
+    and a group of near copies costs what it has members, not members times tiles.
+    """
     sizes = proposed.groupBy("root").agg(F.count("*").alias("n"))
-    side = F.greatest(F.lit(GROUP), F.least(F.col("n") / TILES, F.lit(LARGEST_GROUP)))
-    members = proposed.join(sizes, "root").select(F.col("node").alias("text_hash"), "root", F.ceil(F.col("n") / side).cast("int").alias("tiles"))
-    buckets = max(1, proposed.count() // GROUP)
+    members = proposed.join(sizes, "root").select(F.col("node").alias("text_hash"), "root", _tiles(F.col("n")), F.col("node").alias("sub"))
+    inside = _exact_links(texts, members, width, similarity, radius, words, meet=False)
+    large = stored(members.where("tiles > 1"), "large")
+    if large.isEmpty():
+        return inside.select("a", "b")
+    parts = _parted(large, inside.where("large"))
+    first = parts.groupBy("root", "sub").agg(F.min("text_hash").alias("text_hash"))
+    counts = first.groupBy("root").agg(F.count("*").alias("n")).where("n > 1")
+    representatives = first.join(counts, "root").select("text_hash", "root", _tiles(F.col("n")), "sub")
+    between = _exact_links(texts, representatives, width, similarity, radius, words, meet=True)
+    parts = _parted(large, inside.where("large").unionByName(between))
+    # parts of one text each have all been compared as representatives
+    shape = parts.groupBy("root", "sub").agg(F.count("*").alias("k")).groupBy("root").agg(F.count("*").alias("n"), F.max("k").alias("most"))
+    open_groups = parts.join(shape.where("n > 1 AND most > 1").select("root"), "root")
+    rest = _exact_links(texts, open_groups.select("text_hash", "root", "tiles", "sub"), width, similarity, radius, words, meet=True)
+    return inside.unionByName(between).unionByName(rest).select("a", "b")
+
+
+def _tiles(size: Column) -> Column:
+    side = F.greatest(F.lit(GROUP), F.least(size / TILES, F.lit(LARGEST_GROUP)))
+    return F.ceil(size / side).cast("int").alias("tiles")
+
+
+def _parted(members: DataFrame, edges: DataFrame) -> DataFrame:
+    """``members`` with the sub-group that ``edges`` put each text into, itself where they do not name it."""
+    found = connected_components(edges).select(F.col("node").alias("text_hash"), F.col("root").alias("found"))
+    named = members.drop("sub").join(found, "text_hash", "left")
+    return named.select("text_hash", "root", "tiles", F.coalesce("found", "text_hash").alias("sub"))
+
+
+def _exact_links(
+    texts: DataFrame, members: DataFrame, width: int, similarity: float, radius: int, words: int, meet: bool
+) -> DataFrame:
+    """Edges ``(a, b, large)`` within the groups of ``members``; ``meet`` compares all tiles of a group, else each with itself."""
+    buckets = max(1, members.count() // GROUP)
     once = texts.select(F.xxhash64("text").alias("text_hash"), "text").join(members, "text_hash")
-    once = once.groupBy("text_hash").agg(F.first("text").alias("text"), F.first("root").alias("root"), F.first("tiles").alias("tiles"))
-    columns = "text_hash bigint, root bigint, tiles int, fp array<bigint>, shingles array<bigint>"
+    firsts = [F.first(c).alias(c) for c in ("text", "root", "tiles", "sub")]
+    once = once.groupBy("text_hash").agg(*firsts)
+    columns = "text_hash bigint, root bigint, tiles int, sub bigint, fp array<bigint>, shingles array<bigint>"
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hashes = [np.unique(shingle_hashes(x.as_py(), width)) for x in batch.column(3)]
+            hashes = [np.unique(shingle_hashes(x.as_py(), width)) for x in batch.column(4)]
             arrays = [pa.array([set_fingerprint(h, words) for h in hashes], pa.list_(pa.int64())), pa.array([h.view(np.int64) for h in hashes], pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *arrays], ["text_hash", "root", "tiles", "fp", "shingles"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], *arrays], ["text_hash", "root", "tiles", "sub", "fp", "shingles"])
 
-    full = once.select("text_hash", "root", "tiles", "text").mapInArrow(shingled, columns)
+    full = once.select("text_hash", "root", "tiles", "sub", "text").mapInArrow(shingled, columns)
     tile = F.pmod(F.xxhash64("text_hash", F.lit(3)), F.col("tiles")).cast("int")
-    # small groups share a bucket; a large one has a task for each pair of its tiles
-    meets = F.transform(
-        F.sequence(F.lit(0), F.col("tiles") - 1),
-        lambda o: F.struct(F.least(o, F.col("tile")).alias("low"), F.greatest(o, F.col("tile")).alias("high")),
-    )
+    # small groups share a bucket; a large one has a task for each of its tiles, or for each pair of them
+    others = F.sequence(F.lit(0), F.col("tiles") - 1) if meet else F.array("tile")
+    meets = F.transform(others, lambda o: F.struct(F.least(o, F.col("tile")).alias("low"), F.greatest(o, F.col("tile")).alias("high")))
     home = F.when(F.col("tiles") == 1, F.pmod(F.xxhash64("root"), F.lit(buckets))).otherwise(F.col("root"))
     dealt = full.withColumn("tile", tile).withColumn("m", F.explode(meets)).withColumn("home", home)
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        found: list[tuple[int, int]] = []
+        found: list[tuple[int, int, bool]] = []
         for _, group in frame.groupby("root"):
-            cross = group["tile"].nunique() > 1
-            rows = [(h, np.asarray(f, "<i8").view(np.uint64), np.asarray(s, "<i8"), t) for h, f, s, t in zip(group["text_hash"], group["fp"], group["shingles"], group["tile"], strict=True)]
-            found += _blank_links(rows) + _confirmed(rows, radius, similarity, cross)
-        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+            cross, large = group["tile"].nunique() > 1, bool(group["tiles"].iloc[0] > 1)
+            columns = (group[c] for c in ("text_hash", "fp", "shingles", "tile", "sub"))
+            rows = [(h, np.asarray(f, "<i8").view(np.uint64), np.asarray(s, "<i8"), t, u) for h, f, s, t, u in zip(*columns, strict=True)]
+            found += [(a, b, large) for a, b in _blank_links(rows) + _confirmed(rows, radius, similarity, cross)]
+        return pd.DataFrame(found, columns=["a", "b", "large"]).astype({"a": "int64", "b": "int64", "large": "bool"})
 
-    keyed = dealt.select("home", "tiles", F.col("m.low").alias("low"), F.col("m.high").alias("high"), "root", "tile", "text_hash", "fp", "shingles")
-    return stored(keyed.groupBy("home", F.col("tiles") > 1, "low", "high").applyInPandas(run, "a bigint, b bigint"), "confirmed")
+    keyed = dealt.select("home", "tiles", F.col("m.low").alias("low"), F.col("m.high").alias("high"), "root", "tile", "text_hash", "sub", "fp", "shingles")
+    grouped = keyed.groupBy("home", F.col("tiles") > 1, "low", "high")
+    return stored(grouped.applyInPandas(run, "a bigint, b bigint, large boolean"), "confirmed")
 
 
-def _blank_links(rows: list[tuple[int, np.ndarray, np.ndarray, int]]) -> list[tuple[int, int]]:
+def _blank_links(rows: list[tuple]) -> list[tuple[int, int]]:
     blank = [r[0] for r in rows if not len(r[2])]
     return [(blank[0], other) for other in blank[1:]]
 

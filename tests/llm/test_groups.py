@@ -124,6 +124,45 @@ def test_near_duplicates_in_tiles(spark, monkeypatch):
     assert {r["doc_id"] for r in simhash.without_near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()} == {0, *range(100, 105)}
 
 
+def test_chains_across_tiles_are_followed(spark, monkeypatch):
+    """Texts that are near their neighbours only: the links lie between members that represent nothing."""
+    monkeypatch.setattr(simhash, "GROUP", 4)
+    rows = []
+    for family in range(3):
+        words = prose(40 + family, 700).split()
+        rows += [(100 * family + i, " ".join(words[8 * i : 8 * i + 100])) for i in range(26)]
+        rows += [(100 * family + 50 + i, edited(rows[-1 - i][1], 70 + i)) for i in range(12)]
+    text = dict(rows)
+    close = [(a, b) for a in text for b in text if a < b and shingle_similarity(text[a], text[b]) >= 0.8]
+    expected = union(close, text)
+    assert len(set(expected.values())) == 3
+    kept = simhash.without_near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert {r["doc_id"] for r in kept.collect()} == set(expected.values())
+
+
+def test_a_large_group_is_carried_once(spark, monkeypatch):
+    """Most rows that reach a comparing task do not grow with the number of tiles of a group of near copies."""
+    sizes = []
+    keep = simhash._confirmed
+    monkeypatch.setattr(simhash, "GROUP", 8)
+    base = prose(6, 200)
+    rows = [(i, edited(base, 70 + i)) for i in range(120)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    sums = spark.sparkContext.accumulator(0)
+
+    def counted(rows, *more):
+        sums.add(len(rows))
+        return keep(rows, *more)
+
+    monkeypatch.setattr(simhash, "_confirmed", counted)
+    groups = simhash.near_duplicates(frame)
+    assert groups.select("root").distinct().count() == 1
+    sizes.append(sums.value)
+    distinct = frame.select("text").distinct().count()
+    assert distinct <= sizes[0] <= 3 * distinct  # 15 tiles: 15 times as many when all tiles met
+
+
+
 def test_near_duplicates_hard_cases(spark):
     kept = simhash.without_near_duplicates(hard(spark, clashing=True))
     assert kept.columns == hard(spark, clashing=True).columns
