@@ -295,12 +295,23 @@ def _parted(members: DataFrame, edges: DataFrame) -> DataFrame:
     return named.select("text_hash", "root", "tiles", F.coalesce("found", "text_hash").alias("sub"))
 
 
+def _of_members(texts: DataFrame, members: DataFrame) -> DataFrame:
+    """``texts`` less most that are no members, so that the join with them shuffles few texts in vain.
+
+    Members are marked in a map of 2^24 bits by parts of their hash; its 2^18 words at most are broadcast. The more
+    members there are, the more other texts pass the map; the join that follows settles it.
+    """
+    word, bit = F.shiftrightunsigned("text_hash", 46).alias("word"), F.expr("shiftleft(1L, CAST(text_hash & 63 AS INT))")
+    marks = members.select(word, bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("mask"))
+    return texts.withColumn("word", word).join(F.broadcast(marks), "word").where(F.col("mask").bitwiseAND(bit) != 0).select("text_hash", "text")
+
+
 def _exact_links(
     texts: DataFrame, members: DataFrame, width: int, similarity: float, radius: int, words: int, meet: bool
 ) -> DataFrame:
     """Edges ``(a, b, large)`` within the groups of ``members``; ``meet`` compares all tiles of a group, else each with itself."""
     buckets = max(1, members.count() // GROUP)
-    once = texts.select(F.xxhash64("text").alias("text_hash"), "text").join(members, "text_hash")
+    once = _of_members(texts.select(F.xxhash64("text").alias("text_hash"), "text"), members).join(members, "text_hash")
     firsts = [F.first(c).alias(c) for c in ("text", "root", "tiles", "sub")]
     once = once.groupBy("text_hash").agg(*firsts)
     columns = "text_hash bigint, root bigint, tiles int, sub bigint, fp array<bigint>, shingles array<bigint>"
