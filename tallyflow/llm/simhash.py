@@ -295,15 +295,16 @@ def _parted(members: DataFrame, edges: DataFrame) -> DataFrame:
     return named.select("text_hash", "root", "tiles", F.coalesce("found", "text_hash").alias("sub"))
 
 
-def _of_members(texts: DataFrame, members: DataFrame) -> DataFrame:
-    """``texts`` less most that are no members, so that the join with them shuffles few texts in vain.
+def _marked(rows: DataFrame, members: DataFrame) -> DataFrame:
+    """``rows`` with ``likely``: false for most rows whose ``text_hash`` no member has, true for all others.
 
-    Members are marked in a map of 2^24 bits by parts of their hash; its 2^18 words at most are broadcast. The more
-    members there are, the more other texts pass the map; the join that follows settles it.
+    Members are marked in a map of 2^24 bits by parts of their hash; its 2^18 words at most are broadcast. It keeps texts
+    out of joins that would shuffle them in vain. The more members there are, the more others pass; the join settles it.
     """
-    word, bit = F.shiftrightunsigned("text_hash", 46).alias("word"), F.expr("shiftleft(1L, CAST(text_hash & 63 AS INT))")
-    marks = members.select(word, bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("mask"))
-    return texts.withColumn("word", word).join(F.broadcast(marks), "word").where(F.col("mask").bitwiseAND(bit) != 0).select("text_hash", "text")
+    word, bit = F.shiftrightunsigned("text_hash", 46), F.expr("shiftleft(1L, CAST(text_hash & 63 AS INT))")
+    marks = members.select(word.alias("_word"), bit.alias("bit")).groupBy("_word").agg(F.bit_or("bit").alias("mask"))
+    seen = rows.join(F.broadcast(marks), word == F.col("_word"), "left")
+    return seen.select(*rows.columns, (F.coalesce(F.col("mask"), F.lit(0)).bitwiseAND(bit) != 0).alias("likely"))
 
 
 def _exact_links(
@@ -311,7 +312,7 @@ def _exact_links(
 ) -> DataFrame:
     """Edges ``(a, b, large)`` within the groups of ``members``; ``meet`` compares all tiles of a group, else each with itself."""
     buckets = max(1, members.count() // GROUP)
-    once = _of_members(texts.select(F.xxhash64("text").alias("text_hash"), "text"), members).join(members, "text_hash")
+    once = _marked(texts.select(F.xxhash64("text").alias("text_hash"), "text"), members).where("likely").join(members, "text_hash")
     firsts = [F.first(c).alias(c) for c in ("text", "root", "tiles", "sub")]
     once = once.groupBy("text_hash").agg(*firsts)
     columns = "text_hash bigint, root bigint, tiles int, sub bigint, fp array<bigint>, shingles array<bigint>"
@@ -359,10 +360,15 @@ def without_near_duplicates(documents: DataFrame, width: int = 5, similarity: fl
     winners = groups.groupBy("root").agg(F.min(first).alias("w")).select(
         F.col("w.doc_id").alias("_id"), F.col("w.text_hash").alias("_hash"), F.col("w.n_rows").alias("_rows")
     )
-    keyed = packed(documents, F.col("doc_id").cast("bigint").alias("id"), F.xxhash64("text").alias("hash"))
-    kept = keyed.join(winners, keyed["id"].eqNullSafe(winners["_id"]) & (keyed["hash"] == winners["_hash"]))
+    # documents that are alone stay where they are; only those of groups and repeated ones are joined with the winners
+    crowds = groups.groupBy("root").agg(F.count("*").alias("n"), F.max("n_rows").alias("most")).where("n > 1 OR most > 1")
+    keyed = packed(documents, F.col("doc_id").cast("bigint").alias("id"), F.xxhash64("text").alias("text_hash"))
+    keyed = _marked(keyed, groups.join(crowds.select("root"), "root").select("text_hash"))
+    alone = keyed.where("NOT likely")
+    keyed = keyed.where("likely")
+    kept = keyed.join(winners, keyed["id"].eqNullSafe(winners["_id"]) & (keyed["text_hash"] == winners["_hash"]))
     single, repeated = kept.where("_rows = 1"), kept.where("_rows > 1").dropDuplicates(["_id", "_hash"])
-    return unpacked(single.select("row")).unionByName(unpacked(repeated.select("row")))
+    return unpacked(alone.select("row").unionByName(single.select("row")).unionByName(repeated.select("row")))
 
 
 @query("op1_simhash")
