@@ -12,7 +12,7 @@ import html
 import math
 import re
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -22,10 +22,11 @@ from pyspark.sql import functions as F
 
 from .common import query, table
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(>|\Z)", re.S
-)
-_NAME = re.compile(r"""(?:^|[\s"'])(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+#: Attributes up to the end of a tag. A quote opens a value right after an equals sign only; elsewhere it is a plain character.
+_VALUES = r"""(?:[^>=]++|=\s*+(?:"[^"]*+(?:"|\Z)|'[^']*+(?:'|\Z)|[^\s>"'][^\s>]*+)?)*+"""
+_TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)({_VALUES})(>|\Z)", re.S)
+_ATTRIBUTE = re.compile(r"""([^\s>/=]++)(?:\s*+=\s*+(?:"([^"]*+)"?|'([^']*+)'?|([^\s>]++)))?+""")
+_NAMES = frozenset("class id role".split())
 _RAW = frozenset("script style noscript template textarea title iframe svg select".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Tags that run within a line of text; they neither end a block nor lengthen a path.
@@ -57,6 +58,8 @@ _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _ENDS_P = frozenset(
     "address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split()
 )
+#: Elements that an implied end does not reach beyond.
+_HOLDERS = frozenset("ul ol dl table article section div main body".split())
 #: An element that closes an open one of the same family when it starts.
 _SAME = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",), "p": ("p",)}
 _MARKS = re.compile(r"[.,;:!?…。，！？、；：¡¿]")
@@ -70,126 +73,156 @@ _NAMED, _TAGGED = 1, 2
 
 class Block(NamedTuple):
     text: str
-    path: tuple[str, ...]  # block-level tags from the root
-    chain: tuple[int, ...]  # numbers of the open elements
+    element: int  # the innermost open element
     noise: bool
     named: bool  # noise by name only, or by a form around it
     linked: int  # characters inside links
 
 
-def _blocks(page: str) -> list[Block]:
-    """Text blocks in page order, with white space settled and references decoded."""
-    blocks: list[Block] = []
-    stack: list[tuple[str, int, int]] = []  # tag, number, furniture
-    doubtful: set[int] = set()  # elements that are furniture unless they hold most of the text
-    talk: set[int] = set()  # elements that are furniture even then
-    inline: list[str] = []
-    parts: list[str] = []
-    linked, number, at = 0, 0, 0
+class Page:
+    """Text blocks in page order, with white space settled and references decoded, and the elements they lie in.
 
-    def flush() -> None:
-        nonlocal linked
-        text = " ".join("".join(parts).split())
-        if text:
-            path = tuple(t for t, _, _ in stack)
-            kind = max((x for _, _, x in stack), default=0)
-            blocks.append(Block(text, path, tuple(n for _, n, _ in stack), kind > 0, kind == _NAMED, linked))
-        parts.clear()
-        linked = 0
-
-    def say(raw: str) -> None:
-        nonlocal linked
+    Elements are numbered as they open, after their parents; 0 stands for the page. Each has its parent's number and that of
+    its path of block-level tags, so memory and time grow with the page however deep its tags are.
+    """
+
+    def __init__(self, page: str) -> None:
+        self.blocks: list[Block] = []
+        self.tags, self.parents, self.paths, self.kinds = [""], [0], [0], [0]
+        self.doubtful: set[int] = set()  # elements that are furniture unless they hold most of the text
+        self.talk: set[int] = set()  # elements that are furniture even then
+        self._numbers: dict[tuple[int, str], int] = {}
+        self._stack, self._open = [0], Counter()
+        self._parts: list[str] = []
+        self._links = self._linked = 0
+        self._read(page)
+        if self.doubtful:
+            self._settle()
+
+    def held(self, sizes: Iterable[tuple[int, int]]) -> list[int]:
+        """Per element the sum of the sizes given to it and to the elements within."""
+        sums = [0] * len(self.tags)
+        for element, size in sizes:
+            sums[element] += size
+        for element in range(len(sums) - 1, 0, -1):
+            sums[self.parents[element]] += sums[element]
+        return sums
+
+    def within(self, elements: set[int]) -> list[bool]:
+        """Per element whether it is one of ``elements`` or lies in one."""
+        found = [0 in elements]
+        for element in range(1, len(self.tags)):
+            found.append(found[self.parents[element]] or element in elements)
+        return found
+
+    def _read(self, page: str) -> None:
+        at = 0
+        while at < len(page):
+            match = _TOKEN.search(page, at)
+            if not match:
+                self._say(page[at:])
+                break
+            self._say(page[at : match.start()])
+            at = match.end()
+            tag = (match[2] or "").lower()
+            if not tag or (not match[4] and at >= len(page)):
+                continue  # comments, declarations, and a tag that the end of the page cuts off
+            if tag in _RAW and not match[1]:
+                if not match[3].rstrip().endswith("/"):
+                    end = re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I).search(page, at)
+                    at = end.end() if end else len(page)
+                if tag not in _INLINE:
+                    self._flush()
+            elif tag == "br":
+                self._parts.append(" ")
+            elif tag in _INLINE:
+                if tag == "a":
+                    self._links = max(0, self._links + (-1 if match[1] else 1))
+            elif match[1]:
+                self._flush()
+                if tag != "p":
+                    self._links = 0
+                while self._open[tag]:
+                    if self._close() == tag:
+                        break
+            else:
+                self._flush()
+                if tag not in _VOID:
+                    self._start(tag, match[3])
+        self._flush()
+
+    def _say(self, raw: str) -> None:
         if raw:
             text = html.unescape(raw)
-            parts.append(text)
-            if "a" in inline:
-                linked += len(text.strip())
-
-    while at < len(page):
-        match = _TOKEN.search(page, at)
-        if not match:
-            say(page[at:])
-            break
-        say(page[at : match.start()])
-        at = match.end()
-        tag = (match[2] or "").lower()
-        if not tag or (not match[4] and at >= len(page)):
-            continue  # comments, declarations, and a tag that the end of the page cuts off
-        if tag in _RAW and not match[1]:
-            if not match[3].rstrip().endswith("/"):
-                end = re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I).search(page, at)
-                at = end.end() if end else len(page)
-            if tag not in _INLINE:
-                flush()
-        elif tag in _INLINE:
-            if tag == "br":
-                parts.append(" ")
-            elif match[1]:
-                if tag in inline:
-                    del inline[len(inline) - 1 - inline[::-1].index(tag)]
-            elif tag not in _VOID:
-                inline.append(tag)
-        elif match[1]:
-            flush()
-            if tag != "p":
-                inline.clear()
-            open_ = [t for t, _, _ in stack]
-            if tag in open_:
-                del stack[len(open_) - 1 - open_[::-1].index(tag) :]
+            self._parts.append(text)
+            if self._links:
+                self._linked += len(text.strip())
+
+    def _flush(self) -> None:
+        text = " ".join("".join(self._parts).split())
+        if text:
+            element = self._stack[-1]
+            kind = self.kinds[element]
+            self.blocks.append(Block(text, element, kind > 0, kind == _NAMED, self._linked))
+        self._parts.clear()
+        self._linked = 0
+
+    def _close(self) -> str:
+        tag = self.tags[self._stack.pop()]
+        self._open[tag] -= 1
+        return tag
+
+    def _start(self, tag: str, attributes: str) -> None:
+        closes = _SAME.get(tag, ()) + (("p",) if tag in _ENDS_P else ())
+        for i in range(len(self._stack) - 1, 0, -1):
+            if not any(self._open[t] for t in closes):
+                break
+            if self.tags[self._stack[i]] in closes:
+                while len(self._stack) > i:
+                    self._close()
+            if self.tags[self._stack[-1]] in _HOLDERS:
+                break
+        names = " ".join(b or c or d for a, b, c, d in _ATTRIBUTE.findall(attributes) if a.lower() in _NAMES)
+        banner = tag == "header" and not self._open["article"] and not self._open["main"]
+        number, parent = len(self.tags), self._stack[-1]
+        named = tag not in _BODIES and bool(names and _NOISE.search(names))
+        if tag in _FURNITURE or banner:
+            kind = _TAGGED
         else:
-            flush()
-            if tag in _VOID:
-                continue
-            open_ = [t for t, _, _ in stack]
-            closes = _SAME.get(tag, ()) + (("p",) if tag in _ENDS_P else ())
-            for i in range(len(open_) - 1, -1, -1):
-                if open_[i] in closes:
-                    del stack[i:]
-                    open_ = open_[:i]
-                if open_ and open_[-1] in ("ul", "ol", "dl", "table", "article", "section", "div", "main", "body"):
-                    break
-            names = " ".join(a or b or c for a, b, c in _NAME.findall(match[3]))
-            banner = tag == "header" and not any(t in ("article", "main") for t in open_)
-            number += 1
-            named = tag not in _BODIES and bool(names and _NOISE.search(names))
-            if tag in _FURNITURE or banner:
-                kind = _TAGGED
-            else:
-                kind = _NAMED if named or tag in _WRAPPERS else 0
-                if kind and not (named and _TALK.search(names)):
-                    doubtful.add(number)
-                elif kind:
-                    talk.add(number)
-            stack.append((tag, number, kind))
-    flush()
-    return _settled(blocks, doubtful, talk) if doubtful else blocks
-
-
-def _settled(blocks: list[Block], doubtful: set[int], talk: set[int]) -> list[Block]:
-    """``blocks`` with those cleared whose only furniture are elements that hold most of the text outside links."""
-    holds: Counter[int] = Counter()
-    for b in blocks:
-        for element in doubtful.intersection(b.chain):
-            holds[element] += max(0, len(b.text) - b.linked)
-    total = sum(max(0, len(b.text) - b.linked) for b in blocks)
-    small = talk | {e for e in doubtful if holds[e] < MOST * total or not total}
-    return [b._replace(noise=False, named=False) if b.named and small.isdisjoint(b.chain) else b for b in blocks]
+            kind = _NAMED if named or tag in _WRAPPERS else 0
+            if kind:
+                (self.talk if named and _TALK.search(names) else self.doubtful).add(number)
+        self.tags.append(tag)
+        self.parents.append(parent)
+        self.paths.append(self._numbers.setdefault((self.paths[parent], tag), len(self._numbers) + 1))
+        self.kinds.append(max(kind, self.kinds[parent]))
+        self._stack.append(number)
+        self._open[tag] += 1
+
+    def _settle(self) -> None:
+        """Clear the blocks whose only furniture are elements that hold most of the text outside links."""
+        holds = self.held((b.element, max(0, len(b.text) - b.linked)) for b in self.blocks)
+        total = holds[0]
+        small = self.within(self.talk | {e for e in self.doubtful if holds[e] < MOST * total or not total})
+        self.blocks = [b._replace(noise=False, named=False) if b.named and not small[b.element] else b for b in self.blocks]
 
 
-def _scores(blocks: list[Block]) -> dict[tuple[str, ...], float]:
+def _scores(blocks: list[Block], paths: list[int]) -> dict[int, float]:
     """Fused and smoothed ratio of each path."""
     length, marks, count = Counter(), Counter(), Counter()
     for b in blocks:
-        length[b.path] += 0 if b.noise else max(0, len(b.text) - 2 * b.linked)
-        marks[b.path] += len(_MARKS.findall(b.text))
-        count[b.path] += 1
-    text = np.array([length[b.path] / count[b.path] for b in blocks])
-    mark = np.array([marks[b.path] / count[b.path] for b in blocks])
+        path = paths[b.element]
+        length[path] += 0 if b.noise else max(0, len(b.text) - 2 * b.linked)
+        marks[path] += len(_MARKS.findall(b.text))
+        count[path] += 1
+    own = [paths[b.element] for b in blocks]
+    text = np.array([length[p] / count[p] for p in own])
+    mark = np.array([marks[p] / count[p] for p in own])
     fused = np.sqrt(np.convolve(text, KERNEL, "same")[: len(blocks)] if len(blocks) >= len(KERNEL) else text) * np.log2(2 + mark)
     fused = np.where([b.noise for b in blocks], 0.0, fused)
     by_path = defaultdict(list)
-    for b, x in zip(blocks, fused, strict=True):
-        by_path[b.path].append(float(x))
+    for p, x in zip(own, fused, strict=True):
+        by_path[p].append(float(x))
     return {p: math.fsum(x) / len(x) for p, x in by_path.items()}
 
 
@@ -198,34 +231,31 @@ def main_text(page: str | None) -> str:
 
     Where all blocks are furniture, those that are by name only count as text, and where there are none of these, all.
     """
-    blocks = _blocks(page or "")
+    read = Page(page or "")
+    blocks, tags, paths = read.blocks, read.tags, read.paths
     if all(b.noise for b in blocks):
         named = any(b.named for b in blocks)
         blocks = [b._replace(noise=False) if b.named or not named else b for b in blocks]
     clean = [b for b in blocks if not b.noise]
     if not clean:
         return ""
-    score = _scores(blocks)
-    limit = THRESHOLD * float(np.std([score[b.path] for b in blocks]))
-    chosen = [b for b in clean if score[b.path] >= limit and score[b.path] > 0] or clean
-    total = sum(len(b.text) for b in chosen)
-    holds: Counter[int] = Counter()
-    depth = {}
-    for b in chosen:
-        for d, element in enumerate(b.chain):
-            holds[element] += len(b.text)
-            depth[element] = (d, b.path[d])
-    bodies = [e for e, n in holds.items() if depth[e][1] in ("article", "main") and n >= MOST * total]
-    around = [e for e, n in holds.items() if n >= MOST * total]
-    article = max(bodies, key=lambda e: depth[e][0]) if bodies else max(around, key=lambda e: depth[e][0], default=None)
+    score = _scores(blocks, paths)
+    limit = THRESHOLD * float(np.std([score[paths[b.element]] for b in blocks]))
+    chosen = [b for b in clean if score[paths[b.element]] >= limit and score[paths[b.element]] > 0] or clean
+    holds = read.held((b.element, len(b.text)) for b in chosen)
+    # elements that hold most of the text lie within each other, so the last one is the innermost
+    around = [e for e in range(1, len(tags)) if holds[e] >= MOST * holds[0]]
+    bodies = [e for e in around if tags[e] in ("article", "main")]
+    article = (bodies or around or [0])[-1]
     # a paragraph that alone holds most text stands for its parent
-    if article is not None and depth[article][1] in {"p", "li", "td", "pre", "blockquote", *_HEADINGS}:
-        chain = next(b.chain for b in chosen if article in b.chain)
-        article = chain[max(0, chain.index(article) - 1)]
-    paths = {b.path for b in chosen}
-    inside = lambda b: article is None or article in b.chain
-    whole = article is not None and depth.get(article, (0, ""))[1] in ("article", "main")
-    return "\n".join(b.text for b in clean if inside(b) and (whole or b.path in paths or b.path[-1:] and b.path[-1] in _HEADINGS))
+    if tags[article] in {"p", "li", "td", "pre", "blockquote", *_HEADINGS}:
+        article = read.parents[article] or article
+    inside = read.within({article})
+    chosen_paths = {paths[b.element] for b in chosen}
+    whole = tags[article] in ("article", "main")
+    return "\n".join(
+        b.text for b in clean if inside[b.element] and (whole or paths[b.element] in chosen_paths or tags[b.element] in _HEADINGS)
+    )
 
 
 def extract_main_text(pages: DataFrame, source: str = "html", target: str = "text") -> DataFrame:

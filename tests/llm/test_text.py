@@ -196,6 +196,26 @@ def test_main_text_of_pages_with_telling_names():
         assert tag_paths.main_text(f"<body><div>{text}</div><div class='{name}'><p>Some words, here.</p></div>") == plain
 
 
+def test_main_text_reads_attributes_as_browsers_do():
+    three = "<p>First paragraph, with words; here.</p><p>Second one, longer. It ends.</p><p>Third, too.</p>"
+    plain = "First paragraph, with words; here.\nSecond one, longer. It ends.\nThird, too."
+    for tag in ("<div class=it's>", '<div class="a"">', "<div title='x > y'>", '<div data-x=a="b>', '<div ">', "<div id = x' y>", '<div title="my class=nav">'):
+        assert tag_paths.main_text(f"<body><nav>Home</nav>{tag}{three}</div><footer>End.</footer></body>") == plain
+    for tag in ("<div class=nav>", "<div hidden class = 'nav'>", '<div title="x > y" ID="nav">'):
+        assert tag_paths.main_text(f"<body><div>{three}</div>{tag}<p>Home, there.</p></div></body>") == plain
+    assert tag_paths.main_text("<div " + "x" * 200_000 + ">" + three) == plain
+
+
+def test_main_text_of_deep_pages():
+    """Time and memory grow with the page, not with its depth times its blocks."""
+    deep = tag_paths.Page("<div>x, y." * 50_000 + "</x></p>" * 50_000)
+    assert len(deep.blocks) == 50_000 and len(deep.tags) == 50_001
+    assert deep.within({49_999}) == [False] * 49_999 + [True] * 2
+    assert deep.held((b.element, 1) for b in deep.blocks)[:3] == [50_000, 50_000, 49_999]
+    assert tag_paths.main_text("<div>x, y." * 50_000).endswith("y.\nx, y.")
+    assert tag_paths.main_text("<b>" * 50_000 + "<a>" * 50_000 + "deep, text.") == "deep, text."
+
+
 def test_main_text_where_all_is_furniture():
     assert tag_paths.main_text("<div class='comments'><p>Words, only here.</p></div><nav><p>Home, there.</p></nav>") == "Words, only here."
     assert tag_paths.main_text("<aside><p>Words, only here.</p></aside>") == "Words, only here."
