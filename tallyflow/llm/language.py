@@ -181,17 +181,18 @@ def identify(documents: DataFrame, net: Network | None) -> DataFrame:
     """
     others = [c for c in documents.columns if c not in ("lang_pred", "lang_score", "lang_letters")]
     schema = documents.select(*others, F.lit("").alias("lang_pred"), F.lit(0.0).alias("lang_score")).schema
-    shared = documents.sparkSession.sparkContext.broadcast(net)
+    shared = documents.sparkSession.sparkContext.broadcast(net and tuple(net))  # plain values: executors have no copy of the class
     text_at = others.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared.value and Network(*shared.value)
         for batch in batches:
             letters = batch.column(batch.num_columns - 1).to_pylist()
-            todo = [i for i, x in enumerate(letters) if x and shared.value is not None]
+            todo = [i for i, x in enumerate(letters) if x and known]
             labels, scores = [UNKNOWN] * len(letters), [0.0] * len(letters)
             for k in range(0, len(todo), 64):
                 some = todo[k : k + 64]
-                for i, (name, p) in zip(some, predict(shared.value, [batch.column(text_at)[i].as_py() for i in some]), strict=True):
+                for i, (name, p) in zip(some, predict(known, [batch.column(text_at)[i].as_py() for i in some]), strict=True):
                     labels[i], scores[i] = name, p
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(labels, pa.string()), pa.array(scores, pa.float64())], schema.names)
 

@@ -233,10 +233,10 @@ def _mapped(rows: DataFrame, source: str, target: str, kind: str, make: Callable
     others = [c for c in rows.columns if c not in (source, target)]
     schema = rows.select(*others, F.lit(None).cast(kind).alias(target)).schema
     arrow = pa.list_(pa.int32()) if kind != "string" else pa.string()
-    shared = rows.sparkSession.sparkContext.broadcast(pieces)
+    shared = rows.sparkSession.sparkContext.broadcast(tuple(pieces))  # plain values: executors have no copy of the class
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        apply = make(shared.value)
+        apply = make(Pieces(*shared.value))
         for batch in batches:
             for start in range(0, batch.num_rows, ROWS):  # ids are lists of Python numbers for as few rows as possible
                 part = batch.slice(start, ROWS)

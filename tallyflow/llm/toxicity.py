@@ -55,27 +55,32 @@ def segments(places: list[int], scores: list[float], drift: float = DRIFT) -> li
     """All maximal scoring segments ``(first, last, score)`` of a sequence that scores ``drift`` but at ``places``.
 
     Ruzzo and Tompa's scan: segments on the list keep the running totals before and after them; a new one joins the
-    nearest earlier one with a lower total before, unless that one's total after is as high. Only weighted places are
-    visited, so the time is linear in them.
+    nearest earlier one with a lower total before, unless that one's total after is as high. Each remembers that earlier one,
+    so the search skips all between; where there is none, all earlier segments are final and leave it. Only weighted
+    places are visited, so the time is linear in them.
     """
-    kept: list[tuple[int, int, float, float]] = []  # first, last, total before, total after
+    final: list[tuple[int, int, float]] = []
+    kept: list[tuple[int, int, float, float, int]] = []  # first, last, total before, total after, nearest earlier with a lower total before
     total, at = 0.0, 0
     for place, score in zip(places, scores, strict=True):
         total += drift * (place - at)
         at = place + 1
         first, left = place, total
         total += score
-        new = (first, place, left, total)
+        j = len(kept) - 1
         while True:
-            j = len(kept) - 1
-            while j >= 0 and kept[j][2] >= new[2]:
-                j -= 1
-            if j < 0 or kept[j][3] >= new[3]:
-                kept.append(new)
+            while j >= 0 and kept[j][2] >= left:
+                j = kept[j][4]
+            if j < 0:
+                final += [(f, x, after - before) for f, x, before, after, _ in kept]
+                kept.clear()
+            if j < 0 or kept[j][3] >= total:
+                kept.append((first, place, left, total, j))
                 break
-            new = (kept[j][0], new[1], kept[j][2], new[3])
+            first, _, left, _, before_it = kept[j]
             del kept[j:]
-    return [(f, x, r - before) for f, x, before, r in kept]
+            j = before_it
+    return final + [(f, x, after - before) for f, x, before, after, _ in kept]
 
 
 def weighed(text: str | None, weights: dict[str, float]) -> tuple[list[int], list[float], int]:
@@ -128,12 +133,13 @@ def _mapped(documents: DataFrame, model: Model, columns: dict[str, str], make) -
     """``documents`` with further columns made from ``text`` in batches."""
     others = [c for c in documents.columns if c not in columns]
     schema = documents.select(*others, *[F.lit(None).cast(t).alias(c) for c, t in columns.items()]).schema
-    shared = documents.sparkSession.sparkContext.broadcast(model)
+    shared = documents.sparkSession.sparkContext.broadcast(tuple(model))  # plain values: executors have no copy of the class
     text_at = others.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Model(*shared.value)
         for batch in batches:
-            rows = [make(x.as_py(), shared.value) for x in batch.column(text_at)]
+            rows = [make(x.as_py(), known) for x in batch.column(text_at)]
             made = [pa.array([r[i] for r in rows], _ARROW[t]) for i, t in enumerate(columns.values())]
             yield pa.RecordBatch.from_arrays([*batch.columns, *made], schema.names)
 

@@ -1,6 +1,10 @@
 """Operators on single texts: language, lines, toxicity, pages and pieces."""
 
+import os
 import random
+import subprocess
+import sys
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -206,6 +210,30 @@ def test_main_text_reads_attributes_as_browsers_do():
     assert tag_paths.main_text("<div " + "x" * 200_000 + ">" + three) == plain
 
 
+def test_executors_need_no_copy_of_the_package(tmp_path):
+    """A driver that alone can import the package, with workers started in another folder."""
+    script = tmp_path / "driver.py"
+    script.write_text(f"""
+import sys
+sys.path.insert(0, {str(Path(tag_paths.__file__).parents[2])!r})
+import numpy as np
+from pyspark.sql import SparkSession
+from tallyflow.llm import language, pieces, toxicity
+
+spark = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").getOrCreate()
+docs = spark.createDataFrame([(1, "bad words")], "doc_id long, text string")
+model = toxicity.Model({{"bad": 2.0}}, 1.0, 1.0, 0.0, 1.0)
+net = language.fit(np.stack([language.windows_of(t)[0] for t in ("words", "Worte")]), ["en", "de"])
+assert toxicity.score_toxicity(docs, model).count() == language.identify(docs, net).count() == 1
+assert [r.text for r in pieces.decode(pieces.encode(docs)).collect()] == ["bad words"]
+assert [r.lang_pred in ("en", "de") for r in language.identify(docs, net).collect()] == [True]
+assert toxicity.score_toxicity(docs, model).collect()
+""")
+    env = {k: v for k, v in os.environ.items() if k not in ("PYTHONPATH", "PYSPARK_GATEWAY_PORT", "PYSPARK_GATEWAY_SECRET")}
+    done = subprocess.run([sys.executable, str(script)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=240)
+    assert done.returncode == 0, done.stderr[-3000:]
+
+
 def test_main_text_of_deep_pages():
     """Time and memory grow with the page, not with its depth times its blocks."""
     deep = tag_paths.Page("<div>x, y." * 50_000 + "</x></p>" * 50_000)
