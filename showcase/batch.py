@@ -9,7 +9,7 @@ from tallyflow.functions.net import ipv4_to_long, long_to_ipv4
 from tallyflow.operators.aggregates import mean_by, mean_by_sql, pivot_sum
 from tallyflow.operators.lookups import keep_listed, locate_ips
 from tallyflow.plans import ads, ratings, search, words
-from tallyflow.sinks.cells import hash_fields, wide_hash
+from tallyflow.sinks.cells import hash_fields, named_fields, wide_hash, wide_maps
 from tallyflow.sinks.files import write_text
 from tallyflow.sources import literal_rows, read_json, read_lines
 from tallyflow.workspace import new_folder
@@ -105,6 +105,30 @@ def wide_hash_named(spark: SparkSession, folder: str) -> DataFrame:
     return wide_hash(hash_fields(counts, F.lit("orders:status"), F.col("o_orderstatus"), F.col("count")), ["F", "O", "P"])
 
 
+WIDE_WORDS_SQL = "SELECT role AS key, unnest(string_split(lower(text), ' ')) AS field, count(*) AS value FROM conversations GROUP BY 1, 2"
+
+
+def _wide_words(spark: SparkSession, folder: str) -> DataFrame:
+    said = load(spark, folder, "conversations").select(F.col("role").alias("key"), F.explode(F.split(F.lower("text"), " ")).alias("field"))
+    return wide_maps(said.groupBy("key", "field").agg(F.count(F.lit(1)).alias("value")), F.sum, most=500)
+
+
+@query("wide_row_entries", WIDE_WORDS_SQL)
+def wide_row_entries(spark: SparkSession, folder: str) -> DataFrame:
+    """All words of each role as wide rows of maps, and back to one row per word."""
+    return _wide_words(spark, folder).select("key", F.explode("fields").alias("field", "value"))
+
+
+@query(
+    "wide_row_named",
+    f"""SELECT key, max(value) FILTER (field = 'the') AS the, max(value) FILTER (field = 'to') AS "to",
+               max(value) FILTER (field = 'no such word') AS missing FROM ({WIDE_WORDS_SQL}) GROUP BY key""",
+)
+def wide_row_named(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts of named words cut from wide rows that hold all words."""
+    return named_fields(_wide_words(spark, folder), ["the", "to", "no such word"]).withColumnRenamed("no such word", "missing")
+
+
 @query(
     "search_click_top10",
     """SELECT user_id, event_type, count(*) AS count FROM events

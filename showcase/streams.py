@@ -18,6 +18,7 @@ from tallyflow.sinks.keyed import KeyedTable, keyed_table
 from tallyflow.sinks.streams import batch_sink, keep_state_on_disk, keyed_sink, put_batch, read_rejects, split_sink, topic_sink
 from tallyflow.sources import line_stream, parquet_stream, publish_regions, read_regions, separated_stream, topic_stream
 from tallyflow.streaming.checkpoints import RETAIN, batch_files, batch_log
+from tallyflow.streaming.late import read_late_rows, read_windows, windows_with_late_rows
 from tallyflow.streaming.lifecycle import drain
 from tallyflow.streaming.stateful import deduplicated_counts, first_per_key, flat_windows, windowed_counts
 from tallyflow.workspace import is_folder, new_folder
@@ -201,6 +202,40 @@ def stream_watermark_update(spark: SparkSession, folder: str) -> DataFrame:
     return _window_report(spark, "watermarked", counts, "update")
 
 
+ARRIVALS = 5  # eight days of events each; the last has only delayed ones
+
+
+@query(
+    "stream_late_windows",
+    """
+    WITH e AS (SELECT ts, event_type AS word, (day(ts) - 1) // 8 + CASE WHEN event_id % 7 = 0 THEN 1 ELSE 0 END AS arrival FROM events),
+    m AS (SELECT a.arrival, (SELECT max(epoch_ms(e.ts)) FROM e WHERE e.arrival < a.arrival) - 600000 AS mark
+          FROM (SELECT DISTINCT arrival FROM e) a),
+    s AS (SELECT word, mark, time_bucket(INTERVAL 1 HOUR, ts) - to_hours(back) AS start
+          FROM e JOIN m USING (arrival), range(2) AS backs(back))
+    SELECT CASE WHEN epoch_ms(start + INTERVAL 2 HOUR) <= mark THEN 'late' ELSE 'counted' END AS kind,
+           strftime(start, '%Y-%m-%d %H:%M:%S') AS window_start, word, count(*) AS count
+    FROM s GROUP BY 1, 2, 3
+    """,
+)
+def stream_late_windows(spark: SparkSession, folder: str) -> DataFrame:
+    """Events that arrive eight days at a time, every seventh one delivery later: counted windows, and late rows per window."""
+    path = new_folder(spark, "late-windows")
+    delayed = F.when(F.col("event_id") % 7 == 0, 1).otherwise(0)
+    events = load(spark, folder, "events").select(
+        utc("ts").alias("time"), F.col("event_type").alias("word"), (F.floor((F.dayofmonth("ts") - 1) / 8) + delayed).alias("arrival")
+    )
+    counts, late = f"{path}/counts", f"{path}/late"
+    for arrival in range(ARRIVALS):
+        events.where(F.col("arrival") == arrival).drop("arrival").write.mode("append").parquet(f"{path}/feed")
+        timed = parquet_stream(spark, f"{path}/feed", "time timestamp, word string")
+        drain(windows_with_late_rows(timed, counts, late, f"{path}/checkpoint", length="2 hours", slide="1 hour", watermark="10 minutes"))
+    missed = read_late_rows(spark, late).groupBy("window_start", "word").count()
+    kinds = {"counted": read_windows(spark, counts), "late": missed}
+    found = [rows.select(F.lit(kind).alias("kind"), "window_start", "word", "count") for kind, rows in kinds.items()]
+    return found[0].unionByName(found[1]).withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss"))
+
+
 def _keys(spark: SparkSession, folder: str) -> DataFrame:
     return stream_of(spark, folder, "events").select(F.col("user_id").cast("string").alias("user_id"), "event_type")
 

@@ -9,6 +9,7 @@ from ..functions.text import trimmed_words
 from ..operators.aggregates import count_by, pivot_sum
 from ..operators.parsing import explode_line_words, explode_words, non_blank
 from ..operators.ranking import top_k
+from ..sinks.cells import wide_maps
 
 
 def word_counts(lines: DataFrame, value: str = "value") -> DataFrame:
@@ -30,5 +31,11 @@ def least_frequent(counts: DataFrame, k: int) -> DataFrame:
 
 
 def wide_counts(counts: DataFrame, kind: str, words: list[str] | None = None) -> DataFrame:
-    """One row with a column per word, tagged with its ``type``."""
-    return pivot_sum(counts, "word", "count", words).withColumn("type", F.lit(kind))
+    """Counts as wide rows tagged with their ``type``.
+
+    Named ``words`` give one row with a column each. Without them the vocabulary is open: rows hold a map from word to count.
+    """
+    if words is not None:
+        return pivot_sum(counts, "word", "count", words).withColumn("type", F.lit(kind))
+    fields = counts.select(F.lit(kind).alias("key"), F.col("word").alias("field"), F.col("count").alias("value"))
+    return wide_maps(fields, F.sum).withColumnsRenamed({"key": "type", "fields": "counts"})

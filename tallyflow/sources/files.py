@@ -51,7 +51,7 @@ def separated_stream(
 
 
 def parquet_stream(
-    spark: SparkSession, folder: str, schema: StructType, pattern: str | None = None, max_files: int | None = None
+    spark: SparkSession, folder: str, schema: StructType | str, pattern: str | None = None, max_files: int | None = None
 ) -> DataFrame:
     """Parquet files that arrive in ``folder``, narrowed to names matching ``pattern``."""
     reader = spark.readStream.schema(schema)

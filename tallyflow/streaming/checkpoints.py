@@ -32,6 +32,12 @@ def batch_log(spark: SparkSession, checkpoint: str) -> DataFrame:
     return planned.join(done, "batch", "left").withColumn("committed", F.coalesce("committed", F.lit(False)))
 
 
+def batch_watermark(spark: SparkSession, checkpoint: str, batch_id: int) -> int:
+    """Watermark in milliseconds that a batch was planned with; 0 while no row has raised it. Reads one small file."""
+    planned = _log(spark, f"{checkpoint}/offsets/{batch_id}").select(_field("batchWatermarkMs"))
+    return planned.first()[0]
+
+
 def batch_files(spark: SparkSession, checkpoint: str, source: int = 0) -> DataFrame:
     """``(batch, path)`` of every file that a file source has ever given to a batch.
 

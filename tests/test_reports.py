@@ -92,8 +92,9 @@ def test_literal_tables(spark):
     counts = literal_rows(spark, [("spark", 3), ("hadoop", 1), ("hive", 2)], "value string, count int")
     for values in (None, ["hadoop", "hive", "spark"]):
         assert pivot_sum(counts, "value", "count", values).first().asDict() == {"hadoop": 1, "hive": 2, "spark": 3}
-    wide = words.wide_counts(counts.withColumnRenamed("value", "word"), "spark").first().asDict()
-    assert wide == {"hadoop": 1, "hive": 2, "spark": 3, "type": "spark"}
+    said = counts.withColumnRenamed("value", "word")
+    assert words.wide_counts(said, "spark", ["hadoop", "hive", "spark"]).first().asDict() == {"hadoop": 1, "hive": 2, "spark": 3, "type": "spark"}
+    assert words.wide_counts(said, "spark").first().asDict() == {"type": "spark", "part": 0, "counts": {"hadoop": 1, "hive": 2, "spark": 3}}
     scores = literal_rows(spark, [("a", "x", 1), ("a", "y", 2), ("a", "z", 2), ("b", "x", 9)], "name string, subject string, score int")
     for form in (mean_by, mean_by_sql):
         got = {tuple(r) for r in form(scores, "name", "score", "avg_score").collect()}

@@ -16,6 +16,7 @@ from tallyflow.sinks.keyed import keyed_table
 from tallyflow.sinks.streams import batch_sink, console_sink, keyed_sink, topic_sink
 from tallyflow.sources import kafka_options, line_stream, rate_stream, separated_stream, topic_stream
 from tallyflow.streaming import lifecycle
+from tallyflow.streaming.late import read_late_rows, read_windows, windows_with_late_rows
 from tallyflow.streaming.lifecycle import drain, late_rows, offset_audit, ProgressLog, start, stop_on_marker
 from tallyflow.streaming.stateful import deduplicated_counts, first_per_key, flat_windows, windowed_counts
 from tests.test_lookups import RANGES
@@ -181,6 +182,58 @@ def test_watermark_append_gives_closed_windows(spark, feed, tmp_path):
     assert first == {("00:00", "dog"): 2, ("00:00", "cat"): 1, ("00:00", "owl"): 1}
 
 
+def split_by_hand(batches, delay, length, slide):
+    """Windows of each word, and the rows whose window had ended by the watermark of their batch."""
+    counts, late, top = {}, [], 0
+    for lines in batches:
+        mark, times = max(0, top - delay), []
+        for word, _, clock in (line.partition(",") for line in lines):
+            at = sum(int(x) * unit for x, unit in zip(clock[11:].split(":"), (3600, 60, 1)))
+            times.append(at)
+            for start in range(at - at % slide - length + slide, at + 1, slide):
+                if top and start + length <= mark:
+                    late.append((at, word, start))
+                else:
+                    counts[start, word] = counts.get((start, word), 0) + 1
+        top = max(top, *times)
+    return counts, sorted(late)
+
+
+def test_late_rows_are_kept_and_replays_change_nothing(spark, feed, tmp_path):
+    counts, late, checkpoint = (str(tmp_path / name) for name in ("counts", "late", "ck"))
+    seconds = lambda t: t.hour * 3600 + t.minute * 60 + t.second
+
+    def go():
+        timed = timed_words(line_stream(spark, feed.folder, max_files=1), time_first=False)
+        drain(windows_with_late_rows(timed, counts, late, checkpoint))
+
+    def found():
+        windows = {(seconds(r.window_start), r.word): r["count"] for r in read_windows(spark, counts).collect()}
+        return windows, sorted((seconds(r.time), r.word, seconds(r.window_start)) for r in read_late_rows(spark, late).collect())
+
+    for lines in WATERMARK_BATCHES[:3]:
+        feed(*lines)
+    go()
+    feed(*WATERMARK_BATCHES[3])
+    feed("late,2019-10-10 12:00:01", "owl,2019-10-10 12:00:12", "late,2019-10-10 12:01:00")
+    go()
+    want = split_by_hand([*WATERMARK_BATCHES, ["late,2019-10-10 12:00:01", "owl,2019-10-10 12:00:12", "late,2019-10-10 12:01:00"]], 10, 10, 5)
+    assert found() == want and len(want[1]) >= 4
+    marks = {r.watermark for r in read_late_rows(spark, late).collect()}
+    assert {str(m)[14:19] for m in marks} == {"00:11"}
+    for name in ("4", ".4.crc"):  # the last batch was written but not committed
+        Path(checkpoint, "commits", name).unlink(missing_ok=True)
+    go()
+    assert found() == want
+
+
+def test_late_rows_of_nothing(spark, feed, tmp_path):
+    folders = [str(tmp_path / name) for name in ("counts", "late")]
+    feed("not a timed line")
+    drain(windows_with_late_rows(timed_words(line_stream(spark, feed.folder), time_first=False), *folders, str(tmp_path / "ck")))
+    assert read_windows(spark, folders[0]).count() == read_late_rows(spark, folders[1]).count() == 0
+
+
 EVENTS = [
     ['{"eventTime":"2016-01-10 10:01:50","eventType":"click","userID":"u1"}'],
     [
