@@ -9,10 +9,10 @@ from tests.test_reports import KPI_INPUTS, KPI_ROWS, RATING_LINES, SEARCH_LINES,
 from tests.test_streaming import RAW, record
 
 DICTIONARY = [
-    "61.232.0.0|61.237.255.255|中国|0|浙江省|杭州市|铁通",
-    "171.8.0.0|171.15.255.255|中国|0|河南省|商丘市|电信",
-    "210.25.0.0|210.47.255.255|中国|0|江西省|南昌市|教育网",
-    "222.68.0.0|222.68.255.255|中国|0|上海|上海市|电信",
+    "192.0.2.0|192.0.2.255|中国|0|湖北省|武汉市|one",
+    "203.0.113.0|203.0.113.255|中国|0|河北省|保定市|电信",
+    "198.51.100.0|198.51.100.255|中国|0|四川省|绵阳市|two",
+    "233.252.0.0|233.252.0.255|中国|0|陕西省|西安市|电信",
     "1.0.0.0|1.0.0.255|too|short",
 ]
 
@@ -49,8 +49,8 @@ def test_text_jobs(spark, text, tmp_path):
 
 
 def test_ads_jobs(spark, text, tmp_path):
-    events = [json.dumps({**dict(zip(KPI_INPUTS, map(int, row))), "ip": "171.11.53.148"}) for row in KPI_ROWS]
-    events.append(json.dumps({"ip": "222.16.48.97"}))
+    events = [json.dumps({**dict(zip(KPI_INPUTS, map(int, row))), "ip": "203.0.113.148"}) for row in KPI_ROWS]
+    events.append(json.dumps({"ip": "10.16.48.97"}))
     run = ["ads-extract", text("events", events), text("ips", DICTIONARY), "ads_jobs", "--as-of", "2024-02-01"]
     main([*run, "--path", str(tmp_path / "table")], spark)
     for _ in range(2):
@@ -59,13 +59,13 @@ def test_ads_jobs(spark, text, tmp_path):
     for _ in range(2):
         main(["ads-report", "ads_jobs", str(tmp_path / "report"), "--as-of", "2024-02-01"], spark)
     kpis = keyed_table(spark, str(tmp_path / "report/ads_region_analysis"), "report_date", "province", "city").read()
-    assert [tuple(r) for r in kpis.collect()] == [("2024-01-31", "河南省", "商丘市", *STRICT)]  # a rate of the unknown region would divide by zero
+    assert [tuple(r) for r in kpis.collect()] == [("2024-01-31", "河北省", "保定市", *STRICT)]  # a rate of the unknown region would divide by zero
     counts = keyed_table(spark, str(tmp_path / "report/region_stat_analysis"), "report_date", "province", "city").read()
-    assert sorted(tuple(r) for r in counts.collect()) == [("2024-01-31", "unknown", "unknown", 1), ("2024-01-31", "河南省", "商丘市", 9)]
+    assert sorted(tuple(r) for r in counts.collect()) == [("2024-01-31", "unknown", "unknown", 1), ("2024-01-31", "河北省", "保定市", 9)]
 
 
 def test_overlapping_dictionary_is_refused(spark, text, tmp_path):
-    ranges = text("ips", [*DICTIONARY, "171.9.0.0|171.9.0.255|中国|0|x|y|z"])
+    ranges = text("ips", [*DICTIONARY, "203.0.113.9|203.0.113.20|中国|0|x|y|z"])
     with pytest.raises(ValueError, match="starts inside another"):
         main(["ads-extract", text("e", ['{"ip":"1.1.1.1"}']), ranges, "never"], spark)
 
