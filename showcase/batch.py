@@ -6,8 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyflow.functions.net import ipv4_to_long, long_to_ipv4
-from tallyflow.operators.aggregates import mean_by, mean_by_sql, pivot_sum
+from tallyflow.functions.text import script_runs
+from tallyflow.operators.aggregates import count_by, mean_by, mean_by_sql, pivot_sum
+from tallyflow.operators import terms
 from tallyflow.operators.lookups import keep_listed, locate_ips
+from tallyflow.operators.parsing import explode_words
 from tallyflow.plans import ads, ratings, search, words
 from tallyflow.sinks.cells import hash_fields, named_fields, wide_hash, wide_maps
 from tallyflow.sinks.files import write_text
@@ -93,6 +96,55 @@ def keyword_han_top10(spark: SparkSession, folder: str) -> DataFrame:
     return search.top_terms(load(spark, folder, "orders").select(F.concat(han, "o_orderstatus").alias("text")), "text")
 
 
+HAN_DATES_SQL = f"""
+    texts AS (SELECT translate(strftime(o_orderdate, '%Y年%m月%d日'), '0123456789', '{HAN_DIGITS}') AS run, o_orderstatus FROM orders),
+    runs AS (SELECT run, count(*) AS n FROM texts GROUP BY run),
+    grams AS (SELECT substr(run, i, k) AS gram, substr(' ' || run, i, 1) AS l, substr(run || ' ', i + k, 1) AS r, n
+              FROM (SELECT run, n, unnest(generate_series(1, length(run))) AS i FROM runs), range(1, 5) AS sizes(k)
+              WHERE i + k - 1 <= length(run)),
+    statistics AS (SELECT gram, CAST(sum(n) AS BIGINT) AS count, count(DISTINCT l) AS before, count(DISTINCT r) AS behind
+                   FROM grams GROUP BY gram)
+"""
+
+
+def han_dates(spark: SparkSession, folder: str) -> DataFrame:
+    """Dates as they are written in Han characters, without spaces, and a letter."""
+    written = F.translate(F.date_format("o_orderdate", "yyyy'年'MM'月'dd'日'"), "0123456789", HAN_DIGITS)
+    return load(spark, folder, "orders").select(F.concat(written, "o_orderstatus").alias("text"))
+
+
+@query("han_gram_statistics", f"WITH {HAN_DATES_SQL} SELECT * FROM statistics")
+def han_gram_statistics(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts and neighbours of all stretches of Han text."""
+    runs = count_by(explode_words(han_dates(spark, folder), script_runs("text")), "word", name="runs")
+    return terms.gram_statistics(runs.where(terms.is_han(F.col("word"))))
+
+
+@query(
+    "keyword_han_learned",
+    f"""
+    WITH RECURSIVE {HAN_DATES_SQL},
+    cuts AS (SELECT gram, count, left(gram, k) AS a, substr(gram, k + 1) AS b
+             FROM statistics, range(1, 4) AS places(k) WHERE k < length(gram) AND count >= 5 AND before >= 2 AND behind >= 2),
+    terms AS (SELECT c.gram, any_value(c.count) AS count FROM cuts c JOIN statistics a ON a.gram = c.a JOIN statistics b ON b.gram = c.b
+              GROUP BY c.gram
+              HAVING bool_and(c.count::HUGEINT * (SELECT sum(count) FROM statistics WHERE length(gram) = 1) >= 3 * a.count::HUGEINT * b.count)),
+    paths AS (SELECT run, n, 0 AS place, 0 AS pieces, 0::BIGINT AS score, []::BIGINT[] AS sizes, []::VARCHAR[] AS words FROM runs
+              UNION ALL
+              SELECT run, n, place + k, pieces + 1, score + coalesce(t.count, 0), list_append(sizes, k), list_append(words, substr(run, place + 1, k))
+              FROM (SELECT *, unnest(range(1, 5)) AS k FROM paths) p LEFT JOIN terms t ON t.gram = substr(run, place + 1, k)
+              WHERE place + k <= length(run) AND (k = 1 OR t.gram IS NOT NULL)),
+    best AS (SELECT n, words FROM paths WHERE place = length(run)
+             QUALIFY row_number() OVER (PARTITION BY run ORDER BY pieces, score DESC, sizes DESC) = 1)
+    SELECT word, CAST(sum(n) AS BIGINT) AS count
+    FROM (SELECT unnest(words) AS word, n FROM best UNION ALL SELECT o_orderstatus, 1 FROM texts) GROUP BY word
+    """,
+)
+def keyword_han_learned(spark: SparkSession, folder: str) -> DataFrame:
+    """Terms of Han text as its own statistics cut it."""
+    return search.learned_term_counts(han_dates(spark, folder), "text", cohesion=3)
+
+
 @query(
     "wide_hash_named",
     """SELECT 'orders:status' AS key, CAST(count(*) FILTER (o_orderstatus = 'F') AS VARCHAR) AS "F",

@@ -23,6 +23,9 @@ _WORD = r"[\p{L}\p{N}&&[^\p{IsHan}]]"
 RUN_PATTERN = r"[\p{L}\p{N}\p{IsHan}]+"
 TERM_PATTERN = f"(?=({_HAN}{{2}}|(?<!{_HAN}){_HAN}(?!{_HAN})|(?<!{_WORD}){_WORD}+))(?s:.)"
 
+HAN_RUN = f"{_HAN}+"
+SCRIPT_RUN_PATTERN = f"{HAN_RUN}|{_WORD}+"
+
 
 def _column(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
@@ -81,10 +84,15 @@ def text_runs(value: Column | str) -> Column:
     return F.regexp_extract_all(_column(value), F.lit(RUN_PATTERN), 0)
 
 
+def script_runs(value: Column | str) -> Column:
+    """As ``text_runs``, but Han characters and others apart."""
+    return F.regexp_extract_all(_column(value), F.lit(SCRIPT_RUN_PATTERN), 0)
+
+
 def query_terms(value: Column | str) -> Column:
     """Search terms of a query text.
 
     Letter and digit runs are terms; a run of Han characters gives its overlapping pairs. This
-    approximates dictionary segmentation, which has no counterpart among the built-in functions.
+    needs no statistics; ``operators.terms`` cuts Han runs by what the texts teach.
     """
     return F.regexp_extract_all(_column(value), F.lit(TERM_PATTERN), 1)

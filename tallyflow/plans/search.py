@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import query_terms, text_runs
+from ..functions.text import query_terms, script_runs, text_runs
 from ..operators.aggregates import count_by, count_summary
 from ..operators.caching import cached
 from ..operators.parsing import explode_words, parse_search_log
 from ..operators.ranking import ranked, top_k
+from ..operators.terms import han_terms, is_han
 from ..schemas import SEARCH_LOG
+from ..workspace import new_folder
 
 
 def search_records(lines: DataFrame, **options) -> DataFrame:
@@ -28,6 +30,21 @@ def term_counts(records: DataFrame, text: str = "query_words") -> DataFrame:
     return terms.groupBy("word").agg(F.sum("runs").alias("count"))
 
 
+def learned_term_counts(records: DataFrame, text: str = "query_words", **limits) -> DataFrame:
+    """How often each term occurs, Han runs being cut into the terms that the texts themselves teach.
+
+    Texts are read once for their distinct runs; everything after works on these. ``limits`` are those of
+    ``operators.terms.learned_terms`` and ``longest``.
+    """
+    spark = records.sparkSession
+    path = new_folder(spark, "runs")
+    count_by(explode_words(records, script_runs(text)), "word", name="runs").write.parquet(path)
+    runs = spark.read.parquet(path)
+    cut = han_terms(runs.where(is_han(F.col("word"))), **limits)
+    terms = cut.select(F.explode("terms").alias("word"), "runs").unionByName(runs.where(~is_han(F.col("word"))))
+    return terms.groupBy("word").agg(F.sum("runs").alias("count"))
+
+
 def top_terms(records: DataFrame, text: str = "query_words", k: int = 10) -> DataFrame:
     return top_k(term_counts(records, text), {"count": "desc"}, ["word"], k)
 
