@@ -9,6 +9,7 @@ from .common import BLANK, BLANKS, packed, query, table, unpacked
 
 SYMBOLS = "#*$%&|<>"
 FEWEST_WORDS, MOST_REPEATED, WINDOW = 20, 30, 8
+WORDS_PER_PHRASE = 15  # a line fails if a boilerplate phrase comes in every so many of its words
 LEAST_LEFT = 50  # percent of a document's word characters that must survive the line rules
 #: Fixed phrases of licences, notices and page furniture, matched in lower case.
 BOILERPLATE = (
@@ -31,12 +32,16 @@ def _words(text: Column) -> Column:
 
 
 def line_fails(line: Column) -> Column:
-    """True for a line of odd marks, of links, of capitals or of boilerplate."""
+    """True for a line of odd marks, of links, of capitals or of boilerplate.
+
+    Each is a share of the line, so a long line may mention a phrase.
+    """
     words = F.size(_words(line))
     odd = (_count(line, ODD_MARKS) >= 3) & (_count(line, ODD_MARKS) * 2 >= words)
     links = (_count(line, LINK_MARKS) >= 2) & (_count(line, LINK_MARKS) * 4 >= words)
     capitals = (_count(line, r"\p{Lu}") >= 20) & (_count(line, r"\p{Lu}") * 10 >= _count(line, r"\p{L}") * 7)
-    return odd | links | capitals | F.lower(line).rlike(BOILERPLATE)
+    phrases = F.size(F.regexp_extract_all(F.lower(line), F.lit(BOILERPLATE), F.lit(0)))
+    return odd | links | capitals | (F.lower(line).rlike(BOILERPLATE) & (phrases * WORDS_PER_PHRASE >= words))
 
 
 def _repeated_words(rows: DataFrame) -> DataFrame:
@@ -106,7 +111,8 @@ judged AS (
            OR ({_COUNT.format("line", LINK_MARKS)} >= 2 AND {_COUNT.format("line", LINK_MARKS)} * 4 >= len({_WORDS.format("line")}))
            OR ({_COUNT.format("line", chr(92) + "p{Lu}")} >= 20
                AND {_COUNT.format("line", chr(92) + "p{Lu}")} * 10 >= {_COUNT.format("line", chr(92) + "p{L}")} * 7)
-           OR regexp_matches(lower(line), '{BOILERPLATE}') AS fails FROM lines),
+           OR len(regexp_extract_all(lower(line), '{BOILERPLATE}')) * {WORDS_PER_PHRASE} >= len({_WORDS.format("line")}) AS fails
+    FROM lines),
 left_over AS (SELECT doc_id, sum(n - 1) AS dup, coalesce(sum(chars) FILTER (NOT fails), 0) AS chars FROM judged GROUP BY doc_id),
 counts AS (
     SELECT w.doc_id, len(words)::BIGINT AS n_words, length(regexp_replace(text, '[{BLANK}]', '', 'g'))::BIGINT AS word_chars,

@@ -2,11 +2,12 @@
 
 import hashlib
 import re
+import time
 from collections import Counter, defaultdict
 
 import corpus_pipeline
 import pytest
-from tallyflow.llm import ORACLE, QUERIES, mixing, pieces, pii, sharding
+from tallyflow.llm import ORACLE, QUERIES, line_rules, mixing, pieces, pii, sharding
 from tests.compare import difference, duck
 from tests.llm.cases import CLASHING, HARD, SCHEMA, empty, hard, prose
 
@@ -130,6 +131,33 @@ def test_redaction_hard_cases(spark):
     assert pii.redacted(hard(spark, clashing=True)).columns == hard(spark, clashing=True).columns
 
 
+def test_values_of_any_length_are_proposed(spark):
+    letters = "QwErTyUiOpAsDfGhJkLz" * 4
+    planted = {1: f"{letters}7{letters}", 2: "x9" * 40, 3: f"{'long.name' * 12} (at) mail.example.org"}
+    rows = [(1, f"see {planted[1]} there"), (2, f"password  =      '{planted[2]}' ok"), (3, f"write to {planted[3]} now")]
+    found = pii.candidates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    text = dict(rows)
+    assert all(text[r["doc_id"]][r["start"] : r["end"]] == r["value"] for r in found)
+    assert all(planted[i] in {r["value"] for r in found if r["doc_id"] == i and r["source"] in pii.GENERATORS} for i in planted)
+
+
+def test_redaction_of_many_spans_in_one_text(spark):
+    n = 20_000
+    frame = spark.createDataFrame([(1, "".join(f"é🙂 user{i}@mail.example.com\n" for i in range(n)) + "end")], "doc_id bigint, text string")
+    began = time.monotonic()
+    (row,) = pii.redacted(frame).collect()
+    assert row["text"] == "é🙂 [email]\n" * n + "end"
+    assert time.monotonic() - began < 90
+
+
+def test_one_long_line_may_mention_a_phrase(spark):
+    article = " ".join(f"word{i}" for i in range(200)) + " the copyright of it " + " ".join(f"more{i}" for i in range(200))
+    notice = "Copyright 2020 somebody. All rights reserved."
+    rows = [(1, article), (2, "\n".join(f"{notice} {i}" for i in range(6))), (3, f"{article}\n{notice}")]
+    got = {r["doc_id"]: (r["kept"], r["clean_text"]) for r in line_rules.clean_lines(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == {1: (True, article), 2: (False, ""), 3: (True, article)}
+
+
 # mixing
 
 def test_targets_by_hand(spark):
