@@ -144,6 +144,7 @@ def _offsets(segments: int, radius: int) -> list[tuple[int, ...]]:
 def fingerprint_links(distinct: DataFrame, radius: int, words: int = 1) -> DataFrame:
     """Edges ``(a, b)`` between keys that connect all fingerprints which are ``radius`` bits or fewer apart.
 
+    Each comparison gives stars around the smallest key of every part it found, which leaves the fewest steps to join them.
     ``distinct`` has ``key`` (bigint, unique) and ``fp``. Four segments prune best for a small radius; for a large one
     the neighbouring cells would be too many and the whole count is used, in steps of the radius, so that only the next
     cell is within it. A cell is dealt into tiles by a hash.
@@ -175,7 +176,11 @@ def fingerprint_links(distinct: DataFrame, radius: int, words: int = 1) -> DataF
                 a, b = (np.asarray(x, "<i8").reshape(-1, words + 1) for x in (a, b))
                 u, v = link_within(np.ascontiguousarray(a[:, 1:]).view(np.uint64), np.ascontiguousarray(b[:, 1:]).view(np.uint64), radius, same)
                 keys = a[:, 0] if same else np.concatenate([a[:, 0], b[:, 0]])
-                yield pd.DataFrame({"a": keys[u], "b": keys[v]})
+                centres = np.unique(v)
+                smallest = keys.copy()
+                np.minimum.at(smallest, v, keys[u])
+                node, root = keys[np.concatenate([u, centres])], smallest[np.concatenate([v, centres])]
+                yield pd.DataFrame({"a": node[node != root], "b": root[node != root]})
 
     same = (F.col("cell") == F.col("cell_a")) & (F.col("part") == F.col("part_a"))
     return both.select("a", "b", same.alias("same")).mapInPandas(run, "a bigint, b bigint")
@@ -266,20 +271,26 @@ def confirmed_links(texts: DataFrame, proposed: DataFrame, width: int, similarit
     """
     sizes = proposed.groupBy("root").agg(F.count("*").alias("n"))
     members = proposed.join(sizes, "root").select(F.col("node").alias("text_hash"), "root", _tiles(F.col("n")), F.col("node").alias("sub"))
+    members = stored(members, "members")
     inside = _exact_links(texts, members, width, similarity, radius, words, meet=False)
-    large = stored(members.where("tiles > 1"), "large")
+    large = members.where("tiles > 1")
     if large.isEmpty():
         return inside.select("a", "b")
     parts = _parted(large, inside.where("large"))
     first = parts.groupBy("root", "sub").agg(F.min("text_hash").alias("text_hash"))
     counts = first.groupBy("root").agg(F.count("*").alias("n")).where("n > 1")
-    representatives = first.join(counts, "root").select("text_hash", "root", _tiles(F.col("n")), "sub")
+    representatives = stored(first.join(counts, "root").select("text_hash", "root", _tiles(F.col("n")), "sub"), "representatives")
+    if representatives.isEmpty():
+        return inside.select("a", "b")
     between = _exact_links(texts, representatives, width, similarity, radius, words, meet=True)
-    parts = _parted(large, inside.where("large").unionByName(between))
+    parts = stored(_parted(large, inside.where("large").unionByName(between)), "parts")
     # parts of one text each have all been compared as representatives
     shape = parts.groupBy("root", "sub").agg(F.count("*").alias("k")).groupBy("root").agg(F.count("*").alias("n"), F.max("k").alias("most"))
-    open_groups = parts.join(shape.where("n > 1 AND most > 1").select("root"), "root")
-    rest = _exact_links(texts, open_groups.select("text_hash", "root", "tiles", "sub"), width, similarity, radius, words, meet=True)
+    open_groups = parts.join(shape.where("n > 1 AND most > 1").select("root"), "root").select("text_hash", "root", "tiles", "sub")
+    open_groups = stored(open_groups, "open")
+    if open_groups.isEmpty():
+        return inside.unionByName(between).select("a", "b")
+    rest = _exact_links(texts, open_groups, width, similarity, radius, words, meet=True)
     return inside.unionByName(between).unionByName(rest).select("a", "b")
 
 
@@ -310,7 +321,10 @@ def _marked(rows: DataFrame, members: DataFrame) -> DataFrame:
 def _exact_links(
     texts: DataFrame, members: DataFrame, width: int, similarity: float, radius: int, words: int, meet: bool
 ) -> DataFrame:
-    """Edges ``(a, b, large)`` within the groups of ``members``; ``meet`` compares all tiles of a group, else each with itself."""
+    """Edges ``(a, b, large)`` within the groups of ``members``; ``meet`` compares all tiles of a group, else each with itself.
+
+    ``members`` is a stored table, as it is read three times.
+    """
     buckets = max(1, members.count() // GROUP)
     once = _marked(texts.select(F.xxhash64("text").alias("text_hash"), "text"), members).where("likely").join(members, "text_hash")
     firsts = [F.first(c).alias(c) for c in ("text", "root", "tiles", "sub")]
@@ -337,7 +351,7 @@ def _exact_links(
             cross, large = group["tile"].nunique() > 1, bool(group["tiles"].iloc[0] > 1)
             columns = (group[c] for c in ("text_hash", "fp", "shingles", "tile", "sub"))
             rows = [(h, np.asarray(f, "<i8").view(np.uint64), np.asarray(s, "<i8"), t, u) for h, f, s, t, u in zip(*columns, strict=True)]
-            found += [(a, b, large) for a, b in _blank_links(rows) + _confirmed(rows, radius, similarity, cross)]
+            found += [(a, b, large) for a, b in _stars(_blank_links(rows) + _confirmed(rows, radius, similarity, cross))]
         return pd.DataFrame(found, columns=["a", "b", "large"]).astype({"a": "int64", "b": "int64", "large": "bool"})
 
     keyed = dealt.select("home", "tiles", F.col("m.low").alias("low"), F.col("m.high").alias("high"), "root", "tile", "text_hash", "sub", "fp", "shingles")
@@ -350,12 +364,28 @@ def _blank_links(rows: list[tuple]) -> list[tuple[int, int]]:
     return [(blank[0], other) for other in blank[1:]]
 
 
+def _stars(links: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The parts that ``links`` connect, as edges from each text to the smallest of its part."""
+    root: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while root.setdefault(x, x) != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    for a, b in links:
+        p, q = top(a), top(b)
+        root[max(p, q)] = min(p, q)
+    return [(x, p) for x in list(root) if (p := top(x)) != x]
+
+
 def without_near_duplicates(documents: DataFrame, width: int = 5, similarity: float = 0.8, radius: int = 80, words: int = 4) -> DataFrame:
     """``documents`` with one row of each group of near duplicates: the smallest ``doc_id``, null ids last.
 
     Of rows that repeat an id and a text one stays. All columns pass through unchanged.
     """
-    groups = near_duplicates(documents, width, similarity, radius, words)
+    groups = stored(near_duplicates(documents, width, similarity, radius, words), "groups")
     first = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash", "n_rows")
     winners = groups.groupBy("root").agg(F.min(first).alias("w")).select(
         F.col("w.doc_id").alias("_id"), F.col("w.text_hash").alias("_hash"), F.col("w.n_rows").alias("_rows")

@@ -1,11 +1,16 @@
 """SimHash groups, near duplicates, vectors and components against plain code."""
 
 import random
+import time
+from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import xxhash
+from pyspark.sql import functions as F
 
-from tallyflow.llm import pivots, simhash
+from tallyflow.llm import components, pivots, simhash
+from tallyflow.llm.common import stored
 from tallyflow.llm.components import connected_components
 from tests.llm.cases import CLASHING, HARD, edited, empty, hard, prose
 
@@ -33,6 +38,53 @@ def test_components(spark):
     assert connected_components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
 
 
+def labels_stored(monkeypatch, *modules):
+    """Counts, by label, the tables that ``modules`` store from now on."""
+    seen = Counter()
+    for module in modules:
+        monkeypatch.setattr(module, "stored", lambda rows, label: (seen.update([label]), stored(rows, label))[1])
+    return seen
+
+
+def test_components_of_stars_take_no_step(spark, monkeypatch):
+    seen = labels_stored(monkeypatch, components)
+    stars = [(10 * i + k, 10 * i) for i in range(20) for k in range(1, 4)]
+    found = connected_components(spark.createDataFrame(stars, "a bigint, b bigint"))
+    assert {(r["node"], r["root"]) for r in found.collect()} == {*stars, *((b, b) for _, b in stars)}
+    assert seen == {"edges": 1}
+    connected_components(spark.createDataFrame([(1, 2), (2, 3), (1, 3)], "a bigint, b bigint")).collect()
+    assert seen == {"edges": 2, "stars": 1}
+
+
+def test_stored_tables_leave_no_shuffle_files(spark):
+    folders = [f.getPath() for f in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    shuffled = lambda: {p for f in folders for p in Path(f).rglob("shuffle_*")}
+    before = shuffled()
+    counts = stored(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "counts")
+    until = time.monotonic() + 20  # the files go in the background
+    while shuffled() - before and time.monotonic() < until:
+        time.sleep(0.2)
+    assert not shuffled() - before
+    assert {r["k"]: r["count"] for r in counts.collect()} == {k: 142 + (k < 6) for k in range(7)}
+
+
+def test_links_of_a_tile_are_stars_around_the_smallest(spark):
+    rows = [(50 - i, [1 << i if i else 0]) for i in range(12)] + [(200 + i, [-1 ^ (1 << i)]) for i in range(6)]
+    links = simhash.fingerprint_links(spark.createDataFrame(rows, "key bigint, fp array<bigint>"), 80, 1).collect()
+    assert {(r["a"], r["b"]) for r in links} <= {(k, 39) for k, _ in rows if k != 39}
+    assert connected_components(spark.createDataFrame(links, "a bigint, b bigint")).select("root").distinct().count() == 1
+
+
+def test_a_group_joined_in_its_tiles_reads_the_texts_once_more(spark, monkeypatch):
+    """Where the representatives settle a large group, the texts are not read for pairs that can't be open."""
+    monkeypatch.setattr(simhash, "GROUP", 8)
+    base = prose(6, 200)
+    frame = spark.createDataFrame([(i, edited(base, 70 + i)) for i in range(60)], "doc_id bigint, text string")
+    seen = labels_stored(monkeypatch, simhash)
+    assert simhash.near_duplicates(frame).select("root").distinct().count() == 1
+    assert seen["confirmed"] == 2
+
+
 def slow_fingerprint(text, width):
     words = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "").encode().split()
     hashes = [xxhash.xxh64_intdigest(b" ".join(words[i : i + width]), 42) for i in range(max(1, len(words) - width + 1))] if words else []
