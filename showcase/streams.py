@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,6 +43,22 @@ def topic_of(spark: SparkSession, label: str, records: DataFrame, max_files: int
     return topic_stream(spark, path, file_format="parquet", max_files=max_files)
 
 
+FILE_ROWS = 250_000  # records of a file that one task may have to read in one piece
+
+
+def delivered(spark: SparkSession, label: str, records: DataFrame, times: int) -> DataFrame:
+    """Records in a topic folder that arrives in at most ``times`` micro-batches.
+
+    They are written where they are read, without a shuffle, in files of at most ``FILE_ROWS`` records: larger inputs have
+    more files in a batch, not larger tasks.
+    """
+    path = new_folder(spark, label)
+    most = min(FILE_ROWS, max(1, math.ceil(records.count() / times)))
+    records.write.option("maxRecordsPerFile", most).parquet(path)
+    files = len(spark.read.schema(records.schema).parquet(path).inputFiles())
+    return topic_stream(spark, path, file_format="parquet", max_files=max(1, math.ceil(files / times)))
+
+
 def collected(
     spark: SparkSession, label: str, rows: DataFrame, keys: tuple[str, ...], mode: str = "update", **options
 ) -> DataFrame:
@@ -438,7 +455,7 @@ def stream_amt_rejects(spark: SparkSession, folder: str) -> DataFrame:
     records = load(spark, folder, "orders").select(
         F.col("o_orderkey").cast("string").alias("key"), F.when(wrong("payload"), cut).otherwise(payload).alias("value")
     )
-    topic = topic_of(spark, "checked-orders", records.repartition(4, "key"), max_files=1)
+    topic = delivered(spark, "checked-orders", records, 4)
     drain(sales.batch_totals_writer(topic, f"{path}/sums", f"{path}/checkpoint", f"{path}/rejects", True, CITIES))
     totals = sales.batch_totals(spark, f"{path}/sums")
     return totals.unionByName(read_rejects(spark, f"{path}/rejects"), allowMissingColumns=True)
