@@ -5,10 +5,14 @@ fingerprints are put into cells by the population counts of their segments. Two
 than the radius hold no pair within it and are skipped; the tiles of the others are compared completely with numpy:
 exclusive-or, bit count, threshold. Each comparison hands on a spanning forest of its links, so a group of near copies
 costs rows in proportion to its size, not to its square.
+
+Near duplicates by the similarity of shingle sets need not compare all fingerprints: sets that are similar enough share a
+shingle among the first of each in any common order, so only the texts that share such a shingle are compared.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import product
 
@@ -26,6 +30,8 @@ SEED = 42
 CHUNK = 1 << 14  # shingles whose bits are unpacked at a time
 HEAD = 3  # words of a fingerprint compared for all pairs
 SMALLEST_TILE, LARGEST_TILE, TILES = 8192, 1 << 20, 64
+SAMPLE, FREQUENT = 64, 1 << 18  # one text of so many tells which shingles are frequent; of them so many are known at most
+SHORT_LIST, PIVOTS = 64, 8  # lists compared side by side; members of longer ones that all others are compared with first
 
 
 def shingle_hashes(text: str | None, width: int) -> np.ndarray:
@@ -67,22 +73,79 @@ def set_fingerprint(distinct: np.ndarray, words: int) -> list[int]:
     return fingerprint(distinct, words, lead=True)
 
 
-def with_fingerprints(documents: DataFrame, width: int, words: int = 1, once: bool = False) -> DataFrame:
-    """``doc_id``, ``text_hash`` (XXH64 of the text) and ``fp``, an array of ``words`` integers; ``once`` for those of sets."""
+def with_fingerprints(documents: DataFrame, width: int) -> DataFrame:
+    """``doc_id``, ``text_hash`` (XXH64 of the text) and ``fp``, an array of one integer."""
     columns = "doc_id bigint, text_hash bigint, fp array<bigint>"
 
-    def mark(text: str | None) -> list[int]:
-        hashes = shingle_hashes(text, width)
-        return set_fingerprint(np.unique(hashes), words) if once else fingerprint(hashes, words)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            marks = [mark(x.as_py()) for x in batch.column(2)]
+            marks = [fingerprint(shingle_hashes(x.as_py(), width)) for x in batch.column(2)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(marks, pa.list_(pa.int64()))], ["doc_id", "text_hash", "fp"])
 
     return documents.select("doc_id", F.xxhash64("text"), "text").mapInArrow(run, columns)
 
 
+def frequent_shingles(texts: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of shingles that several texts of a sample hold, ascending, and how many texts each.
+
+    They only decide which shingles of a set come last. Where there are more than ``FREQUENT``, the most frequent are taken.
+    """
+    sample = texts.select("text").where(F.pmod(F.xxhash64("text", F.lit(5)), F.lit(SAMPLE)) == 0).distinct()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for x in batch.column(0):
+                yield pa.RecordBatch.from_arrays([pa.array(np.unique(shingle_hashes(x.as_py(), width)).view(np.int64))], ["shingle"])
+
+    counts = sample.mapInArrow(run, "shingle bigint").groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1")
+    counts = stored(counts, "frequent")
+    total, least = 0, 1
+    for n, found in sorted(counts.groupBy("n").agg(F.count("*")).collect(), reverse=True):
+        total, least = total + found, n
+        if total > FREQUENT:
+            least = n + 1
+            break
+    known = counts.where(F.col("n") >= least).toArrow()
+    shingles, n = known.column("shingle").to_numpy().view(np.uint64), known.column("n").to_numpy()
+    order = np.argsort(shingles)
+    return shingles[order], n[order]
+
+
+def heads(distinct: np.ndarray, similarity: float, frequent: np.ndarray, often: np.ndarray) -> np.ndarray:
+    """The first shingles of a set, ascending hashes, in the common order: frequent ones last, the rarer before the others.
+
+    Two sets share at least ``similarity`` times the size of either one if they are that similar, so at most the others
+    come before the first shared one in each. A set without shingles has the head 0.
+    """
+    if not len(distinct):
+        return np.zeros(1, np.uint64)
+    many = len(distinct) - math.ceil(similarity * len(distinct) - 1e-6) + 1
+    if not len(frequent):
+        return distinct[:many]
+    place = np.minimum(np.searchsorted(frequent, distinct), len(frequent) - 1)
+    known = frequent[place] == distinct
+    rare, last = distinct[~known], distinct[known]
+    last = last[np.argsort(often[place[known]], kind="stable")]
+    return np.concatenate([rare[:many], last[: max(0, many - len(rare))]])
+
+
+def with_set_marks(texts: DataFrame, width: int, words: int, similarity: float) -> DataFrame:
+    """``doc_id``, ``text_hash``, ``fp`` of the set of shingles, ``words`` integers, and its ``heads``."""
+    columns = "doc_id bigint, text_hash bigint, fp array<bigint>, heads array<bigint>"
+    shared = texts.sparkSession.sparkContext.broadcast(frequent_shingles(texts, width))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent, often = shared.value
+        for batch in batches:
+            sets = [np.unique(shingle_hashes(x.as_py(), width)) for x in batch.column(2)]
+            marks = [set_fingerprint(h, words) for h in sets]
+            first = [heads(h, similarity, frequent, often).view(np.int64) for h in sets]
+            arrays = [batch.column(0), batch.column(1), pa.array(marks, pa.list_(pa.int64())), pa.array(first, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "text_hash", "fp", "heads"])
+
+    return texts.select("doc_id", F.xxhash64("text"), "text").mapInArrow(run, columns)
+
+
 def _join_labels(label: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Labels after the pairs ``(x, y)`` are joined: hooks to the smaller label until none differ."""
     while True:
@@ -106,6 +169,11 @@ def _distance(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return found
 
 
+def _row_distance(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Differing bits of each row of ``left`` from the same row of ``right``."""
+    return np.bitwise_count(left ^ right).sum(1, dtype=np.int64)
+
+
 def link_within(left: np.ndarray, right: np.ndarray, radius: int, same: bool) -> tuple[np.ndarray, np.ndarray]:
     """Spanning forest of the pairs at ``radius`` bits or fewer, as places in ``left`` followed by ``right``."""
     shift = 0 if same else len(left)
@@ -116,13 +184,38 @@ def link_within(left: np.ndarray, right: np.ndarray, radius: int, same: bool) ->
         for j in range(i if same else 0, len(right), columns):
             x, y = np.nonzero(_distance(block[:, :HEAD], right[j : j + columns, :HEAD]) <= radius)
             if left.shape[1] > HEAD:  # the first words rule out most pairs
-                near = np.bitwise_count(block[x] ^ right[y + j]).sum(1, dtype=np.int64) <= radius
+                near = _row_distance(block[x], right[y + j]) <= radius
                 x, y = x[near], y[near]
             label = _join_labels(label, x + i, y + j + shift)
     joined = np.nonzero(label != np.arange(len(label)))[0]
     return joined, label[joined]
 
 
+def link_list(marks: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Spanning forest of the pairs of ``marks`` at ``radius`` bits or fewer.
+
+    Some are compared with all first, so that near copies are joined in time linear in their number; then all pairs are
+    compared but those within the largest part.
+    """
+    label, alone = np.arange(len(marks)), np.ones(len(marks), bool)
+    for _ in range(PIVOTS):
+        if not alone.any():
+            break
+        first = int(np.argmax(alone))
+        near = np.nonzero(_distance(marks[first : first + 1], marks)[0] <= radius)[0]
+        label = _join_labels(label, near, np.full(len(near), first))
+        alone[near] = False
+    large = label == np.argmax(np.bincount(label))
+    here, rest = np.nonzero(large)[0], np.nonzero(~large)[0]
+    for left, right, same in ((rest, rest, True), (here, rest, False)):
+        if len(left) and len(right):
+            places = left if same else np.concatenate([left, right])
+            x, y = link_within(marks[left], marks[right], radius, same)
+            label = _join_labels(label, places[x], places[y])
+    joined = np.nonzero(label != np.arange(len(label)))[0]
+    return joined, label[joined]
+
+
 def _segment_counts(fp: Column, words: int, segments: int) -> Column:
     """Population counts of the segments of the first word, or of the whole fingerprint, as one array."""
     if segments == 1:
@@ -186,6 +279,72 @@ def fingerprint_links(distinct: DataFrame, radius: int, words: int = 1) -> DataF
     return both.select("a", "b", same.alias("same")).mapInPandas(run, "a bigint, b bigint")
 
 
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    """The columns of sorted ``batches``, cut only where the first column changes."""
+    held: list[list[np.ndarray]] = []
+    for batch in batches:
+        columns = [c.to_numpy() for c in batch.columns]
+        others = np.nonzero(columns[0] != columns[0][-1])[0] if batch.num_rows else columns[0]
+        if held and batch.num_rows and held[-1][0][-1] != columns[0][0]:
+            yield [np.concatenate(c) for c in zip(*held, strict=True)]
+            held = []
+        if len(others):
+            cut = int(others[-1]) + 1
+            yield [np.concatenate(c) for c in zip(*held, [c[:cut] for c in columns], strict=True)]
+            held, columns = [], [c[cut:] for c in columns]
+        if batch.num_rows:
+            held.append(columns)
+    if held:
+        yield [np.concatenate(c) for c in zip(*held, strict=True)]
+
+
+def head_links(distinct: DataFrame, radius: int, words: int) -> DataFrame:
+    """Edges ``(a, b)`` that connect the keys whose fingerprints are within ``radius``, of all that share one of their ``heads``.
+
+    ``distinct`` is a stored table of ``key`` (unique), ``fp`` and ``heads``. A head that one text has goes no further than
+    its shuffle; texts that share several heads, as copies of two do, are compared once. Fingerprints are sent only to
+    the lists that are left.
+    """
+
+    def together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for head, key in _runs(batches):
+            starts = np.nonzero(np.concatenate([[True], head[1:] != head[:-1]]))[0]
+            sizes = np.diff(np.concatenate([starts, [len(head)]]))
+            several = sizes > 1
+            offsets = np.concatenate([[0], np.cumsum(sizes[several])]).astype(np.int32)
+            values = pa.array(key[np.repeat(several, sizes)])
+            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(offsets), values)], ["keys"])
+
+    dealt = distinct.select(F.explode("heads").alias("head"), "key").repartition("head").sortWithinPartitions("head", "key")
+    lists = dealt.mapInArrow(together, "keys array<bigint>").distinct()
+    # hashed before they are taken apart, or each member would hash its whole list; lists of one hash are compared as one
+    members = lists.select(F.xxhash64("keys").alias("list"), "keys").select("list", F.explode("keys").alias("key"))
+    marked = members.join(distinct.select("key", "fp"), "key").select("list", "key", *[F.get("fp", k).alias(f"f{k}") for k in range(words)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for name, key, *fp in _runs(batches):
+            marks = np.stack(fp, 1).view(np.uint64)
+            node, at = np.unique(key, return_inverse=True)
+            label = np.arange(len(node))
+            starts = np.nonzero(np.concatenate([[True], name[1:] != name[:-1]]))[0]
+            sizes = np.diff(np.concatenate([starts, [len(name)]]))
+            for start, size in zip(starts[sizes > SHORT_LIST].tolist(), sizes[sizes > SHORT_LIST].tolist(), strict=True):
+                x, y = link_list(marks[start : start + size], radius)
+                label = _join_labels(label, at[start + x], at[start + y])
+            left = np.nonzero(np.repeat(sizes <= SHORT_LIST, sizes))[0]
+            for ahead in range(1, SHORT_LIST):
+                left = left[left + ahead < len(name)]
+                left = left[name[left] == name[left + ahead]]
+                if not len(left):
+                    break
+                near = left[_row_distance(marks[left], marks[left + ahead]) <= radius]
+                label = _join_labels(label, at[near], at[near + ahead])
+            joined = np.nonzero(label != np.arange(len(label)))[0]
+            yield pa.RecordBatch.from_arrays([pa.array(node[joined]), pa.array(node[label[joined]])], ["a", "b"])
+
+    return marked.repartition("list").sortWithinPartitions("list", "key").mapInArrow(run, "a bigint, b bigint")
+
+
 def _named(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
     return documents.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
 
@@ -214,6 +373,11 @@ def _confirmed(rows: list[tuple], radius: int, similarity: float, cross: bool) -
     words = np.array([r[1] for r in rows])
     distance = _distance(words, words)
     x, y = np.nonzero(np.triu(distance <= radius, 1))
+    side, sub = (np.array([r[k] for r in rows]) for k in (3, 4))
+    open_ = sub[x] != sub[y]
+    if cross:
+        open_ &= side[x] != side[y]
+    x, y = x[open_], y[open_]
     order = np.argsort(distance[x, y], kind="stable")
     first: dict[int, int] = {}
     root, found = [first.setdefault(r[4], i) for i, r in enumerate(rows)], []
@@ -225,7 +389,7 @@ def _confirmed(rows: list[tuple], radius: int, similarity: float, cross: bool) -
         return i
 
     for i, j in zip(x[order].tolist(), y[order].tolist(), strict=True):
-        if (cross and rows[i][3] == rows[j][3]) or (p := top(i)) == (q := top(j)):
+        if (p := top(i)) == (q := top(j)):
             continue
         a, b = rows[i][2], rows[j][2]
         small, large = sorted((len(a), len(b)))
@@ -243,15 +407,16 @@ def near_duplicates(
 ) -> DataFrame:
     """``(doc_id, text_hash, n_rows, root)`` per distinct id and text; texts of one ``root`` are near duplicates.
 
-    Fingerprints of 256 bits, of the distinct shingles, within ``radius`` propose groups: at similarity 0.8 the expected
+    Texts that are similar enough share one of their first shingles in a common order (``heads``); of these, fingerprints
+    of 256 bits, of the distinct shingles, within ``radius`` propose groups: at similarity 0.8 the expected
     distance is 39, at most 48 (four of five shingles), while unrelated texts differ by 128. Within a proposed group, pairs at that distance are confirmed by the exact similarity
     of their shingle sets. Groups of more than ``GROUP`` texts are confirmed tile by tile. Blank and null texts are
     duplicates of each other.
     """
     texts = _named(documents, doc_id, text)
-    marked = stored(with_fingerprints(texts, width, words, once=True), "fingerprints")
-    distinct = marked.groupBy(F.col("text_hash").alias("key")).agg(F.first("fp").alias("fp"))
-    proposed = stored(connected_components(fingerprint_links(distinct, radius, words)), "proposed")
+    marked = stored(with_set_marks(texts, width, words, similarity), "fingerprints")
+    distinct = stored(marked.groupBy(F.col("text_hash").alias("key")).agg(F.first("fp").alias("fp"), F.first("heads").alias("heads")), "distinct")
+    proposed = stored(connected_components(head_links(distinct, radius, words)), "proposed")
     edges = confirmed_links(texts, proposed, width, similarity, radius, words)
     roots = connected_components(edges)
     rows = marked.groupBy("doc_id", "text_hash").agg(F.count("*").alias("n_rows"))

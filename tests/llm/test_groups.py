@@ -1,11 +1,13 @@
 """SimHash groups, near duplicates, vectors and components against plain code."""
 
+import math
 import random
 import time
 from collections import Counter
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import functions as F
 
@@ -160,6 +162,86 @@ def test_near_duplicates_at_exactly_the_similarity(spark):
     assert [p for p in pairs if found[p[0]] != found[p[1]]] == []
 
 
+def test_unrelated_texts_are_not_compared(spark, monkeypatch):
+    """Fingerprints are compared within lists of texts that share a first shingle, not all with all."""
+    pairs = spark.sparkContext.accumulator(0)
+    all_pairs, by_row = simhash._distance, getattr(simhash, "_row_distance", None)
+
+    def counted(left, right):
+        pairs.add(len(left) * len(right))
+        return all_pairs(left, right)
+
+    def counted_rows(left, right):
+        pairs.add(len(left))
+        return by_row(left, right)
+
+    monkeypatch.setattr(simhash, "_distance", counted)
+    monkeypatch.setattr(simhash, "_row_distance", counted_rows, raising=False)
+    rows = [(i, prose(20_000 + i, 60)) for i in range(400)] + [(1000 + i, edited(prose(20_000 + i, 60), 55)) for i in range(10)]
+    found = {r["doc_id"]: r["root"] for r in simhash.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert len(set(found.values())) == 400 and all(found[i] == found[1000 + i] for i in range(10))
+    assert pairs.value <= 2 * len(rows)  # 84,000 pairs at least when all were compared
+
+
+def test_similar_sets_share_a_head():
+    rng = np.random.default_rng(5)
+    frequent = np.sort(rng.integers(0, 1 << 63, 500, dtype=np.uint64))
+    often = rng.integers(2, 9, 500)
+    for similarity in (0.5, 0.8, 0.9, 1.0):
+        for _ in range(300):
+            both, one = int(rng.integers(1, 60)), rng.integers(0, 1 << 63, 60, dtype=np.uint64)
+            shared = np.concatenate([rng.choice(frequent, both // 2, replace=False), rng.integers(0, 1 << 63, both - both // 2, dtype=np.uint64)])
+            apart = math.floor(len(np.unique(shared)) / similarity + 1e-9) - len(np.unique(shared))
+            cut = int(rng.integers(0, apart + 1))
+            a, b = np.unique(np.concatenate([shared, one[:cut]])), np.unique(np.concatenate([shared, one[cut:apart]]))
+            for known, n in ((frequent, often), (frequent[:0], often[:0])):
+                first = [simhash.heads(x, similarity, known, n) for x in (a, b)]
+                assert np.intersect1d(*first).size
+    assert simhash.heads(a[:0], 0.8, frequent, often).tolist() == [0]
+    assert len(simhash.heads(one, 0.8, frequent, often)) == 13  # 60 - 48 + 1
+
+
+def test_long_lists_link_as_all_pairs(monkeypatch):
+    rng = np.random.default_rng(6)
+    marks = rng.integers(0, 1 << 63, (400, 4), dtype=np.uint64)
+    for i in range(400):
+        if i % 4:  # a large group, small ones and lone marks
+            marks[i] = marks[0 if i < 250 else 4 * (i // 8)] ^ (rng.random((4, 64)) < 0.12).dot(np.uint64(1) << np.arange(64, dtype=np.uint64)).astype(np.uint64)
+    x, y = np.nonzero(np.triu(simhash._distance(marks, marks) <= 80, 1))
+    expected = union(list(zip(x.tolist(), y.tolist())), range(400))
+    assert 20 < len(set(expected.values())) < 200
+    for pivots_ in (0, 1, 8):
+        monkeypatch.setattr(simhash, "PIVOTS", pivots_)
+        u, v = simhash.link_list(marks, 80)
+        assert union(list(zip(u.tolist(), v.tolist())), range(400)) == expected
+
+
+def test_runs_are_not_cut():
+    column = [1, 1, 2, 2, 2, 2, 2, 3, 5, 5]
+    for size in (1, 2, 3, 4, 10):
+        pieces = [pa.array(column[i : i + size]) for i in range(0, 10, size)]
+        batches = [pa.RecordBatch.from_arrays([p, p], ["k", "v"]) for p in [pieces[0][:0], *pieces]]
+        runs = [(k.tolist(), v.tolist()) for k, v in simhash._runs(iter(batches))]
+        assert [x for k, _ in runs for x in k] == [x for _, v in runs for x in v] == column
+        assert all(a[-1] != b[0] for (a, _), (b, _) in zip(runs, runs[1:]))
+    assert list(simhash._runs(iter([]))) == []
+
+
+def test_the_order_of_shingles_changes_no_result(spark, monkeypatch):
+    """Whichever shingles are known to be frequent, long lists or short: the same groups as by all pairs."""
+    common = prose(77, 60)
+    rows = [(i, prose(600 + i, 100) + " " + common) for i in range(12)] + [(100 + i, edited(prose(600 + i, 100), 50) + " " + common) for i in range(12)]
+    rows += [(200 + i, edited(prose(6, 200), 60 + i)) for i in range(40)] + [(300 + i, " " * i) for i in range(3)]
+    text = dict(rows)
+    expected = union([(a, b) for a in text for b in text if a < b and shingle_similarity(text[a], text[b]) >= 0.8], text)
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    for sample, frequent, short in ((1, 1 << 18, 64), (1, 20, 4), (64, 1 << 18, 4)):
+        for name, value in (("SAMPLE", sample), ("FREQUENT", frequent), ("SHORT_LIST", short)):
+            monkeypatch.setattr(simhash, name, value)
+        found = {r["doc_id"]: r["root"] for r in simhash.near_duplicates(frame).collect()}
+        assert {i: min(k for k in found if found[k] == r) for i, r in found.items()} == expected
+
+
 def test_wide_fingerprints():
     marks = np.array([[0, 0, 0, 0], [(1 << 64) - 1] * 4, [(1 << 64) - 1, 0, 0, 0], [0, 0, 0, 255]], np.uint64)
     assert simhash._distance(marks, marks)[0].tolist() == [0, 256, 64, 8]
