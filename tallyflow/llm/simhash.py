@@ -28,6 +28,7 @@ from .components import connected_components
 
 SEED = 42
 CHUNK = 1 << 14  # shingles whose bits are unpacked at a time
+ROWS = 256  # texts whose heads are handed on together
 HEAD = 3  # words of a fingerprint compared for all pairs
 SMALLEST_TILE, LARGEST_TILE, TILES = 8192, 1 << 20, 64
 SAMPLE, FREQUENT = 64, 1 << 18  # one text of so many tells which shingles are frequent; of them so many are known at most
@@ -121,7 +122,7 @@ def heads(distinct: np.ndarray, similarity: float, frequent: np.ndarray, often:
         return np.zeros(1, np.uint64)
     many = len(distinct) - math.ceil(similarity * len(distinct) - 1e-6) + 1
     if not len(frequent):
-        return distinct[:many]
+        return distinct[:many].copy()
     place = np.minimum(np.searchsorted(frequent, distinct), len(frequent) - 1)
     known = frequent[place] == distinct
     rare, last = distinct[~known], distinct[known]
@@ -137,11 +138,14 @@ def with_set_marks(texts: DataFrame, width: int, words: int, similarity: float)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent, often = shared.value
         for batch in batches:
-            sets = [np.unique(shingle_hashes(x.as_py(), width)) for x in batch.column(2)]
-            marks = [set_fingerprint(h, words) for h in sets]
-            first = [heads(h, similarity, frequent, often).view(np.int64) for h in sets]
-            arrays = [batch.column(0), batch.column(1), pa.array(marks, pa.list_(pa.int64())), pa.array(first, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "text_hash", "fp", "heads"])
+            for start in range(0, batch.num_rows, ROWS):  # few sets and heads at a time
+                part, marks, first = batch.slice(start, ROWS), [], []
+                for x in part.column(2):
+                    distinct = np.unique(shingle_hashes(x.as_py(), width))
+                    marks.append(set_fingerprint(distinct, words))
+                    first.append(heads(distinct, similarity, frequent, often).view(np.int64))
+                arrays = [part.column(0), part.column(1), pa.array(marks, pa.list_(pa.int64())), pa.array(first, pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "text_hash", "fp", "heads"])
 
     return texts.select("doc_id", F.xxhash64("text"), "text").mapInArrow(run, columns)
 
